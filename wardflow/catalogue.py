@@ -23,8 +23,9 @@ from wardflow.operators.hourly import hourly_metrics_dense, hourly_metrics_spars
 from wardflow.operators.texts import kb_chunks
 from wardflow.operators.timeline import (
     DURATIONS, encounter_timeline, encounter_waits, orphan_events, with_sector)
+from wardflow.plans.daily import features_of_days
 from wardflow.plans.silver import silver_encounters
-from wardflow.schemas import GOLD_METRICS, SILVER_ENCOUNTERS, conform
+from wardflow.schemas import GOLD_FEATURES, GOLD_METRICS, SILVER_ENCOUNTERS, conform
 from wardflow.session import run_dir
 from wardflow.sources import catalog, given, lake
 from wardflow.streaming import files
@@ -269,7 +270,10 @@ def risk_hourly(spark, d):
 
 @_query
 def current_status(spark, d):
-    return status.current_status(_sparse(spark, d), F.lit(AS_OF).cast("timestamp_ntz"))
+    """An hour inside the window has all its arrivals inside it, so older events are not read."""
+    as_of = F.lit(AS_OF).cast("timestamp_ntz")
+    recent = _events(spark, d).where(F.col("ts") >= as_of - hours(2))
+    return status.current_status(hourly_metrics_sparse(given.encounters(recent)), as_of)
 
 
 @_query
@@ -312,6 +316,12 @@ def features_filled(spark, d):
     return _filled(spark, d)
 
 
+@_query
+def features_of_day(spark, d):
+    """The daily run: one day, equal to those rows of a run over all history."""
+    return features_of_days(conform(_sparse(spark, d), GOLD_METRICS), DAY, DAY)
+
+
 @_query
 def latest_per_sector(spark, d):
     return latest_per_group(_filled(spark, d), ["sector_id"], "window_start").select(
@@ -361,6 +371,13 @@ def drift_psi(spark, d):
                                 ["arrivals_count", *features.FEATURES])
 
 
+def _stored_features(spark, d):
+    """Features written once and read by every fit, as the gold layer does."""
+    root = run_dir(spark, "features")
+    lake.overwrite_days(conform(_filled(spark, d), GOLD_FEATURES), root, "gold_features")
+    return root, lake.read_table(spark, root, "gold_features", GOLD_FEATURES)
+
+
 def _split(f):
     cutoff = F.date_sub(f.agg(F.max("dt")).scalar(), 6).cast("timestamp_ntz")
     return forecast.split_by_time(f, cutoff)
@@ -369,7 +386,7 @@ def _split(f):
 @_query
 def gbt_h1(spark, d):
     """Next-hour forecast of the last seven days by trees fitted on the days before."""
-    past, held = _split(_filled(spark, d))
+    past, held = _split(_stored_features(spark, d)[1])
     return forecast.predict(held, {1: forecast.fit_horizon(past, 1)}).select(
         "sector_id", "window_start", "target_arrivals_h1", "predicted_arrivals_h1")
 
@@ -377,7 +394,7 @@ def gbt_h1(spark, d):
 @_query
 def score_latest(spark, d):
     """All horizons for the last hour of every sector."""
-    f = _filled(spark, d)
+    _, f = _stored_features(spark, d)
     past, _ = _split(f)
     as_of = f.agg(F.max("window_start") + F.make_dt_interval(mins=F.lit(59))).scalar()
     return forecast.score_latest(f, forecast.fit_horizons(past, max_iter=5), as_of, "202401300000")
@@ -538,12 +555,10 @@ def stream_hourly(spark, d):
 @_query
 def stream_score(spark, d):
     """Feature rows written by day, then scored as a stream."""
-    out, root = run_dir(spark, "stream-score"), run_dir(spark, "stream-score-input")
-    f = _filled(spark, d)
-    lake.overwrite_days(f, root, "gold_features")
-    stored = lake.read_table(spark, root, "gold_features", f.schema)
+    out = run_dir(spark, "stream-score")
+    root, stored = _stored_features(spark, d)
     past, _ = _split(stored)
-    rows = files.read_files(spark, lake.path_of(root, "gold_features"), f.schema)
+    rows = files.read_files(spark, lake.path_of(root, "gold_features"), GOLD_FEATURES)
     score_stream(rows, {1: forecast.fit_horizon(past, 1, max_iter=5)}, "202401300000",
                  f"{out}/data", f"{out}/checkpoint")
     return spark.read.parquet(f"{out}/data")

@@ -28,7 +28,7 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_t
            .select(key, hour_start("_from").alias("_hour"), "_from", "_row"))
     opening = (
         left.where(F.col(left_ts).isNotNull())
-        .select(key, hour_start(left_ts).alias("_hour")).distinct()
+        .select(key, hour_start(left_ts).alias("_hour"))
         .unionByName(own.select(key, "_hour")).distinct()
         .select(key, "_hour", F.col("_hour").alias("_from"),
                 F.lit(None).cast(own.schema["_row"].dataType).alias("_row")))

@@ -31,14 +31,14 @@ def _unit_rows(vectors) -> np.ndarray:
     return np.divide(m, size, out=np.zeros_like(m), where=size > 0)
 
 
-def _best(q: np.ndarray, rank: np.ndarray, ids: np.ndarray, sims: np.ndarray, k: int):
+def _best(q: np.ndarray, ids: np.ndarray, sims: np.ndarray, k: int):
     """The k best candidates per query among parallel arrays, by similarity then id."""
     order = np.lexsort((ids, -sims, q))
-    q, sims, ids, rank = q[order], sims[order], ids[order], rank[order]
-    starts = np.r_[0, np.flatnonzero(np.diff(q)) + 1] if len(q) else np.array([], dtype=int)
+    q, ids, sims = q[order], ids[order], sims[order]
+    starts = np.r_[0, np.flatnonzero(np.diff(q)) + 1]
     place = np.arange(len(q)) - np.repeat(starts, np.diff(np.r_[starts, len(q)]))
     keep = place < k
-    return q[keep], rank[keep], ids[keep], sims[keep]
+    return q[keep], ids[keep], sims[keep]
 
 
 def _score_batch(units: np.ndarray, ids: np.ndarray, vectors, k: int):
@@ -46,26 +46,24 @@ def _score_batch(units: np.ndarray, ids: np.ndarray, vectors, k: int):
     n = sims.shape[1]
     cut = np.partition(sims, n - k, axis=1)[:, n - k] if n > k else np.full(len(units), -np.inf)
     q, col = np.nonzero(sims >= cut[:, None])
-    return _best(q, col, ids[col], sims[q, col], k)
+    return _best(q, ids[col], sims[q, col], k)
 
 
 def _merge(a, b, k: int):
-    q, rank, ids, sims = (np.concatenate(pair) for pair in zip(a, b))
-    return _best(q, rank, ids, sims, k)
+    return _best(*(np.concatenate(pair) for pair in zip(a, b)), k)
 
 
 def _top_k_of(batches: Iterator[pd.DataFrame], query_ids: np.ndarray, units: np.ndarray,
-              corpus_id: str, vector: str, k: int) -> pd.DataFrame:
+              corpus_id: str, vector: str, k: int) -> Iterator[pd.DataFrame]:
+    """One frame with the best k rows of all batches per query; none without rows."""
     held = None
     for pdf in batches:
-        if pdf.empty:
-            continue
-        found = _score_batch(units, pdf[corpus_id].to_numpy(), pdf[vector], k)
-        held = found if held is None else _merge(held, found, k)
-    if held is None:
-        return pd.DataFrame({"query_id": query_ids[:0], "corpus_id": [], "similarity": []})
-    return pd.DataFrame(
-        {"query_id": query_ids[held[0]], "corpus_id": held[2], "similarity": held[3]})
+        if len(pdf):
+            found = _score_batch(units, pdf[corpus_id].to_numpy(), pdf[vector], k)
+            held = found if held is None else _merge(held, found, k)
+    if held is not None:
+        yield pd.DataFrame(
+            {"query_id": query_ids[held[0]], "corpus_id": held[1], "similarity": held[2]})
 
 
 def top_k_similar(corpus: DataFrame, queries: DataFrame, k: int = 3, *, corpus_id: str,
@@ -107,7 +105,7 @@ def _against_broadcast(corpus, held: pd.DataFrame, out, corpus_id, vector, k) ->
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         query_ids, units = shared.value
-        yield _top_k_of(batches, query_ids, units, corpus_id, vector, k)
+        yield from _top_k_of(batches, query_ids, units, corpus_id, vector, k)
 
     return corpus.mapInPandas(score, out)
 
@@ -117,20 +115,26 @@ def _against_blocks(corpus, queries, out, corpus_id, vector, k, query_rows, corp
     other columns, and each (query block, corpus block) is scored in one group."""
     n_q = math.ceil(queries.count() / (query_rows / 2))
     n_c = max(1, math.ceil(corpus.count() / (corpus_rows / 2)))
-    q = queries.select(
-        "*", F.pmod(F.xxhash64("query_id"), F.lit(n_q)).alias("_qb"),
-        F.explode(F.sequence(F.lit(0), F.lit(n_c - 1))).cast("long").alias("_cb"))
-    c = corpus.select(
-        "*", F.pmod(F.xxhash64(corpus_id), F.lit(n_c)).alias("_cb"),
-        F.explode(F.sequence(F.lit(0), F.lit(n_q - 1))).cast("long").alias("_qb"))
 
-    def score(q_pdf: pd.DataFrame, c_pdf: pd.DataFrame) -> pd.DataFrame:
-        if q_pdf.empty or c_pdf.empty:
-            return pd.DataFrame({f.name: [] for f in out})
-        return _top_k_of(iter([c_pdf]), q_pdf["query_id"].to_numpy(),
-                         _unit_rows(q_pdf["_query"]), corpus_id, vector, k)
+    def all_blocks(n: int):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+
+    def block_of(name: str, n: int):
+        return F.pmod(F.xxhash64(name), F.lit(n).cast("long"))
 
-    return (q.groupBy("_qb", "_cb").cogroup(c.groupBy("_qb", "_cb")).applyInPandas(score, out))
+    q = queries.select("*", block_of("query_id", n_q).alias("_qb"), all_blocks(n_c).alias("_cb"))
+    c = corpus.select("*", block_of(corpus_id, n_c).alias("_cb"), all_blocks(n_q).alias("_qb"))
+
+    def score(q_pdf: pd.DataFrame, c_pdf: pd.DataFrame) -> pd.DataFrame:
+        if len(q_pdf):
+            for found in _top_k_of(iter([c_pdf]), q_pdf["query_id"].to_numpy(),
+                                   _unit_rows(q_pdf["_query"]), corpus_id, vector, k):
+                return found
+        return pd.DataFrame({"query_id": q_pdf["query_id"].iloc[:0],
+                             "corpus_id": c_pdf[corpus_id].iloc[:0],
+                             "similarity": np.array([], dtype=np.float64)})
+
+    return q.groupBy("_qb", "_cb").cogroup(c.groupBy("_qb", "_cb")).applyInPandas(score, out)
 
 
 def centroids(df: DataFrame, group: str, vector: str = "vector") -> DataFrame:

@@ -301,10 +301,12 @@ kept AS (SELECT * FROM built WHERE lag_arrivals_24h IS NOT NULL)"""
         FROM kept WINDOW w AS (PARTITION BY sector_id ORDER BY window_start)"""
     out["features_strict"] = _with(_SPARSE + strict("sparse"), strict_body)
     out["features_strict_dense"] = _with(_DENSE + strict("dense"), strict_body)
-    out["features_filled"] = _with(_FILLED, """
+    filled = """
         SELECT sector_id, window_start, arrivals_count, round(avg_triage_acuity, 6) AS avg_triage_acuity,
                round(rolling_avg_arrivals_4h, 6) AS rolling_avg_arrivals_4h, lag_arrivals_24h, target_arrivals_h1,
-               target_arrivals_h4, target_arrivals_h24, CAST(day AS VARCHAR) AS dt FROM filled""")
+               target_arrivals_h4, target_arrivals_h24, CAST(day AS VARCHAR) AS dt FROM filled"""
+    out["features_filled"] = _with(_FILLED, filled)
+    out["features_of_day"] = _with(_FILLED, filled + " WHERE day = DATE '2024-01-15'")
     out["latest_per_sector"] = _with(_FILLED, """
         SELECT sector_id, window_start, round(rolling_avg_arrivals_4h, 6) AS rolling_avg_arrivals_4h, lag_arrivals_24h
         FROM filled f WHERE window_start = (SELECT max(window_start) FROM filled g WHERE g.sector_id = f.sector_id)""")

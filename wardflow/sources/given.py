@@ -81,7 +81,9 @@ def care_encounters(events: DataFrame) -> DataFrame:
 
 
 def sectors(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(SECTOR_ROWS, SECTORS)
+    """The sector table as an inline relation: its size is known when a join is planned."""
+    rows = ", ".join(f"('{s}', '{m}', {c})" for s, m, c in SECTOR_ROWS)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t({', '.join(SECTORS.fieldNames())})")
 
 
 def documents(docs: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -73,24 +73,28 @@ def _rebalanced(df: DataFrame, by: tuple[str, ...]) -> DataFrame:
     return df.hint("rebalance", *by) if by else df
 
 
-def overwrite_days(df: DataFrame, root: str, table: str) -> None:
-    """Replaces the partitions that `df` has rows for and leaves all others alone, so a day
-    can be run again at any time."""
+def _write(df: DataFrame, root: str, table: str, mode: str) -> int:
+    """Writes `df` and returns its row count, taken while writing."""
     _, by = TABLES[table]
-    (_rebalanced(df, by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    seen = Observation()
+    rows = _rebalanced(df, by).observe(seen, F.count(F.lit(1)).alias("rows"))
+    (rows.write.mode(mode).option("partitionOverwriteMode", "dynamic")
      .partitionBy(*by).parquet(path_of(root, table)))
+    return seen.get["rows"]
 
 
-def append(df: DataFrame, root: str, table: str) -> bool:
-    """Adds new files; without rows nothing is written and the answer is False."""
-    if df.isEmpty():
-        return False
-    _, by = TABLES[table]
-    _rebalanced(df, by).write.mode("append").partitionBy(*by).parquet(path_of(root, table))
-    return True
+def overwrite_days(df: DataFrame, root: str, table: str) -> int:
+    """Replaces the partitions that `df` has rows for and leaves all others alone, so a day
+    can be run again at any time. Returns the rows written."""
+    return _write(df, root, table, "overwrite")
+
+
+def append(df: DataFrame, root: str, table: str) -> int:
+    """Adds new files; without rows no file is written. Returns the rows written."""
+    return _write(df, root, table, "append")
 
 
-def append_predictions(df: DataFrame, root: str, run_ts: dt.datetime) -> bool:
+def append_predictions(df: DataFrame, root: str, run_ts: dt.datetime) -> int:
     """Predictions of one run, marked with the minute it ran."""
     return append(df.withColumn("run_ts", F.lit(run_ts.strftime("%Y%m%d%H%M"))), root, "gold_predictions")
 
