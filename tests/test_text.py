@@ -4,11 +4,12 @@ import numpy as np
 import pandas as pd
 import pytest
 from helpers import rows
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from wardflow.functions.numbers import coerce_number, round_numbers
 from wardflow.functions.vectors import cosine
-from wardflow.operators.classify import classify, classify_with, fit_text_model, validate
+from wardflow.operators.classify import classify, classify_with, fit_text_models, validate
 from wardflow.operators.encode import embed, hashing_encoder
 from wardflow.operators.retrieval import centroids, similarity_to_group, top_k_similar, with_context
 from wardflow.operators.texts import kb_chunks, split_rejects
@@ -129,10 +130,13 @@ def test_means_by_group(spark):
     assert [round(r.similarity, 6) for r in similarity_to_group(df, "g").orderBy("g").collect()] == [0.707107, 0.707107, 1.0]
 
 
-def test_classification_learns_and_validates(spark):
+def test_classification_learns_and_validates(spark, tmp_path):
     texts = [("monitor broken alarm failed", 1, 1), ("delay in lab results", 0, 0)] * 15
     df = spark.createDataFrame([(i, *x) for i, x in enumerate(texts)], "id int, text string, kind int, severe int")
-    out = classify(df, fit_text_model(df, "kind"), fit_text_model(df, "severe"), "kind", "severe", ("Delay", "Equipment Failure"))
+    # An observation makes the session unfit for tasks; scoring must not depend on it.
+    df.observe(Observation(), F.count(F.lit(1)).alias("n")).collect()
+    model = fit_text_models(df, ["kind", "severe"], str(tmp_path / "model"))
+    out = classify(df, model, "kind", "severe", ("Delay", "Equipment Failure"))
     assert out.schema["classification"].dataType.fieldNames() == CLASSIFICATION.fieldNames()
     flat = out.select("kind", "classification.*")
     assert rows(flat.select("kind", "category").distinct()) == [(0, "Delay"), (1, "Equipment Failure")]

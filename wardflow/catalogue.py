@@ -16,7 +16,7 @@ from wardflow.functions.times import hours
 from wardflow.functions.vectors import norm
 from wardflow.operators import evaluation, features, forecast, load, quality, retrieval, status
 from wardflow.operators.asof import asof_join
-from wardflow.operators.classify import SEVERITIES, classify, fit_text_model, validate
+from wardflow.operators.classify import SEVERITIES, classify, fit_text_models, validate
 from wardflow.operators.dedup import keep_first, latest_per_group
 from wardflow.operators.encode import embed
 from wardflow.operators.hourly import hourly_metrics_dense, hourly_metrics_sparse
@@ -109,6 +109,10 @@ def _chunks(spark, d):
     return kb_chunks(given.documents(given.table(spark, d, "documents")))
 
 
+def _spread_chunks(spark, d):
+    return kb_chunks(lake.spread(given.documents(given.table(spark, d, "documents"))))
+
+
 # --- scans, sinks -------------------------------------------------------------------------
 
 @_query
@@ -451,7 +455,7 @@ def q_kb_chunks(spark, d):
 @_query
 def kb_embed_hashing(spark, d):
     """The vector of every chunk, summed up: words, slots in use, length."""
-    return embed(_chunks(spark, d)).select(
+    return embed(_spread_chunks(spark, d)).select(
         "source", "chunk_no",
         F.aggregate("vector", F.lit(0.0), lambda a, x: a + x).cast("long").alias("words"),
         F.size(F.filter("vector", lambda x: x > 0)).alias("slots"),
@@ -474,7 +478,7 @@ def knn_top3(spark, d):
 
 
 def _hits(spark, d):
-    corpus = _chunks(spark, d).withColumn(
+    corpus = _spread_chunks(spark, d).withColumn(
         "chunk_id", F.concat_ws("#", "source", F.col("chunk_no").cast("string")))
     asked = embed(given.table(spark, d, "benchmark"))
     return corpus, retrieval.top_k_similar(
@@ -502,10 +506,10 @@ def kb_citations(spark, d):
 @_query
 def text_classify(spark, d):
     """All documents classified by models fitted on the labelled ones."""
-    docs = given.table(spark, d, "documents").select("doc_id", "text", "source")
+    docs = lake.spread(given.table(spark, d, "documents").select("doc_id", "text", "source"))
     known = docs.join(given.table(spark, d, "labels"), "doc_id")
-    out = classify(docs, fit_text_model(known, "quality"), fit_text_model(known, "toxic"),
-                   "quality", "toxic", ("Poor report", "Usable report"), F.col("source"))
+    model = fit_text_models(known, ["quality", "toxic"], run_dir(spark, "text-model"))
+    out = classify(docs, model, "quality", "toxic", ("Poor report", "Usable report"), F.col("source"))
     return out.select("doc_id", "classification.*")
 
 

@@ -26,9 +26,8 @@ from wardflow.streaming.knowledge import chunk_stream, document_files
 def _ingest(spark: SparkSession, a: argparse.Namespace) -> None:
     """Files delivered under --input/encounters and --input/events become bronze of the day."""
     for kind, table in (("encounters", "bronze_encounters"), ("events", "bronze_events")):
-        df = spark.read.parquet(f"{a.input}/{kind}").withColumn("dt", F.lit(a.date))
-        if not lake.append(df, a.root, table):
-            raise lake.EmptyInput(f"no rows in {a.input}/{kind}")
+        df = lake.require_rows(spark.read.parquet(f"{a.input}/{kind}"), f"{a.input}/{kind}")
+        lake.append(df.withColumn("dt", F.lit(a.date)), a.root, table)
 
 
 def _kb_ingest(spark: SparkSession, a: argparse.Namespace) -> None:

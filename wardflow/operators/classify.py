@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
+from pyspark.ml.feature import IDF, HashingTF, SQLTransformer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,17 +18,29 @@ from wardflow.schemas import CLASSIFICATION
 SEVERITIES = ("Low", "Medium", "High", "Critical")
 
 
-def fit_text_model(texts: DataFrame, label: str, *, dims: int = 1 << 14, max_iter: int = 20) -> PipelineModel:
-    """A linear text model for a 0/1 label column. Output columns end in `_<label>`."""
-    return Pipeline(stages=[
-        RegexTokenizer(inputCol="text", outputCol=f"words_{label}", pattern=r"\s+"),
-        HashingTF(inputCol=f"words_{label}", outputCol=f"tf_{label}", numFeatures=dims),
-        IDF(inputCol=f"tf_{label}", outputCol=f"x_{label}", minDocFreq=2),
+def fit_text_models(texts: DataFrame, labels: Sequence[str], path: str, *, dims: int = 1 << 14,
+                    max_iter: int = 20) -> PipelineModel:
+    """One linear text model per 0/1 label column over shared word weights, stored at `path`
+    and read back from there.
+
+    Rows without all labels are left out. A model fresh from fitting holds on to its training
+    session, which cannot always be sent to tasks; the stored one does not.
+    """
+    known = texts.na.drop(subset=[*labels, "text"])
+    words = "SELECT *, filter(split(lower(text), '\\\\s+'), w -> w <> '') AS words FROM __THIS__"
+    weigh = Pipeline(stages=[
+        SQLTransformer(statement=words),
+        HashingTF(inputCol="words", outputCol="counts", numFeatures=dims),
+        IDF(inputCol="counts", outputCol="weights", minDocFreq=2),
+    ]).fit(known)
+    weighed = weigh.transform(known).select("weights", *labels)
+    PipelineModel([weigh, *[
         LogisticRegression(
-            featuresCol=f"x_{label}", labelCol=label, predictionCol=f"is_{label}",
+            featuresCol="weights", labelCol=label, predictionCol=f"is_{label}",
             probabilityCol=f"p_{label}", rawPredictionCol=f"raw_{label}",
-            maxIter=max_iter, regParam=0.01),
-    ]).fit(texts.where(F.col(label).isNotNull()))
+            maxIter=max_iter, regParam=0.01).fit(weighed) for label in labels],
+    ]).write().overwrite().save(path)
+    return PipelineModel.load(path)
 
 
 def _chance(label: str) -> Column:
@@ -41,15 +53,14 @@ def severity_of(p: Column) -> Column:
             .when(p < 0.75, SEVERITIES[2]).otherwise(SEVERITIES[3]))
 
 
-def classify(texts: DataFrame, kind_model: PipelineModel, severity_model: PipelineModel,
-             kind_label: str, severity_label: str, kinds: tuple[str, str],
-             sector: Column | None = None) -> DataFrame:
-    """`texts` with a `classification` struct from two fitted models.
+def classify(texts: DataFrame, model: PipelineModel, kind_label: str, severity_label: str,
+             kinds: tuple[str, str], sector: Column | None = None) -> DataFrame:
+    """`texts` with a `classification` struct from the models of two labels.
 
     The models give category, severity and confidence. A linear model knows no cause, so
     `root_cause` stays null; the action follows from the severity.
     """
-    scored = severity_model.transform(kind_model.transform(texts))
+    scored = model.transform(texts)
     p_kind, severity = _chance(kind_label), severity_of(_chance(severity_label))
     record = F.struct(
         F.when(p_kind >= 0.5, kinds[1]).otherwise(kinds[0]).alias("category"),

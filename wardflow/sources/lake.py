@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -73,30 +73,26 @@ def _rebalanced(df: DataFrame, by: tuple[str, ...]) -> DataFrame:
     return df.hint("rebalance", *by) if by else df
 
 
-def _write(df: DataFrame, root: str, table: str, mode: str) -> int:
-    """Writes `df` and returns its row count, taken while writing."""
+def _write(df: DataFrame, root: str, table: str, mode: str) -> None:
     _, by = TABLES[table]
-    seen = Observation()
-    rows = _rebalanced(df, by).observe(seen, F.count(F.lit(1)).alias("rows"))
-    (rows.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    (_rebalanced(df, by).write.mode(mode).option("partitionOverwriteMode", "dynamic")
      .partitionBy(*by).parquet(path_of(root, table)))
-    return seen.get["rows"]
 
 
-def overwrite_days(df: DataFrame, root: str, table: str) -> int:
+def overwrite_days(df: DataFrame, root: str, table: str) -> None:
     """Replaces the partitions that `df` has rows for and leaves all others alone, so a day
-    can be run again at any time. Returns the rows written."""
-    return _write(df, root, table, "overwrite")
+    can be run again at any time."""
+    _write(df, root, table, "overwrite")
 
 
-def append(df: DataFrame, root: str, table: str) -> int:
-    """Adds new files; without rows no file is written. Returns the rows written."""
-    return _write(df, root, table, "append")
+def append(df: DataFrame, root: str, table: str) -> None:
+    """Adds new files to the partitions of `df`; without rows no file is written."""
+    _write(df, root, table, "append")
 
 
-def append_predictions(df: DataFrame, root: str, run_ts: dt.datetime) -> int:
+def append_predictions(df: DataFrame, root: str, run_ts: dt.datetime) -> None:
     """Predictions of one run, marked with the minute it ran."""
-    return append(df.withColumn("run_ts", F.lit(run_ts.strftime("%Y%m%d%H%M"))), root, "gold_predictions")
+    append(df.withColumn("run_ts", F.lit(run_ts.strftime("%Y%m%d%H%M"))), root, "gold_predictions")
 
 
 def write_report(report: DataFrame, root: str) -> None:
@@ -109,6 +105,13 @@ def export_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A plain scan for costly work per row: if its files give fewer tasks than there are
+    cores, the rows are dealt out again; a scan of many files is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """`source, text` of UTF-8 files, one row per file; source is the file path."""
     return (spark.read.text(path, wholetext=True)
