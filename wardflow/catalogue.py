@@ -529,31 +529,34 @@ def classify_validate(spark, d):
 
 # --- streams ------------------------------------------------------------------------------
 
-def _event_stream(spark, d):
-    return files.read_files(spark, d, _events(spark, d).schema, "events.parquet")
+def _stream(spark, d, name):
+    """A given table as a stream of files. As a pattern its path may be one file or a folder."""
+    return files.read_files(spark, f"{d}/{{{name}}}.parquet", given.table(spark, d, name).schema)
+
+
+def _streamed(spark, stream, label):
+    """The rows a stream has written when its input is used up."""
+    out = run_dir(spark, label)
+    files.write_files(stream, f"{out}/data", f"{out}/checkpoint")
+    return files.written(spark, stream, f"{out}/data")
 
 
 @_query
 def stream_dedup(spark, d):
     """Every event delivered twice to a stream comes out once."""
-    out = run_dir(spark, "stream-dedup")
-    once = given.care_events(_event_stream(spark, d)).withColumn(
-        "event_timestamp", files.instant("event_timestamp"))
-    twice = given.care_events(_event_stream(spark, d)).withColumn(
-        "event_timestamp", files.instant("event_timestamp"))
-    files.write_files(dedup_stream(once.union(twice), "event_id", "event_timestamp"),
-                      f"{out}/data", f"{out}/checkpoint")
-    return spark.read.parquet(f"{out}/data")
+    def deliveries():
+        return given.care_events(_stream(spark, d, "events")).withColumn(
+            "event_timestamp", files.instant("event_timestamp"))
+    once = dedup_stream(deliveries().union(deliveries()), "event_id", "event_timestamp")
+    return _streamed(spark, once, "stream-dedup")
 
 
 @_query
 def stream_hourly(spark, d):
     """Hours closed by the watermark, as the stream emits them."""
-    out = run_dir(spark, "stream-hourly")
-    arrivals = given.encounters(_event_stream(spark, d)).withColumn(
+    arrivals = given.encounters(_stream(spark, d, "events")).withColumn(
         "arrival_time", files.instant("arrival_time"))
-    files.write_files(hourly_metrics_stream(arrivals), f"{out}/data", f"{out}/checkpoint")
-    return spark.read.parquet(f"{out}/data")
+    return _streamed(spark, hourly_metrics_stream(arrivals), "stream-hourly")
 
 
 @_query
@@ -570,7 +573,4 @@ def stream_score(spark, d):
 
 @_query
 def stream_kb_chunks(spark, d):
-    out = run_dir(spark, "stream-kb")
-    docs = files.read_files(spark, d, given.table(spark, d, "documents").schema, "documents.parquet")
-    files.write_files(chunk_stream(given.documents(docs)), f"{out}/data", f"{out}/checkpoint")
-    return spark.read.parquet(f"{out}/data")
+    return _streamed(spark, chunk_stream(given.documents(_stream(spark, d, "documents"))), "stream-kb")

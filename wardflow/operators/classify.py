@@ -18,8 +18,8 @@ from wardflow.schemas import CLASSIFICATION
 SEVERITIES = ("Low", "Medium", "High", "Critical")
 
 
-def fit_text_models(texts: DataFrame, labels: Sequence[str], path: str, *, dims: int = 1 << 14,
-                    max_iter: int = 20) -> PipelineModel:
+def fit_text_models(texts: DataFrame, labels: Sequence[str], path: str, *, dims: int = 1 << 13,
+                    max_iter: int = 10) -> PipelineModel:
     """One linear text model per 0/1 label column over shared word weights, stored at `path`
     and read back from there.
 

@@ -22,7 +22,7 @@ def split_by_time(features: DataFrame, cutoff: Column) -> tuple[DataFrame, DataF
     return features.where(F.col("window_start") < cutoff), features.where(F.col("window_start") >= cutoff)
 
 
-def fit_horizon(train: DataFrame, horizon: int, *, max_iter: int = 20, max_depth: int = 5,
+def fit_horizon(train: DataFrame, horizon: int, *, max_iter: int = 20, max_depth: int = 3,
                 seed: int = 42) -> PipelineModel:
     """Boosted trees from the features to the arrivals `horizon` hours ahead."""
     target = f"target_arrivals_h{horizon}"

@@ -10,12 +10,10 @@ from pyspark.sql.types import StructType
 LATENESS = "2 hours"
 
 
-def read_files(spark: SparkSession, path: str, schema: StructType, glob: str | None = None,
+def read_files(spark: SparkSession, path: str, schema: StructType,
                files_per_batch: int | None = None) -> DataFrame:
-    """New Parquet files under `path`, each read once per checkpoint."""
+    """New Parquet files under a folder, or that match a pattern, each read once per checkpoint."""
     reader = spark.readStream.schema(schema)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(path)
@@ -36,6 +34,11 @@ def write_files(df: DataFrame, path: str, checkpoint: str, partition_by: tuple[s
     return query
 
 
+def written(spark: SparkSession, stream: DataFrame, path: str) -> DataFrame:
+    """What write_files left at `path` for this stream; no rows if nothing was finished yet."""
+    return spark.read.schema(stream.schema).parquet(path)
+
+
 def late_rows_dropped(query: StreamingQuery) -> int:
     """Rows that came after the watermark had passed them. They are not in the output; the
     batch run of their day brings them back."""
