@@ -251,9 +251,14 @@ def q_hourly_metrics_dense(spark, d):
     return _dense(spark, d)
 
 
+def _coarse(df, *columns):
+    """Means of minutes to four places: engines add doubles in different orders."""
+    return df.withColumns({c: F.round(c, 4) for c in columns})
+
+
 @_query
 def wait_avg_hourly(spark, d):
-    return load.wait_avg_hourly(_waits(spark, d))
+    return _coarse(load.wait_avg_hourly(_waits(spark, d)), "wait_avg_60m")
 
 
 @_query
@@ -269,7 +274,8 @@ def queue_size(spark, d):
 
 @_query
 def risk_hourly(spark, d):
-    return load.ops_metrics_hourly(load.hourly_load(_waits(spark, d)), given.sectors(spark))
+    ops = load.ops_metrics_hourly(load.hourly_load(_waits(spark, d)), given.sectors(spark))
+    return _coarse(ops, "wait_avg_60m", "risk_score")
 
 
 @_query

@@ -251,7 +251,7 @@ def oracle_sql() -> dict[str, str]:
                CAST(CAST(window_start AS DATE) AS VARCHAR) AS dt FROM dense""")
     out["wait_avg_hourly"] = _with(_WAITS, """
         SELECT sector_id, CAST(date_trunc('hour', arrival_time) AS TIMESTAMP) AS window_start,
-               round(avg(wait_service_min), 6) AS wait_avg_60m, count(*) AS waits_count
+               round(avg(wait_service_min), 4) AS wait_avg_60m, count(*) AS waits_count
         FROM waits WHERE wait_service_min IS NOT NULL GROUP BY ALL""")
     out["occupancy_hourly"] = _with(_LOAD, """
         SELECT sector_id, window_start, occupied_beds, functional_capacity,
@@ -259,9 +259,9 @@ def oracle_sql() -> dict[str, str]:
     out["queue_size"] = _with(_LOAD, "SELECT sector_id, window_start, queue_size FROM load")
     out["risk_hourly"] = _with(_LOAD, """
         SELECT window_start, CAST(hour(window_start) AS INTEGER) AS hour, arrivals_count,
-               round(wait_avg_60m, 6) AS wait_avg_60m, queue_size, occupied_beds,
+               round(wait_avg_60m, 4) AS wait_avg_60m, queue_size, occupied_beds,
                round(occupancy_rate, 6) AS occupancy_rate,
-               round(least(100, greatest(0, 60 * occupancy_rate + 40 * least(1, coalesce(wait_avg_60m, 0) / 60))), 6) AS risk_score,
+               round(least(100, greatest(0, 60 * occupancy_rate + 40 * least(1, coalesce(wait_avg_60m, 0) / 60))), 4) AS risk_score,
                CAST(CAST(window_start AS DATE) AS VARCHAR) AS dt, sector_id
         FROM ops""")
     out["forecast_today"] = _with(_NAIVE, """
