@@ -382,10 +382,10 @@ def drift_psi(spark, d):
 
 
 def _stored_features(spark, d):
-    """Features written once and read by every fit, as the gold layer does."""
-    root = run_dir(spark, "features")
-    lake.overwrite_days(conform(_filled(spark, d), GOLD_FEATURES), root, "gold_features")
-    return root, lake.read_table(spark, root, "gold_features", GOLD_FEATURES)
+    """Features written once to the shared folder and read by every fit; returns the path too."""
+    path = run_dir(spark, "features")
+    conform(_filled(spark, d), GOLD_FEATURES).write.parquet(path)
+    return path, spark.read.schema(GOLD_FEATURES).parquet(path)
 
 
 def _split(f):
@@ -567,11 +567,11 @@ def stream_hourly(spark, d):
 
 @_query
 def stream_score(spark, d):
-    """Feature rows written by day, then scored as a stream."""
+    """Feature rows written to files, then scored as a stream."""
     out = run_dir(spark, "stream-score")
-    root, stored = _stored_features(spark, d)
+    path, stored = _stored_features(spark, d)
     past, _ = _split(stored)
-    rows = files.read_files(spark, lake.path_of(root, "gold_features"), GOLD_FEATURES)
+    rows = files.read_files(spark, path, GOLD_FEATURES)
     score_stream(rows, {1: forecast.fit_horizon(past, 1, max_iter=5)}, "202401300000",
                  f"{out}/data", f"{out}/checkpoint")
     return spark.read.parquet(f"{out}/data")

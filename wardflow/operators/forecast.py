@@ -24,16 +24,20 @@ def split_by_time(features: DataFrame, cutoff: Column) -> tuple[DataFrame, DataF
 
 def fit_horizon(train: DataFrame, horizon: int, *, max_iter: int = 20, max_depth: int = 3,
                 seed: int = 42) -> PipelineModel:
-    """Boosted trees from the features to the arrivals `horizon` hours ahead."""
+    """Boosted trees from the features to the arrivals `horizon` hours ahead.
+
+    Every tree level is a job over all partitions, so the training rows, an hourly table in
+    many small files, are first brought to partitions of a sensible size.
+    """
     target = f"target_arrivals_h{horizon}"
-    known = train.where(F.col(target).isNotNull())
     columns = [F.col(c).cast("double").alias(c) for c in (*FEATURES, target)]
+    known = train.where(F.col(target).isNotNull()).select(*columns).hint("rebalance")
     return Pipeline(stages=[
         VectorAssembler(inputCols=list(FEATURES), outputCol="x"),
         GBTRegressor(featuresCol="x", labelCol=target,
                      predictionCol=f"predicted_arrivals_h{horizon}",
                      maxIter=max_iter, maxDepth=max_depth, seed=seed),
-    ]).fit(known.select(*columns))
+    ]).fit(known)
 
 
 def fit_horizons(train: DataFrame, horizons: Sequence[int] = HORIZONS, **options) -> dict[int, PipelineModel]:
