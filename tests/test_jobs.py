@@ -7,6 +7,7 @@ import pytest
 from helpers import bronze, events, rows, t
 
 from wardflow import jobs
+from wardflow.operators.classify import fit_text_models
 from wardflow.sources import lake
 
 DAY = dt.date(2024, 1, 1)
@@ -50,6 +51,23 @@ def test_questions_to_the_knowledge_base(spark, root, tmp_path):
     assert rows(spark.read.parquet(f"{out}_rejected"), "query_id", "status_code") == [("q2", 400)]
 
 
+def test_texts_are_classified_and_stored(spark, root, tmp_path):
+    known = spark.createDataFrame([("monitor broken alarm", 1, 1), ("lab results late", 0, 0)] * 10,
+                                  "text string, kind int, severe int")
+    fit_text_models(known, ["kind", "severe"], str(tmp_path / "model"))
+    told = tmp_path / "told.json"
+    told.write_text("\n".join(json.dumps(x) for x in (
+        {"id": "a", "text": "alarm monitor broken"}, {"id": "b", "text": "results late"}, {"id": "c", "text": ""})),
+        encoding="utf-8")
+    out = str(tmp_path / "rejected")
+    run(root, "classify", "--date", str(DAY), "--input", str(told), "--output", out, "--model",
+        str(tmp_path / "model"), "--labels", "kind", "severe", "--kinds", "Delay", "Equipment Failure")
+    stored = lake.read_table(spark, root, "gold_classifications")
+    assert rows(stored, "id", "category", "severity", "dt") == [
+        ("a", "Equipment Failure", "Critical", DAY), ("b", "Delay", "Low", DAY)]
+    assert rows(spark.read.parquet(out)) == [("c", "No text provided")]
+
+
 def test_preview_as_csv(spark, root, tmp_path):
     from wardflow.schemas import PREDICTIONS
     df = spark.createDataFrame([("ER", t("10:00"), "v", 1.236, 2.0, 0.125, DAY)], PREDICTIONS)

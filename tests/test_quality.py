@@ -10,6 +10,7 @@ from wardflow.operators import quality
 from wardflow.operators.asof import asof_join
 from wardflow.operators.evaluation import drift_psi, forecast_error, predicted_vs_actual, predictions_long
 from wardflow.schemas import PREDICTIONS
+from wardflow.sources.lake import stored
 
 D1, D2, D3 = (dt.date(2024, 1, i) for i in (1, 2, 3))
 
@@ -94,7 +95,8 @@ def test_drift_against_a_formula_by_hand(spark):
     assert same.psi == 0
 
 
-def test_latest_at_or_before_equals_a_search_by_hand(spark):
+@pytest.mark.parametrize("settle", [lambda df: df, stored])
+def test_latest_at_or_before_equals_a_search_by_hand(spark, settle):
     rnd = random.Random(9)
     right = [(rnd.choice("AB"), START + dt.timedelta(minutes=15 * rnd.randrange(0, 3000)), float(i)) for i in range(300)]
     right += [("A", right[0][1], 1000.0), ("A", START + dt.timedelta(hours=5), 2000.0)]
@@ -103,7 +105,7 @@ def test_latest_at_or_before_equals_a_search_by_hand(spark):
     left += [(1000 + i, r[0], r[1]) for i, r in enumerate(right)]
     left += [(2000 + i, "A", START + dt.timedelta(hours=5)) for i in range(300)] + [(5000, "A", None)]
     got = asof_join(spark.createDataFrame(left, "id int, k string, at timestamp_ntz"),
-                    spark.createDataFrame(right, "k string, made timestamp_ntz, v double"), "k", "at", "made", ["made", "v"])
+                    spark.createDataFrame(right, "k string, made timestamp_ntz, v double"), "k", "at", "made", ["made", "v"], settle)
     out = {r.id: (r.made, r.v) for r in got.collect()}
     assert len(out) == len(left)
     for i, k, at in left:
@@ -114,6 +116,6 @@ def test_latest_at_or_before_equals_a_search_by_hand(spark):
 def test_asof_survives_without_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        test_latest_at_or_before_equals_a_search_by_hand(spark)
+        test_latest_at_or_before_equals_a_search_by_hand(spark, lambda df: df)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

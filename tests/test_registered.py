@@ -13,7 +13,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no given tables")
 QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
-WITHOUT_SQL = {"gbt_h1", "score_latest", "stream_score", "text_classify"}
+WITHOUT_SQL = {"gbt_h1", "model_registry", "score_latest", "stream_score", "text_classify"}
 
 
 @pytest.fixture(scope="module")

@@ -23,11 +23,11 @@ from wardflow.operators.hourly import hourly_metrics_dense, hourly_metrics_spars
 from wardflow.operators.texts import kb_chunks
 from wardflow.operators.timeline import (
     DURATIONS, encounter_timeline, encounter_waits, orphan_events, with_sector)
-from wardflow.plans.daily import features_of_days
+from wardflow.plans import daily
 from wardflow.plans.silver import silver_encounters
 from wardflow.schemas import GOLD_FEATURES, GOLD_METRICS, SILVER_ENCOUNTERS, conform
 from wardflow.session import run_dir
-from wardflow.sources import catalog, given, lake
+from wardflow.sources import catalog, given, lake, models
 from wardflow.streaming import files
 from wardflow.streaming.hourly import hourly_metrics_stream
 from wardflow.streaming.ingest import dedup_stream
@@ -166,16 +166,25 @@ def export_csv(spark, d):
     return spark.read.schema(kinds).option("header", True).csv(path)
 
 
-@_query
-def external_tables(spark, d):
-    """Gold metrics behind an external table, read through the status view."""
+def _views(spark, d):
+    """Gold metrics and predictions behind external tables; returns the database of the views."""
     root, database = run_dir(spark, "tables"), f"wardflow_{uuid.uuid4().hex[:12]}"
     lake.overwrite_days(conform(_sparse(spark, d), GOLD_METRICS), root, "gold_metrics")
     lake.append(_naive(spark, d), root, "gold_predictions")
     spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/database'")
     catalog.create_tables(spark, root, database)
     catalog.create_views(spark, database, AS_OF)
-    return spark.table(f"{database}.vw_current_status")
+    return database
+
+
+@_query
+def external_tables(spark, d):
+    return spark.table(f"{_views(spark, d)}.vw_current_status")
+
+
+@_query
+def external_forecast(spark, d):
+    return spark.table(f"{_views(spark, d)}.vw_forecast_next_24h")
 
 
 # --- silver -------------------------------------------------------------------------------
@@ -329,7 +338,7 @@ def features_filled(spark, d):
 @_query
 def features_of_day(spark, d):
     """The daily run: one day, equal to those rows of a run over all history."""
-    return features_of_days(conform(_sparse(spark, d), GOLD_METRICS), DAY, DAY)
+    return daily.features_of_days(conform(_sparse(spark, d), GOLD_METRICS), DAY, DAY)
 
 
 @_query
@@ -363,7 +372,7 @@ def pred_asof(spark, d):
         "encounter_id", "sector_id", (F.col("arrival_time") - hours(3)).alias("asked_at"))
     naive = _naive(spark, d).withColumn("made_at", F.col("prediction_ts"))
     return asof_join(arrivals, naive, "sector_id", "asked_at", "made_at",
-                     ["prediction_ts", "predicted_arrivals_h1"])
+                     ["prediction_ts", "predicted_arrivals_h1"], lake.stored)
 
 
 @_query
@@ -382,10 +391,8 @@ def drift_psi(spark, d):
 
 
 def _stored_features(spark, d):
-    """Features written once to the shared folder and read by every fit; returns the path too."""
-    path = run_dir(spark, "features")
-    conform(_filled(spark, d), GOLD_FEATURES).write.parquet(path)
-    return path, spark.read.schema(GOLD_FEATURES).parquet(path)
+    """Features computed once and read by every fit."""
+    return lake.stored(conform(_filled(spark, d), GOLD_FEATURES))
 
 
 def _split(f):
@@ -396,7 +403,7 @@ def _split(f):
 @_query
 def gbt_h1(spark, d):
     """Next-hour forecast of the last seven days by trees fitted on the days before."""
-    past, held = _split(_stored_features(spark, d)[1])
+    past, held = _split(_stored_features(spark, d))
     return forecast.predict(held, {1: forecast.fit_horizon(past, 1)}).select(
         "sector_id", "window_start", "target_arrivals_h1", "predicted_arrivals_h1")
 
@@ -404,12 +411,23 @@ def gbt_h1(spark, d):
 @_query
 def score_latest(spark, d):
     """All horizons for the last hour of every sector."""
-    _, f = _stored_features(spark, d)
+    f = _stored_features(spark, d)
     past, _ = _split(f)
     as_of = f.agg(F.max("window_start") + F.make_dt_interval(mins=F.lit(59))).scalar()
     return forecast.score_latest(f, forecast.fit_horizons(past, max_iter=5), as_of, "202401300000")
 
 
+@_query
+def model_registry(spark, d):
+    """Models of all horizons trained, stored and registered; the newest version as loaded."""
+    root = run_dir(spark, "registry")
+    lake.append(conform(_filled(spark, d), GOLD_FEATURES), root, "gold_features")
+    daily.train(spark, root, dt.datetime(2024, 1, 30, 12), max_iter=3)
+    version, fitted = models.load_latest(spark, root)
+    return models.registry(spark, root).where(
+        (F.col("version") == version) & F.col("horizon").isin(*fitted)).drop("path")
+
+
 # --- quality ------------------------------------------------------------------------------
 
 @_query
@@ -472,7 +490,8 @@ def kb_embed_hashing(spark, d):
 def cosine_pairs(spark, d):
     """Every vector against the mean vector of its label."""
     v = given.table(spark, d, "embeddings")
-    return retrieval.similarity_to_group(v, "label", "embedding").select("vec_id", "label", "similarity")
+    return retrieval.similarity_to_group(v, "label", "embedding", lake.stored).select(
+        "vec_id", "label", "similarity")
 
 
 @_query
@@ -500,13 +519,13 @@ def kb_top3(spark, d):
 @_query
 def kb_context(spark, d):
     corpus, hits = _hits(spark, d)
-    return retrieval.with_context(hits, corpus, "chunk_id").select("query_id", "context")
+    return retrieval.with_context(lake.stored(hits), corpus, "chunk_id").select("query_id", "context")
 
 
 @_query
 def kb_citations(spark, d):
     corpus, hits = _hits(spark, d)
-    return retrieval.with_context(hits, corpus, "chunk_id").select("query_id", "citations")
+    return retrieval.with_context(lake.stored(hits), corpus, "chunk_id").select("query_id", "citations")
 
 
 @_query
@@ -519,18 +538,33 @@ def text_classify(spark, d):
     return out.select("doc_id", "classification.*")
 
 
-@_query
-def classify_validate(spark, d):
-    """Records made from events, some of them against the rules, by outcome."""
+def _records(spark, d):
+    """Classification records made from events, some of them against the rules."""
     k = F.get_json_object("props", "$.k").cast("int")
     names = F.array(*[F.lit(s) for s in (*SEVERITIES, "Severe")])
-    records = _events(spark, d).select(
+    return validate(_events(spark, d).select(
         F.when(k != 13, F.col("event_type")).alias("category"),
         F.element_at(names, k % 5 + 1).alias("severity"),
+        F.lit(None).cast("string").alias("root_cause"),
+        F.col("event_type").alias("impacted_sector"),
         F.when(k != 7, F.lit("review")).alias("suggested_action"),
-        (F.col("value") / 20).alias("confidence"))
-    return validate(records).groupBy(F.coalesce("problem", F.lit("none")).alias("problem"), "severity").agg(
-        F.count("*").alias("records"))
+        (F.col("value") / 20).alias("confidence"), F.to_date("ts").alias("dt")))
+
+
+@_query
+def classify_validate(spark, d):
+    return _records(spark, d).groupBy(
+        F.coalesce("problem", F.lit("none")).alias("problem"), "severity").agg(F.count("*").alias("records"))
+
+
+@_query
+def append_classifications(spark, d):
+    """Valid records added to their table and read back."""
+    root = run_dir(spark, "classifications")
+    valid = _records(spark, d).where(F.col("problem").isNull()).drop("problem")
+    lake.append(valid, root, "gold_classifications")
+    return lake.read_table(spark, root, "gold_classifications").groupBy("dt", "severity").agg(
+        F.count("*").alias("records"), F.max("confidence").alias("top_confidence"))
 
 
 # --- streams ------------------------------------------------------------------------------
@@ -568,9 +602,9 @@ def stream_hourly(spark, d):
 @_query
 def stream_score(spark, d):
     """Feature rows written to files, then scored as a stream."""
-    out = run_dir(spark, "stream-score")
-    path, stored = _stored_features(spark, d)
-    past, _ = _split(stored)
+    out, path = run_dir(spark, "stream-score"), run_dir(spark, "stream-score-input")
+    conform(_filled(spark, d), GOLD_FEATURES).write.parquet(path)
+    past, _ = _split(spark.read.schema(GOLD_FEATURES).parquet(path))
     rows = files.read_files(spark, path, GOLD_FEATURES)
     score_stream(rows, {1: forecast.fit_horizon(past, 1, max_iter=5)}, "202401300000",
                  f"{out}/data", f"{out}/checkpoint")

@@ -8,10 +8,12 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from wardflow.functions.texts import CHUNK_CHARS
+from wardflow.operators.classify import classify, validate
 from wardflow.operators.encode import embed, hashing_encoder
 from wardflow.operators.retrieval import top_k_similar, with_context
 from wardflow.operators.status import predictions_preview
@@ -42,10 +44,23 @@ def _kb_query(spark: SparkSession, a: argparse.Namespace) -> None:
     corpus = spark.read.parquet(lake.path_of(a.root, "kb_chunks")).withColumn(
         "chunk_id", F.concat_ws("#", "source", F.col("chunk_no").cast("string")))
     hits = top_k_similar(corpus, embed(asked), a.k, corpus_id="chunk_id", query_id="query_id")
-    with_context(hits, corpus, "chunk_id").write.mode("overwrite").parquet(a.output)
+    with_context(lake.stored(hits), corpus, "chunk_id").write.mode("overwrite").parquet(a.output)
     rejected.write.mode("overwrite").parquet(f"{a.output}_rejected")
 
 
+def _classify(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Texts from a JSON-lines file with `id` and `text`, classified by a stored model; valid
+    records join their table, the rest goes to `--output`."""
+    texts, rejected = split_rejects(spark.read.schema("id string, text string").json(a.input))
+    kind, severity = a.labels
+    out = classify(texts, PipelineModel.load(a.model), kind, severity, tuple(a.kinds))
+    checked = validate(out.select("id", "classification.*"))
+    good = checked.where(F.col("problem").isNull()).drop("problem").withColumn("dt", F.lit(a.date))
+    lake.append(good, a.root, "gold_classifications")
+    broken = checked.where(F.col("problem").isNotNull()).select("id", F.col("problem").alias("reason"))
+    rejected.select("id", "reason").unionByName(broken).write.mode("overwrite").parquet(a.output)
+
+
 def _preview(spark: SparkSession, a: argparse.Namespace) -> None:
     df = lake.read_table(spark, a.root, "gold_predictions", None, a.date, a.date)
     lake.export_csv(predictions_preview(df), a.output)
@@ -65,6 +80,7 @@ STEPS = {
                             catalog.create_views(s, a.database)),
     "kb-ingest": _kb_ingest,
     "kb-query": _kb_query,
+    "classify": _classify,
     "preview": _preview,
 }
 
@@ -81,6 +97,9 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--k", type=int, default=3)
     p.add_argument("--chunk-chars", type=int, default=CHUNK_CHARS)
     p.add_argument("--max-null-rate", type=float, default=0.0)
+    p.add_argument("--model", help="folder of a stored text model")
+    p.add_argument("--labels", nargs=2, help="label of the kind, label of the severity")
+    p.add_argument("--kinds", nargs=2, help="category for kind 0 and for kind 1")
     a = p.parse_args(argv)
     if a.as_of is None and a.step in ("train", "score"):
         a.as_of = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,7 +11,8 @@ from wardflow.functions.times import hour_start, hours
 
 
 def asof_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str,
-              values: Sequence[str]) -> DataFrame:
+              values: Sequence[str],
+              settle: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """`left` with `values` of the last `right` row of the same key at or before `left_ts`.
 
     `right` is a table written on a schedule (a few rows per key and hour); `left` may be raw
@@ -21,6 +22,9 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_t
     (key, hour) of the left side as join skew. Hours in which `left` has rows but `right` has
     none get the value carried over; hours without left rows cost nothing.
     Of several right rows with one time, the one with the largest values counts.
+
+    `settle` is applied to the cut right side before the join. With lake.stored its true size
+    is known, and while it is small enough to broadcast, `left` is not shuffled at all.
     """
     payload = F.struct(*values)
     own = (right.where(F.col(right_ts).isNotNull())
@@ -43,6 +47,7 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_t
             F.col("_hour") + hours(1)))
         .where((F.col("_from") < F.col("_to")) & F.col("_value").isNotNull())
         .select(F.col(key).alias("_key"), "_hour", "_from", "_to", "_value"))
+    pieces = settle(pieces)
     probe = left.withColumn("_at", hour_start(left_ts))
     matched = probe.join(
         pieces,

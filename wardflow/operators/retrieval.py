@@ -10,7 +10,7 @@ blocks is one bounded group. Both ways are exact.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -23,6 +23,7 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructType
 from wardflow.functions.vectors import cosine
 
 PLACES = 9  # similarities equal to this many places are ties, settled by id
+SCORES = 4_000_000  # numbers held at once by one matrix product
 
 
 def _unit_rows(vectors) -> np.ndarray:
@@ -55,11 +56,16 @@ def _merge(a, b, k: int):
 
 def _top_k_of(batches: Iterator[pd.DataFrame], query_ids: np.ndarray, units: np.ndarray,
               corpus_id: str, vector: str, k: int) -> Iterator[pd.DataFrame]:
-    """One frame with the best k rows of all batches per query; none without rows."""
-    held = None
+    """One frame with the best k rows of all batches per query; none without rows.
+
+    Batches are cut so that one product has at most SCORES numbers, whatever the number of
+    queries.
+    """
+    held, step = None, max(1, SCORES // max(1, len(units)))
     for pdf in batches:
-        if len(pdf):
-            found = _score_batch(units, pdf[corpus_id].to_numpy(), pdf[vector], k)
+        for at in range(0, len(pdf), step):
+            part = pdf.iloc[at:at + step]
+            found = _score_batch(units, part[corpus_id].to_numpy(), part[vector], k)
             held = found if held is None else _merge(held, found, k)
     if held is not None:
         yield pd.DataFrame(
@@ -143,16 +149,24 @@ def centroids(df: DataFrame, group: str, vector: str = "vector") -> DataFrame:
         vector_to_array(Summarizer.mean(array_to_vector(F.col(vector)))).alias(vector))
 
 
-def similarity_to_group(df: DataFrame, group: str, vector: str = "vector") -> DataFrame:
-    """Each row with the cosine of its vector to the mean of its group. One mean per group
-    meets each row once; Spark broadcasts the means or splits a hot group as join skew."""
-    means = centroids(df, group, vector).withColumnRenamed(vector, "_mean")
+def similarity_to_group(df: DataFrame, group: str, vector: str = "vector",
+                        settle: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """Each row with the cosine of its vector to the mean of its group.
+
+    One mean per group meets each row once. `settle` is applied to the means: with lake.stored
+    Spark knows their size, broadcasts them while small and else splits a hot group as skew.
+    """
+    means = settle(centroids(df, group, vector).withColumnRenamed(vector, "_mean"))
     return df.join(means, group).withColumn("similarity", cosine(vector, "_mean")).drop("_mean")
 
 
 def with_context(hits: DataFrame, corpus: DataFrame, corpus_id: str) -> DataFrame:
     """Per query: its chunks in rank order joined by a blank line, and their sources once each
-    in the same order. Groups hold k rows."""
+    in the same order. Groups hold k rows.
+
+    Pass hits that were stored (lake.stored): their size is then known to be small, and the
+    corpus is scanned, not shuffled, and the search is not run again.
+    """
     found = hits.join(corpus, hits["corpus_id"] == corpus[corpus_id])
     ordered = F.array_sort(F.collect_list(F.struct("rank", "source", "text")))
     return found.groupBy("query_id").agg(ordered.alias("_hits")).select(

@@ -264,7 +264,7 @@ def oracle_sql() -> dict[str, str]:
                round(least(100, greatest(0, 60 * occupancy_rate + 40 * least(1, coalesce(wait_avg_60m, 0) / 60))), 4) AS risk_score,
                CAST(CAST(window_start AS DATE) AS VARCHAR) AS dt, sector_id
         FROM ops""")
-    out["forecast_today"] = _with(_NAIVE, """
+    out["external_forecast"] = out["forecast_today"] = _with(_NAIVE, """
         SELECT sector_id, round(predicted_arrivals_h1, 6) AS predicted_arrivals_h1, CAST(day AS VARCHAR) AS dt
         FROM naive WHERE day = DATE '2024-01-15'""")
 
@@ -395,14 +395,19 @@ scored AS (
     out["kb_citations"] = _with(_HITS, """
         SELECT query_id, string_agg(source, '|' ORDER BY rank) AS citations
         FROM (SELECT query_id, source, min(rank) AS rank FROM found GROUP BY ALL) GROUP BY query_id""")
-    out["classify_validate"] = """
-        SELECT CASE WHEN k = 13 THEN 'category missing' WHEN severity = 'Severe' THEN 'severity not allowed'
-                    WHEN k = 7 THEN 'action missing' WHEN value / 20 NOT BETWEEN 0 AND 1 THEN 'confidence out of range'
-                    ELSE 'none' END AS problem, severity, count(*) AS records
-        FROM (SELECT CAST(props->>'$.k' AS INTEGER) AS k, value,
-                     ['Low', 'Medium', 'High', 'Critical', 'Severe'][CAST(props->>'$.k' AS INTEGER) % 5 + 1] AS severity
-              FROM events)
-        GROUP BY ALL"""
+    records = """
+records AS (
+  SELECT CASE WHEN k = 13 THEN 'category missing' WHEN severity = 'Severe' THEN 'severity not allowed'
+              WHEN k = 7 THEN 'action missing' WHEN value / 20 NOT BETWEEN 0 AND 1 THEN 'confidence out of range'
+              ELSE 'none' END AS problem, severity, value / 20 AS confidence, CAST(CAST(ts AS DATE) AS VARCHAR) AS dt
+  FROM (SELECT CAST(props->>'$.k' AS INTEGER) AS k, value, ts,
+               ['Low', 'Medium', 'High', 'Critical', 'Severe'][CAST(props->>'$.k' AS INTEGER) % 5 + 1] AS severity
+        FROM events))"""
+    out["classify_validate"] = _with(records, """
+        SELECT problem, severity, count(*) AS records FROM records GROUP BY problem, severity""")
+    out["append_classifications"] = _with(records, """
+        SELECT dt, severity, count(*) AS records, round(max(confidence), 6) AS top_confidence
+        FROM records WHERE problem = 'none' GROUP BY dt, severity""")
     out["stream_hourly"] = _with(_SPARSE, """
         SELECT sector_id, window_start, arrivals_count, round(avg_triage_acuity, 6) AS avg_triage_acuity,
                CAST(CAST(window_start AS DATE) AS VARCHAR) AS dt

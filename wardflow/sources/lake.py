@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from wardflow.session import run_dir
+
 # Table -> (folder under the root, partition columns).
 TABLES = {
     "bronze_encounters": ("bronze/encounters_raw", ("dt",)),
@@ -101,6 +103,17 @@ def write_report(report: DataFrame, root: str) -> None:
      .partitionBy("dt").json(path_of(root, "gold_quality")))
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """`df` written to a new table in the shared folder and read back.
+
+    Lineage ends there, it is computed once, and joins know its true size: Spark then
+    broadcasts it if it is below the threshold, where an estimate would shuffle the other side.
+    """
+    path = run_dir(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def export_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
