@@ -43,8 +43,9 @@ def check_silver(spark: SparkSession, root: str, day: dt.date, max_null_rate: fl
         ["encounter_id", "arrival_time", "triage_level"], "arrival_time",
         low, low + F.expr("INTERVAL '23:59:59.999999' HOUR TO SECOND"), max_null_rate)
     lake.write_report(report, root)
-    quality.require_passed(report)
-    return report
+    written = lake.read_reports(spark, root, day, day)
+    quality.require_passed(written)
+    return written
 
 
 def build_waits(spark: SparkSession, root: str, day: dt.date) -> None:

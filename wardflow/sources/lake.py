@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from wardflow.schemas import DQ_REPORT
 from wardflow.session import run_dir
 
 # Table -> (folder under the root, partition columns).
@@ -103,6 +104,11 @@ def write_report(report: DataFrame, root: str) -> None:
      .partitionBy("dt").json(path_of(root, "gold_quality")))
 
 
+def read_reports(spark: SparkSession, root: str, first: dt.date, last: dt.date) -> DataFrame:
+    days = spark.read.schema(DQ_REPORT).json(path_of(root, "gold_quality"))
+    return days.where(F.col("dt").between(F.lit(first), F.lit(last)))
+
+
 def stored(df: DataFrame) -> DataFrame:
     """`df` written to a new table in the shared folder and read back.
 
