@@ -293,12 +293,13 @@ def near_duplicates(docs: DataFrame, words: int = 3, n: int = 1, budget: int = 3
     return rows.join(stored(named), "sig")
 
 
-def keep_one(docs: DataFrame, words: int = 3, n: int = 8, budget: int = 3, check_bits: int | None = 16) -> DataFrame:
+def keep_one(docs: DataFrame, words: int = 2, n: int = 8, budget: int = 3, check_bits: int | None = 15) -> DataFrame:
     """`docs` with one row of each group of near copies: the one with the smallest doc_id.
 
     Several fingerprints per text find near copies that one would miss; the bits of two of them
-    together decide. 16 differing bits of 128 over 3-word shingles are a similarity of about 0.8
-    over 5-word shingles. Of rows equal in doc_id and text, one stays.
+    together decide. Fingerprints are over 2-word shingles, which an edited word changes less:
+    15 differing bits of 128 stand for a similarity of about 0.8 over 5-word shingles. Of rows
+    equal in doc_id and text, one stays.
     """
     groups = near_duplicates(docs, words, n, budget, check_bits)
     first = groups.where(F.col("_id").eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(
