@@ -14,12 +14,12 @@ links as one edge from each fingerprint to the first of its local component.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardflow.llm.common import bounded_batches, stored
@@ -190,11 +190,23 @@ def _tiles(p: np.ndarray, side: int = 512) -> np.ndarray:
 
 
 _UNIT = ["_t", "_a", "_b"]
-_ROW = [*_UNIT, "_side", "_d", "_v", "_node", "_check"]
+_ROW = [*_UNIT, "_side", "_d", "_v", "_node", "_c0", "_c1"]
 
 
-def _walk_units(rows: DataFrame, depth: int, budget: int, check_bits: int | None) -> DataFrame:
-    """Edges `u, v` found in the units of `rows`, each of which fits one task."""
+def _top(value: str) -> Column:
+    return F.shiftrightunsigned(value, 64 - BLOCK_BITS)
+
+
+def _first_units(rows: DataFrame) -> DataFrame:
+    """Rows of the subtries under the first bits, as units of a node with itself. What follows
+    from the other columns is added after the shuffle."""
+    return rows.select("_t", _top("_v").alias("_a"), _top("_v").alias("_b"), F.lit(0).alias("_side"), F.lit(0).alias("_d"),
+                       "_v", "_node", "_c0", "_c1")
+
+
+def _walk_units(dealt: DataFrame, depth: int, budget: int, check_bits: int | None) -> DataFrame:
+    """Edges `u, v` found in units, each of which fits one task; `dealt` has the rows of a unit in
+    one partition."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [b for b in batches if b.num_rows]
         if not parts:
@@ -204,8 +216,7 @@ def _walk_units(rows: DataFrame, depth: int, budget: int, check_bits: int | None
         side, d = t["_side"].to_numpy(), t["_d"].to_numpy()
         new = np.flatnonzero(np.concatenate([[True], (unit[1:] != unit[:-1]).any(axis=1) | (side[1:] != side[:-1])]))
         end = np.append(new[1:], len(unit))
-        width = len(t["_check"][0])
-        check = t["_check"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(unit), width)
+        check = np.stack([t["_c0"].to_numpy().view(np.uint64), t["_c1"].to_numpy().view(np.uint64)], axis=1)
         trie = Trie(t["_v"].to_numpy().view(np.uint64), t["_node"].to_numpy(), check, budget, check_bits)
         pairs = [np.stack([new, end, new, end, d[new]], axis=1)[(side[new] == 0) & (end - new > 1)]]
         first, second = np.flatnonzero(side[new][:-1] == 1), np.flatnonzero(side[new][1:] == 2) + 1
@@ -217,8 +228,7 @@ def _walk_units(rows: DataFrame, depth: int, budget: int, check_bits: int | None
         for i in range(0, len(u), 1 << 16):
             yield pa.RecordBatch.from_pydict({"u": u[i:i + (1 << 16)], "v": v[i:i + (1 << 16)]})
 
-    dealt = rows.select(*_ROW).repartition(*_UNIT).sortWithinPartitions(*_UNIT, "_side", F.col("_v") < 0, "_v")
-    return dealt.mapInArrow(work, "u long, v long")
+    return dealt.select(*_ROW).sortWithinPartitions(*_UNIT, "_side", F.col("_v") < 0, "_v").mapInArrow(work, "u long, v long")
 
 
 def _split(rows: DataFrame, depth: int, budget: int) -> DataFrame:
@@ -238,7 +248,7 @@ def _split(rows: DataFrame, depth: int, budget: int) -> DataFrame:
         (F.col("_a") * down + F.when(ours_first, own).otherwise(other)).alias("_a"),
         (F.col("_b") * down + F.when(ours_first, other).otherwise(own)).alias("_b"),
         F.when(itself, F.when(own == other, 0).when(own < other, 1).otherwise(2)).otherwise(F.col("_side")).alias("_side"),
-        (F.col("_d") + F.col("_m.n")).alias("_d"), "_v", "_node", "_check")
+        (F.col("_d") + F.col("_m.n")).alias("_d"), "_v", "_node", "_c0", "_c1")
 
 
 def links(nodes: DataFrame, budget: int = 3, check_bits: int | None = None, limit: int = UNIT_LIMIT) -> DataFrame:
@@ -247,25 +257,31 @@ def links(nodes: DataFrame, budget: int = 3, check_bits: int | None = None, limi
     many bits of the first two places together."""
     if budget >= BLOCKS:
         raise ValueError(f"a budget of {budget} bits needs more than {BLOCKS} blocks")
-    check = F.slice("sig", 1, 2) if check_bits is not None else F.array().cast("array<long>")
-    rows = nodes.select("_node", check.alias("_check"), F.posexplode("sig").alias("_k", "_f")).select(
-        "_node", "_check", "_k", F.posexplode(F.array(*[
+    check = [F.get("sig", k) if check_bits is not None else F.lit(0).cast("long") for k in (0, 1)]
+    rows = nodes.select("_node", check[0].alias("_c0"), check[1].alias("_c1"), F.posexplode("sig").alias("_k", "_f")).select(
+        "_node", "_c0", "_c1", "_k", F.posexplode(F.array(*[
             F.shiftleft("_f", BLOCK_BITS * r).bitwiseOR(F.shiftrightunsigned("_f", 64 - BLOCK_BITS * r)) if r else F.col("_f")
-            for r in range(BLOCKS)])).alias("_r", "_v"))
-    top = F.shiftrightunsigned("_v", 64 - BLOCK_BITS)
-    rows = rows.select((F.col("_k") * BLOCKS + F.col("_r")).cast("long").alias("_t"), top.alias("_a"), top.alias("_b"),
-                       F.lit(0).alias("_side"), F.lit(0).alias("_d"), "_v", "_node", "_check")
-    depth, found = BLOCK_BITS, []
+            for r in range(BLOCKS)])).alias("_r", "_v")).select(
+        (F.col("_k") * BLOCKS + F.col("_r")).alias("_t"), "_v", "_node", "_c0", "_c1")
+    unit = (F.shiftleft(F.col("_t").cast("long"), BLOCK_BITS) + _top("_v")).alias("_u")
+    large = stored(rows.groupBy(unit).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit).select("_u"))
+    if large.isEmpty():
+        return _walk_units(_first_units(rows.repartition("_t", _top("_v"))), BLOCK_BITS, budget, check_bits)
+    marked = rows.withColumn("_u", unit)
+    small = marked.join(large, "_u", "left_anti").drop("_u")
+    depth, found = BLOCK_BITS, [_walk_units(_first_units(small.repartition("_t", _top("_v"))), BLOCK_BITS, budget, check_bits)]
+    rows = stored(_first_units(marked.join(large, "_u")))
     while True:
+        rows = stored(_split(rows, depth, budget))
+        depth += STEP
         sides = rows.groupBy(*_UNIT).agg(*[F.count_if(F.col("_side") == k).alias(f"n{k}") for k in range(3)])
         large = stored(sides.where((F.col("n0") + F.col("n1") + F.col("n2") > limit)
                                    & ((F.col("n0") > 1) | (F.col("n1") > 0) & (F.col("n2") > 0))).select(*_UNIT))
         if depth + STEP > 64 or large.isEmpty():
-            found.append(_walk_units(rows, depth, budget, check_bits))
+            found.append(_walk_units(rows.repartition(*_UNIT), depth, budget, check_bits))
             break
-        found.append(_walk_units(rows.join(large, _UNIT, "left_anti"), depth, budget, check_bits))
-        rows = stored(_split(rows.join(large, _UNIT), depth, budget))
-        depth += STEP
+        found.append(_walk_units(rows.join(large, _UNIT, "left_anti").repartition(*_UNIT), depth, budget, check_bits))
+        rows = rows.join(large, _UNIT)
     out = found[0]
     for more in found[1:]:
         out = out.union(more)
