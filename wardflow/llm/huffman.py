@@ -29,7 +29,7 @@ BLOCK = 256                # ids of a block
 LIMIT = 18                 # bits of the longest code
 SEGMENT_BYTES = 4 << 20    # payload of a segment, more only if one document has more
 RANGE_IDS = 1 << 23        # ids of one range of documents, sorted in one task
-CACHE = 400_000            # words whose ids a worker remembers
+CACHE = 900_000            # words whose ids a worker remembers
 PART = 1 << 20             # characters of texts that are cut into words at once
 
 _SEGMENT = ("segment long, start long, doc_ids array<long>, doc_tokens array<int>, doc_bytes array<int>, "
@@ -58,7 +58,8 @@ class Words:
         self.known: dict[str, bytes | None] = {}
 
     def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=np.int64)
+        # The fast form makes no character offsets.
+        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.int64)
 
     def _learn(self, new: list[str]) -> None:
         """Ids of ` word` for new words; None for those after which a space is no border."""
@@ -88,19 +89,22 @@ class Words:
                 size += len(texts[last])
                 last += 1
             parts = [t.split(" ") for t in texts[first:last]]
-            words = set().union(*(p[1:] for p in parts))
-            if new := [w for w in words if w not in self.known]:
+            starts = [p.pop(0) for p in parts]
+            words = set().union(*parts)
+            new = words.difference(self.known)
+            if new:
                 if len(self.known) + len(new) > CACHE:
                     self.known.clear()
-                    new = list(words)
-                self._learn(new)
-            for p in parts:
-                found = [self.known[w] for w in p[1:]]
+                    new = words
+                self._learn(list(new))
+            known = self.known.__getitem__
+            for start, p in zip(starts, parts):
+                found = list(map(known, p))
                 # An unsure part, the first one included, takes its text by longer parts.
-                if None in found or not p[0] or p[0][-1].isspace():
-                    out.append(self._by_longer_parts(p))
+                if None in found or not start or start[-1].isspace():
+                    out.append(self._by_longer_parts([start, *p]))
                 else:
-                    out.append(self._ids(p[0]).astype(self.dtype).tobytes() + b"".join(found))
+                    out.append(self._ids(start).astype(self.dtype).tobytes() + b"".join(found))
             first = last
         return out
 
