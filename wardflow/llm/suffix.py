@@ -30,6 +30,7 @@ MATCH = 200          # bytes of a repeat
 GRAM = 48            # bytes that place and key look at
 PIECE = 1 << 20      # window starts that are looked at together
 BATCHES = 4          # indexes that a whole table is added by
+NULL_ID = -(1 << 63)  # stands for a null doc_id
 WIDE = 5_000         # regions of one key that one task compares
 _R = 0x9E3779B97F4A7C15 | 1
 _R_INVERSE = pow(_R, -1, 1 << 64)
@@ -38,16 +39,13 @@ _MASK = np.uint64((1 << _PLACE_BITS) - 1)
 
 
 def _powers(base: int) -> np.ndarray:
-    def make() -> np.ndarray:
-        p = np.full(2 * PIECE + 4 * MATCH, base, dtype=np.uint64)
-        p[0] = 1
-        return np.cumprod(p, dtype=np.uint64)
+    return once(("powers",), lambda: {x: _cumulative(x) for x in (_R, _R_INVERSE)})[base]
 
-    return _held()[base] if base in _held() else _held().setdefault(base, make())
 
-
-def _held() -> dict[int, np.ndarray]:
-    return once(("powers",), dict)
+def _cumulative(base: int) -> np.ndarray:
+    p = np.full(2 * PIECE + 4 * MATCH, base, dtype=np.uint64)
+    p[0] = 1
+    return np.cumprod(p, dtype=np.uint64)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -121,13 +119,14 @@ def entries_of(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray, np.ndar
 
 
 def suffixes(docs: DataFrame) -> DataFrame:
-    """One row per document: `_id, _th, n_bytes, sha` and the lists `keys, regions, starts, counts`."""
+    """One row per document: `_n` (its number), `_d, _th, n_bytes, sha` and the lists `keys, regions,
+    starts, counts`."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t.encode() for t in batch.column("text").to_pylist()]
             found = entries_of(texts)
             yield pa.RecordBatch.from_pydict({
-                "_id": batch.column("_id"), "_th": batch.column("_th"),
+                "_n": batch.column("_n"), "_d": batch.column("_d"), "_th": batch.column("_th"),
                 "n_bytes": pa.array([len(t) for t in texts], pa.int64()),
                 "sha": pa.array([hashlib.sha256(t).hexdigest() for t in texts]),
                 "keys": pa.array([x[0].view(np.int64) for x in found], pa.list_(pa.int64())),
@@ -135,14 +134,31 @@ def suffixes(docs: DataFrame) -> DataFrame:
                 "starts": pa.array([x[2].astype(np.int32) for x in found], pa.list_(pa.int32())),
                 "counts": pa.array([x[3].astype(np.int32) for x in found], pa.list_(pa.int32()))})
 
-    return _texts(docs).mapInArrow(work, "_id long, _th long, n_bytes long, sha string, keys array<long>, "
-                                         "regions array<long>, starts array<int>, counts array<int>")
+    numbered = _texts(docs).withColumn("_n", F.monotonically_increasing_id())
+    return numbered.mapInArrow(work, "_n long, _d long, _th string, n_bytes long, sha string, keys array<long>, "
+                                     "regions array<long>, starts array<int>, counts array<int>")
 
 
 def _texts(docs: DataFrame) -> DataFrame:
+    """`_d, _th, text`: a doc_id that is never null, a hash that stands for the text, the text."""
     bounded_batches(docs.sparkSession)
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(F.col("doc_id").cast("long").alias("_id"), F.xxhash64(text).alias("_th"), text.alias("text"))
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("_d"), F.md5(text).alias("_th"),
+                       text.alias("text"))
+
+
+def _combined(rows: DataFrame) -> DataFrame:
+    """`key, region, n` of the entries of some documents, equal ones of a batch already counted."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, regions = (batch.column(c).flatten().to_numpy() for c in ("keys", "regions"))
+            order = np.lexsort((regions, keys))
+            keys, regions = keys[order], regions[order]
+            first = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (regions[1:] != regions[:-1])])[:len(keys)])
+            yield pa.RecordBatch.from_pydict({"key": keys[first], "region": regions[first],
+                                              "n": np.diff(np.append(first, len(keys)))})
+
+    return rows.select("keys", "regions").mapInArrow(work, "key long, region long, n long")
 
 
 class Family:
@@ -158,9 +174,8 @@ class Family:
         return name
 
     def add(self, entries: DataFrame) -> None:
-        """Adds a batch of `key, region`; equal ranks merge until each is there once."""
-        now = self._written(entries.repartition(self.buckets, "key").groupBy("key", "region").agg(
-            F.count(F.lit(1)).alias("n")))
+        """Adds a batch of `key, region, n`; equal ranks merge until each is there once."""
+        now = self._written(entries.repartition(self.buckets, "key").groupBy("key", "region").agg(F.sum("n").alias("n")))
         rank = 0
         while rank in self.tables:
             other = self.tables.pop(rank)
@@ -193,14 +208,14 @@ class Family:
 
 
 def _exploded(rows: DataFrame) -> DataFrame:
-    return rows.select("_id", "_th", F.explode(F.arrays_zip("keys", "regions", "starts", "counts")).alias("e")).select(
-        "_id", "_th", F.col("e.keys").alias("key"), F.col("e.regions").alias("region"),
+    return rows.select("_n", F.explode(F.arrays_zip("keys", "regions", "starts", "counts")).alias("e")).select(
+        "_n", F.col("e.keys").alias("key"), F.col("e.regions").alias("region"),
         F.col("e.starts").alias("start"), F.col("e.counts").alias("count"))
 
 
 def _windows(regions: DataFrame) -> DataFrame:
-    """Of `key, _id, _th, start, single, bytes` sorted by key in each partition: runs of windows
-    of single regions that another region of the key has too, as `_id, _th, start, count`."""
+    """Of `key, _d, _th, start, single, bytes` sorted by key in each partition: runs of windows
+    of single regions that another region of the key has too, as `_d, _th, start, count`."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         for batch in batches:
@@ -216,7 +231,7 @@ def _windows(regions: DataFrame) -> DataFrame:
         if held:
             yield from _compared(pa.Table.from_batches(held))
 
-    return regions.mapInArrow(work, "_id long, _th long, start int, count int")
+    return regions.mapInArrow(work, "_d long, _th string, start int, count int")
 
 
 def _compared(t: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -225,7 +240,7 @@ def _compared(t: pa.Table) -> Iterator[pa.RecordBatch]:
     both = _hash_windows(t["bytes"].to_pylist()) ^ t["key"].to_numpy().view(np.uint64)[of]
     _, inverse, times = np.unique(both, return_inverse=True, return_counts=True)
     again = (times[inverse] > 1) & t["single"].to_numpy(zero_copy_only=False)[of]
-    yield _runs(t["_id"], t["_th"], t["start"].to_numpy(), of, n, again)
+    yield _runs(t["_d"], t["_th"], t["start"].to_numpy(), of, n, again)
 
 
 def _hash_windows(parts: list[bytes]) -> np.ndarray:
@@ -257,7 +272,7 @@ def _runs(ids: pa.ChunkedArray, ths: pa.ChunkedArray, start: np.ndarray, of: np.
     inner = at[first] - (np.cumsum(n) - n)[row]
     take = pa.array(row)
     return pa.RecordBatch.from_pydict({
-        "_id": ids.take(take).combine_chunks(), "_th": ths.take(take).combine_chunks(),
+        "_d": ids.take(take).combine_chunks(), "_th": ths.take(take).combine_chunks(),
         "start": pa.array((start[row] + inner).astype(np.int32)), "count": pa.array(count.astype(np.int32))})
 
 
@@ -273,14 +288,14 @@ def _wide_windows(regions: DataFrame) -> DataFrame:
                 inner = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
                 rows = pa.array(of)
                 yield pa.RecordBatch.from_pydict({
-                    "_id": b.column("_id").take(rows), "_th": b.column("_th").take(rows), "key": b.column("key").take(rows),
+                    "_d": b.column("_d").take(rows), "_th": b.column("_th").take(rows), "key": b.column("key").take(rows),
                     "at": pa.array((b.column("start").to_numpy()[of] + inner).astype(np.int32)),
                     "single": b.column("single").take(rows), "h": pa.array(_hash_windows(parts).view(np.int64))})
 
-    windows = stored(regions.mapInArrow(hashed, "_id long, _th long, key long, at int, single boolean, h long"))
+    windows = stored(regions.mapInArrow(hashed, "_d long, _th string, key long, at int, single boolean, h long"))
     again = windows.groupBy("key", "h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("key", "h")
     return windows.where("single").join(again, ["key", "h"]).select(
-        "_id", "_th", F.col("at").alias("start"), F.lit(1).alias("count"))
+        "_d", "_th", F.col("at").alias("start"), F.lit(1).alias("count"))
 
 
 def _regions(candidates: DataFrame) -> DataFrame:
@@ -288,28 +303,28 @@ def _regions(candidates: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for row, (text, spans) in enumerate(zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist())):
-                wanted = [s for s in spans if s["fetch"]]
-                raw = text.encode() if wanted else b""
-                out += [(row, s["key"], s["start"], s["n"] == 1, s["k"], raw[s["start"]:s["start"] + s["count"] + MATCH - 1])
+            for row, (text, wanted) in enumerate(zip(batch.column("text").to_pylist(), batch.column("fetch").to_pylist())):
+                raw = text.encode()
+                out += [(row, s["key"], s["start"], s["single"], s["k"], raw[s["start"]:s["start"] + s["count"] + MATCH - 1])
                         for s in wanted]
             rows = pa.array([x[0] for x in out], pa.int64())
             yield pa.RecordBatch.from_pydict({
-                "_id": batch.column("_id").take(rows), "_th": batch.column("_th").take(rows),
+                "_d": batch.column("_d").take(rows), "_th": batch.column("_th").take(rows),
                 **{c: pa.array([x[i] for x in out], kind) for i, (c, kind) in enumerate((
                     ("key", pa.int64()), ("start", pa.int32()), ("single", pa.bool_()), ("k", pa.int64()), ("bytes", pa.binary())), 1)}})
 
-    return candidates.mapInArrow(work, "_id long, _th long, key long, start int, single boolean, k long, bytes binary")
+    return candidates.where(F.size("fetch") > 0).select("_d", "_th", "text", "fetch").mapInArrow(
+        work, "_d long, _th string, key long, start int, single boolean, k long, bytes binary")
 
 
 def _cut(found: DataFrame) -> DataFrame:
-    """`_id, _th, n_removed, n_spans, kept` of texts with the windows that repeat."""
+    """`_d, _th, n_removed, n_spans, kept` of texts with the windows that repeat."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_removed, n_spans, kept = [], [], []
-            for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
+            for text, whole, more in zip(batch.column("text").to_pylist(), batch.column("whole").to_pylist(), batch.column("runs").to_pylist()):
                 raw, out, at, removed, runs, end = text.encode(), [], 0, 0, 0, -1
-                for s in sorted(spans, key=lambda s: s["start"]):
+                for s in sorted((whole or []) + (more or []), key=lambda s: s["start"]):
                     first, last = s["start"], s["start"] + s["count"] + MATCH - 1
                     if first > end:  # touching runs are one
                         runs += 1
@@ -320,66 +335,76 @@ def _cut(found: DataFrame) -> DataFrame:
                 n_spans.append(runs)
                 kept.append(b"".join(out) + raw[at:])
             yield pa.RecordBatch.from_pydict({
-                "_id": batch.column("_id"), "_th": batch.column("_th"), "n_removed": pa.array(n_removed, pa.int64()),
+                "_d": batch.column("_d"), "_th": batch.column("_th"), "n_removed": pa.array(n_removed, pa.int64()),
                 "n_spans": pa.array(n_spans, pa.int64()), "kept": pa.array(kept, pa.binary())})
 
-    return found.mapInArrow(work, "_id long, _th long, n_removed long, n_spans long, kept binary")
-
-
-def _on(a: DataFrame, b: DataFrame) -> list:
-    return [a["_id"].eqNullSafe(b["_id"]), a["_th"] == b["_th"]]
+    return found.mapInArrow(work, "_d long, _th string, n_removed long, n_spans long, kept binary")
 
 
-def _with_spans(texts: DataFrame, spans: DataFrame) -> DataFrame:
-    """Texts that have spans, with the list of them; a text has at most one span for each of its
-    bytes."""
-    per_doc = spans.groupBy("_id", "_th").agg(F.collect_list(F.struct(
-        *[c for c in spans.columns if c not in ("_id", "_th")])).alias("spans"))
-    per_doc = per_doc.withColumnsRenamed({"_id": "_id2", "_th": "_th2"})
-    return texts.join(per_doc, [texts["_id"].eqNullSafe(per_doc["_id2"]), texts["_th"] == per_doc["_th2"]]).select(
-        "_id", "_th", "text", "spans")
+def _listed(spans: DataFrame, by: list[str], name: str) -> DataFrame:
+    """The spans of a text in one list; a text has at most one for each of its bytes."""
+    return spans.groupBy(*by).agg(F.collect_list(F.struct(*[c for c in spans.columns if c not in by])).alias(name))
 
 
 def remove_repeats(docs: DataFrame, batches: int = BATCHES, wide: int = WIDE) -> tuple[DataFrame, DataFrame]:
-    """Two tables: all documents, `_id, _th, n_bytes, sha` (of the whole text); and those that
-    lose something, `_id, _th, n_removed, n_spans, kept` (the bytes that stay).
+    """Two tables: all documents, `doc_id, _th, n_bytes, sha` (of the whole text) and `copies`
+    (documents with the same text); and the texts that lose some bytes by repeats in other texts
+    or in themselves: `_th, n_removed, n_spans, kept` (the bytes that stay).
 
     A byte goes if a MATCH-byte string that covers it also starts anywhere else in
-    `docs(doc_id, text)`. Null texts count as empty; texts shorter than MATCH bytes lose nothing;
-    rows equal in doc_id and text repeat each other and are alike, so the second table has them
-    once; null doc_ids are kept apart by their texts. An empty table gives two empty ones. Other
-    columns are not read. Strings are compared by two 64-bit hashes.
+    `docs(doc_id, text)`. Texts of MATCH bytes or more that several documents have, rows equal in
+    doc_id included, go as a whole and are not in the second table. Null texts count as empty;
+    shorter texts lose nothing; null doc_ids are documents like others. An empty table gives two
+    empty ones. Other columns are not read. Strings are compared by two 64-bit hashes, texts by
+    a 128-bit one.
     """
     spark = docs.sparkSession
     rows = stored(suffixes(docs))
     size = rows.agg(F.sum("n_bytes")).first()[0] or 0
-    family = Family(spark, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // (512 << 20))))
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // (512 << 20)))
+    family = Family(spark, buckets)
     for b in range(batches):
-        part = rows.where(F.pmod(F.col("_th"), F.lit(batches)) == b)
-        family.add(_exploded(part).select("key", "region"))
+        family.add(_combined(rows.where(F.pmod(F.xxhash64("_th"), F.lit(batches)) == b)))
     repeated = stored(family.repeated())
     family.drop()
-    marked = stored(_exploded(rows).join(repeated, ["key", "region"]))
+    texts = rows.groupBy("_th").agg(F.count(F.lit(1)).alias("copies"), F.min("_d").alias("_first"))
+    known = stored(rows.select("_n", "_d", "_th").join(texts, "_th"))
+    marked = stored(_exploded(rows).join(repeated, ["key", "region"]).select(
+        "_n", "start", "count", (F.col("n") == 1).alias("single"), "k", "open",
+        *[F.when(F.col("open"), F.col(c)).alias(c) for c in ("key", "region")]))
     # One region stands for its equals when windows are compared.
-    fetched = (marked.where("open").groupBy("key", "region").agg(F.min(F.struct("_id", "_th", "start", "count", "n", "k")).alias("r"))
-               .select("r._id", "r._th", "key", "r.start", "r.count", "r.n", "r.k", F.lit(True).alias("fetch")))
-    whole = marked.where(F.col("n") > 1).select("_id", "_th", "key", "start", "count", "n", "k", F.lit(False).alias("fetch"))
-    candidates = stored(_with_spans(_texts(docs), fetched.unionByName(whole)))
+    fetch = (marked.where("open").groupBy("key", "region").agg(F.min(F.struct("_n", "start", "count", "single", "k")).alias("r"))
+             .select("r._n", "key", "r.start", "r.count", "r.single", "r.k"))
+    fetch = _listed(fetch.join(known, "_n").select("_th", "key", "start", "count", "single", "k"), ["_th"], "fetch")
+    whole = _listed(marked.where(~F.col("single")).select("_n", "start", "count"), ["_n"], "whole")
+    whole = whole.join(known.where(F.col("copies") == 1), "_n").select("_th", "whole")
+    wanted = fetch.join(whole, "_th", "full").join(texts, "_th").select(
+        "_th", F.col("_first").alias("_d"), F.coalesce("fetch", F.array().cast(fetch.schema["fetch"].dataType)).alias("fetch"), "whole")
+    # Kept in buckets of the join's own keys: the texts are shuffled once.
+    found = _texts(docs).join(wanted, ["_th", "_d"]).dropDuplicates(["_th", "_d"])
+    name = f"candidates_{uuid.uuid4().hex}"
+    found.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "_th", "_d").saveAsTable(name)
+    candidates = spark.table(name)
     regions = stored(_regions(candidates))
     narrow = regions.where(F.col("k") <= wide).drop("k").repartition("key").sortWithinPartitions("key")
     runs = _windows(narrow)
     if not regions.where(F.col("k") > wide).isEmpty():
         runs = runs.union(_wide_windows(regions.where(F.col("k") > wide).drop("k")))
-    kept = F.filter("spans", lambda s: s["n"] > 1)
-    spans = runs.unionByName(candidates.select("_id", "_th", F.explode(kept).alias("s")).select("_id", "_th", "s.start", "s.count"))
-    lost = _cut(_with_spans(candidates.select("_id", "_th", "text").dropDuplicates(["_id", "_th"]), spans.distinct()))
-    return rows.select("_id", "_th", "n_bytes", "sha"), lost
+    lists = _listed(runs, ["_th", "_d"], "runs")
+    both = candidates.select("_th", "_d", "text", "whole").join(lists, ["_th", "_d"], "left")
+    lost = stored(_cut(both.where(F.col("whole").isNotNull() | F.col("runs").isNotNull())).drop("_d"))
+    spark.sql(f"DROP TABLE {name}")
+    doc_id = F.when(F.col("_d") != NULL_ID, F.col("_d")).alias("doc_id")
+    return rows.select("_d", "_th", "n_bytes", "sha").join(texts, "_th").select(doc_id, "_th", "n_bytes", "sha", "copies"), lost
 
 
 def digests(rows: DataFrame, lost: DataFrame) -> DataFrame:
     """`doc_id, n_bytes, n_removed, n_spans, kept_sha256` of all documents."""
-    short = lost.select(F.col("_id").alias("_id2"), F.col("_th").alias("_th2"), "n_removed", "n_spans",
-                        F.sha2("kept", 256).alias("kept_sha"))
-    return rows.join(short, [rows["_id"].eqNullSafe(short["_id2"]), rows["_th"] == short["_th2"]], "left").select(
-        F.col("_id").alias("doc_id"), "n_bytes", F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
-        F.coalesce("n_spans", F.lit(0)).alias("n_spans"), F.coalesce("kept_sha", "sha").alias("kept_sha256"))
+    short = lost.select("_th", F.col("n_removed").alias("_r"), F.col("n_spans").alias("_s"), F.sha2("kept", 256).alias("_k"))
+    gone = (F.col("copies") > 1) & (F.col("n_bytes") >= MATCH)
+    zero = F.lit(0).cast("long")
+    return rows.join(short, "_th", "left").select(
+        "doc_id", "n_bytes",
+        F.when(gone, F.col("n_bytes")).otherwise(F.coalesce("_r", zero)).alias("n_removed"),
+        F.when(gone, zero + 1).otherwise(F.coalesce("_s", zero)).alias("n_spans"),
+        F.when(gone, F.sha2(F.lit("").cast("binary"), 256)).otherwise(F.coalesce("_k", "sha")).alias("kept_sha256"))
