@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -186,13 +187,9 @@ class Family:
         self.tables[rank] = now
 
     def _together(self, names: list[str]) -> DataFrame:
-        """The entries of some indexes: a join of sorted buckets, no shuffle."""
-        out = self.spark.table(names[0])
-        for name in names[1:]:
-            more = self.spark.table(name).withColumnRenamed("n", "m")
-            out = out.hint("merge").join(more, ["key", "region"], "full").select(
-                "key", "region", (F.coalesce("n", F.lit(0)) + F.coalesce("m", F.lit(0))).alias("n"))
-        return out
+        """The entries of some indexes, scanned together bucket by bucket: tables of the same
+        buckets are united and summed where they are, without a shuffle."""
+        return reduce(DataFrame.union, map(self.spark.table, names)).groupBy("key", "region").agg(F.sum("n").alias("n"))
 
     def repeated(self) -> DataFrame:
         """Entries whose key occurs more than once in the whole family: `key, region, n` with
