@@ -54,14 +54,14 @@ def test_same_seed_same_forecast(features):
     assert rows(fits[0], *key, "predicted_arrivals_h1") == rows(fits[1], *key, "predicted_arrivals_h1")
 
 
-def test_score_takes_the_last_hour_up_to_the_moment(features, spark):
-    as_of = dt.datetime(2024, 1, 10, 9, 20)
+def test_score_takes_the_last_closed_hour(features, spark):
+    as_of, closed = dt.datetime(2024, 1, 10, 9, 20), dt.datetime(2024, 1, 10, 8)
     fitted = forecast.fit_horizons(features, **SMALL)
     out = conform(forecast.score_latest(features, fitted, F.lit(as_of).cast("timestamp_ntz"), "v1"), PREDICTIONS)
     assert rows(out, "sector_id", "prediction_ts", "model_version", "dt") == [
-        ("A", as_of, "v1", as_of.date()), ("B", as_of, "v1", as_of.date())]
-    at_nine = features.where(F.col("window_start") == F.lit(dt.datetime(2024, 1, 10, 9)).cast("timestamp_ntz"))
-    want = forecast.predict(at_nine, fitted)
+        ("A", closed, "v1", as_of.date()), ("B", closed, "v1", as_of.date())]
+    at_eight = features.where(F.col("window_start") == F.lit(closed).cast("timestamp_ntz"))
+    want = forecast.predict(at_eight, fitted)
     for h in (1, 4, 24):
         assert rows(out, "sector_id", f"predicted_arrivals_h{h}") == rows(want, "sector_id", f"predicted_arrivals_h{h}")
 

@@ -37,17 +37,17 @@ def test_a_day_from_the_command_line(spark, root, tmp_path):
 def test_questions_to_the_knowledge_base(spark, root, tmp_path):
     docs = tmp_path / "docs"
     docs.mkdir()
-    (docs / "triage.txt").write_text("Protocolo de triagem: priorizar dor no peito", encoding="utf-8")
-    (docs / "window.txt").write_text("Janela de manutenção todo domingo", encoding="utf-8")
+    (docs / "triage.txt").write_text("Regra da sala verde: ouvir primeiro quem chega de maca", encoding="utf-8")
+    (docs / "window.txt").write_text("Estoque de luvas contado cada quinta", encoding="utf-8")
     for _ in range(2):
         run(root, "kb-ingest", "--input", str(docs))
     assert lake.read_table(spark, root, "kb_chunks").count() == 2
     asked, out = tmp_path / "asked.json", str(tmp_path / "answers")
     asked.write_text("\n".join(json.dumps(q) for q in (
-        {"query_id": "q1", "text": "dor no peito"}, {"query_id": "q2", "text": ""})), encoding="utf-8")
+        {"query_id": "q1", "text": "quem chega de maca"}, {"query_id": "q2", "text": ""})), encoding="utf-8")
     run(root, "kb-query", "--input", str(asked), "--output", out, "--k", "1")
     answer, = spark.read.parquet(out).collect()
-    assert answer.context.startswith("Protocolo") and answer.citations[0].endswith("triage.txt")
+    assert answer.context.startswith("Regra") and answer.citations[0].endswith("triage.txt")
     assert rows(spark.read.parquet(f"{out}_rejected"), "query_id", "status_code") == [("q2", 400)]
 
 

@@ -83,8 +83,36 @@ def test_days_build_on_each_other_and_can_be_repeated(spark, root):
     waits = lake.read_table(spark, root, "silver_waits", SILVER_WAITS)
     assert waits.count() == 144 and rows(waits.select("wait_service_min").distinct()) == [(30.0,)]
     ops = lake.read_table(spark, root, "gold_ops")
-    # Open stays end with their day, so at 23:00 everyone treated so far is in a bed.
-    assert rows(ops.where("hour = 23"), "dt", "occupied_beds", "queue_size") == [(D1, 24, 0), (D2, 48, 0), (D3, 72, 0)]
+    # Nobody was discharged, so at 23:00 everyone treated on any day so far is in a bed.
+    assert rows(ops.where("hour = 23"), "dt", "occupied_beds", "queue_size") == [(D1, 24, 0), (D2, 72, 0), (D3, 144, 0)]
+
+
+def test_a_repeated_day_is_replaced_as_a_whole(spark, root):
+    first = encounters(spark, [("a", t("08:00"), "ER"), ("b", t("09:00"), "OR"), ("c", t("2024-01-02 08:00"), "OR")])
+    lake.overwrite_days(first, root, "silver_encounters")
+    moved = encounters(spark, [("a", t("08:00"), "ER"), ("b", t("09:00"), "ER")])
+    lake.overwrite_days(moved, root, "silver_encounters", [D1])
+    stored = lake.read_table(spark, root, "silver_encounters", SILVER_ENCOUNTERS)
+    assert rows(stored, "encounter_id", "sector_id") == [("a", "ER"), ("b", "ER"), ("c", "OR")]
+    lake.overwrite_days(moved.where("false"), root, "silver_encounters", [D1])
+    assert rows(lake.read_table(spark, root, "silver_encounters", SILVER_ENCOUNTERS), "encounter_id") == [("c",)]
+
+
+def test_a_late_discharge_reaches_its_stay(spark, root):
+    lake.overwrite_days(encounters(spark, [("a", t("23:50"), "ER")]), root, "silver_encounters")
+    lake.overwrite_days(events(spark, [("a", "care_start", t("23:55"))]), root, "silver_events")
+    daily.build_waits(spark, root, D1)
+    lake.overwrite_days(events(spark, [("a", "discharge", t("2024-01-04 10:30"))]), root, "silver_events")
+    day = dt.date(2024, 1, 4)
+    assert daily.days_with_news(spark, root, day) == [D1]
+    sectors = spark.createDataFrame([("ER", "Ana", 3)], SECTORS)
+    daily.build_load(spark, root, sectors, D3, D3)
+    beds = lake.read_table(spark, root, "gold_ops").where(F.col("dt") == F.lit(D3))
+    assert rows(beds.select("occupied_beds").distinct()) == [(1,)], "an open stay goes on"
+    daily.build_waits(spark, root, D1)
+    daily.build_load(spark, root, sectors, day, day)
+    last = lake.read_table(spark, root, "gold_ops").where(F.col("dt") == F.lit(day))
+    assert rows(last.where("occupied_beds > 0"), "hour") == [(h,) for h in range(11)]
 
 
 def test_events_filed_the_day_after_count(spark, root):

@@ -119,3 +119,10 @@ def test_asof_survives_without_broadcast(spark):
         test_latest_at_or_before_equals_a_search_by_hand(spark, lambda df: df)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_drift_of_a_flat_column_that_moved(spark):
+    flat = spark.createDataFrame([(1.0,)] * 20, "x double")
+    moved = spark.createDataFrame([(50.0,)] * 20, "x double")
+    assert drift_psi(flat, moved, ["x"]).first().psi > 1
+    assert drift_psi(flat, flat, ["x"]).first().psi == 0

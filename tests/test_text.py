@@ -65,7 +65,7 @@ def test_cosine_of_zero_is_zero(spark):
 
 
 def test_hashing_encoder_counts_words(spark):
-    v = hashing_encoder(64)(pd.Series(["Dor dor torácica", "", "torácica  DOR\ndor"]))
+    v = hashing_encoder(64)(pd.Series(["Luz luz céu", "", "céu  LUZ\nluz"]))
     assert v.shape == (3, 64) and v[0].sum() == 3 and v[1].sum() == 0
     assert (v[0] == v[2]).all()
 
@@ -116,12 +116,12 @@ def test_top_k_of_few_rows_and_of_none(spark):
 
 
 def test_context_and_citations(spark):
-    corpus = spark.createDataFrame([("a#0", "a", "Protocolo"), ("a#1", "a", "Janela"), ("b#0", "b", "Outro")],
+    corpus = spark.createDataFrame([("a#0", "a", "Pedra"), ("a#1", "a", "Papel"), ("b#0", "b", "Folha")],
                                    "chunk_id string, source string, text string")
     hits = spark.createDataFrame([("q", 1, "a#1", 0.9), ("q", 2, "b#0", 0.8), ("q", 3, "a#0", 0.7)],
                                  "query_id string, rank int, corpus_id string, similarity double")
     out = with_context(hits, corpus, "chunk_id").first()
-    assert out.context == "Janela\n\nOutro\n\nProtocolo" and out.citations == ["a", "b"]
+    assert out.context == "Papel\n\nFolha\n\nPedra" and out.citations == ["a", "b"]
 
 
 def test_means_by_group(spark):

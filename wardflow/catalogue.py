@@ -291,7 +291,7 @@ def risk_hourly(spark, d):
 def current_status(spark, d):
     """An hour inside the window has all its arrivals inside it, so older events are not read."""
     as_of = F.lit(AS_OF).cast("timestamp_ntz")
-    recent = _events(spark, d).where(F.col("ts") >= as_of - hours(2))
+    recent = _events(spark, d).where(F.col("ts").between(as_of - hours(2), as_of + hours(1)))
     return status.current_status(hourly_metrics_sparse(given.encounters(recent)), as_of)
 
 
@@ -414,7 +414,7 @@ def score_latest(spark, d):
     f = _stored_features(spark, d)
     past, _ = _split(f)
     as_of = f.agg(F.max("window_start") + F.make_dt_interval(mins=F.lit(59))).scalar()
-    return forecast.score_latest(f, forecast.fit_horizons(past, max_iter=5), as_of, "202401300000")
+    return forecast.score_latest(f, forecast.fit_horizons(past), as_of, "202401300000")
 
 
 @_query
@@ -422,7 +422,7 @@ def model_registry(spark, d):
     """Models of all horizons trained, stored and registered; the newest version as loaded."""
     root = run_dir(spark, "registry")
     lake.append(conform(_filled(spark, d), GOLD_FEATURES), root, "gold_features")
-    daily.train(spark, root, dt.datetime(2024, 1, 30, 12), max_iter=3)
+    daily.train(spark, root, dt.datetime(2024, 1, 30, 12))
     version, fitted = models.load_latest(spark, root)
     return models.registry(spark, root).where(
         (F.col("version") == version) & F.col("horizon").isin(*fitted)).drop("path")
@@ -606,7 +606,7 @@ def stream_score(spark, d):
     conform(_filled(spark, d), GOLD_FEATURES).write.parquet(path)
     past, _ = _split(spark.read.schema(GOLD_FEATURES).parquet(path))
     rows = files.read_files(spark, path, GOLD_FEATURES)
-    score_stream(rows, {1: forecast.fit_horizon(past, 1, max_iter=5)}, "202401300000",
+    score_stream(rows, {1: forecast.fit_horizon(past, 1)}, "202401300000",
                  f"{out}/data", f"{out}/checkpoint")
     return spark.read.parquet(f"{out}/data")
 

@@ -53,7 +53,7 @@ def drift_psi(baseline: DataFrame, current: DataFrame, columns: Sequence[str],
     """Population stability index of each column between two sets of rows.
 
     Bins have equal width over the range of the baseline; values beyond it fall in the outer
-    bins. Both sides are reduced to counts per column and bin before they meet; a bin empty
+    bins, or, if the baseline has one value only, in bins of their own. Both sides are reduced to counts per column and bin before they meet; a bin empty
     on both sides adds 0, so only bins that occur are needed.
     """
     def long(df: DataFrame) -> DataFrame:
@@ -64,7 +64,9 @@ def drift_psi(baseline: DataFrame, current: DataFrame, columns: Sequence[str],
         long(current).withColumn("_base", F.lit(0)))
     span = long(baseline).groupBy("feature").agg(
         F.min("value").alias("_lo"), ((F.max("value") - F.min("value")) / bins).alias("_width"))
-    place = F.when(F.col("_width") > 0, F.floor((F.col("value") - F.col("_lo")) / F.col("_width")))
+    # A flat baseline has three bins: below it, equal, above.
+    place = F.when(F.col("_width") > 0, F.floor((F.col("value") - F.col("_lo")) / F.col("_width"))).otherwise(
+        F.signum(F.col("value") - F.col("_lo")) + 1)
     # One row per named column, so the broadcast cannot grow with the data.
     counts = (
         values.join(F.broadcast(span), "feature")

@@ -54,11 +54,14 @@ def predict(features: DataFrame, models: dict[int, PipelineModel]) -> DataFrame:
 
 def score_latest(features: DataFrame, models: dict[int, PipelineModel], as_of: Column,
                  version: str) -> DataFrame:
-    """Predictions in canonical form from the last known hour of each sector up to `as_of`."""
-    known = features.where(F.col("window_start") <= as_of)
+    """Predictions in canonical form from the last hour of each sector that was over at `as_of`.
+
+    `prediction_ts` is that hour, so "+n h" is n hours after it; `dt` is the day of `as_of`.
+    """
+    known = features.where(F.col("window_start") <= as_of - F.make_dt_interval(hours=F.lit(1)))
     latest = latest_per_group(known, ["sector_id"], "window_start")
     return predict(latest, models).select(
-        "sector_id", as_of.alias("prediction_ts"), F.lit(version).alias("model_version"),
+        "sector_id", F.col("window_start").alias("prediction_ts"), F.lit(version).alias("model_version"),
         *[F.col(f"predicted_arrivals_h{h}") for h in models], F.to_date(as_of).alias("dt"))
 
 

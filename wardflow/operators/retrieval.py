@@ -80,7 +80,9 @@ def top_k_similar(corpus: DataFrame, queries: DataFrame, k: int = 3, *, corpus_i
     Ids must be unique and be strings or longs. Not more than `max_broadcast_queries` query
     rows are ever brought to the driver.
     """
-    corpus = corpus.select(corpus_id, vector)
+    # Rows without a vector are no neighbours; queries without one have none.
+    corpus = corpus.select(corpus_id, vector).where(F.col(vector).isNotNull())
+    queries = queries.where(F.col(vector).isNotNull())
     queries = queries.select(F.col(query_id).alias("query_id"), F.col(vector).alias("_query"))
     out = (StructType()
            .add("query_id", queries.schema["query_id"].dataType)

@@ -10,12 +10,12 @@ from wardflow.functions.times import hours
 
 
 def current_status(metrics: DataFrame, as_of: Column, window_hours: int = 2) -> DataFrame:
-    """Hourly metrics that started within the last hours before `as_of`.
+    """Hourly metrics that started within the last hours before `as_of`, and not after it.
 
     The day bound repeats the time bound on the partition column, so old days are not read.
     """
     since = as_of - hours(window_hours)
-    return (metrics.where((F.col("window_start") >= since) & (F.col("dt") >= F.to_date(since)))
+    return (metrics.where(F.col("window_start").between(since, as_of) & F.col("dt").between(F.to_date(since), F.to_date(as_of)))
             .select("sector_id", "window_start", "arrivals_count", "avg_triage_acuity"))
 
 

@@ -27,8 +27,8 @@ DAY = dt.timedelta(days=1)
 def bronze_to_silver(spark: SparkSession, root: str, day: dt.date) -> None:
     encounters = lake.read_day(spark, root, "bronze_encounters", day)
     events = lake.read_day(spark, root, "bronze_events", day)
-    lake.overwrite_days(silver_encounters(encounters), root, "silver_encounters")
-    lake.overwrite_days(silver_events(events), root, "silver_events")
+    lake.overwrite_days(silver_encounters(encounters), root, "silver_encounters", [day])
+    lake.overwrite_days(silver_events(events), root, "silver_events", [day])
 
 
 def check_silver(spark: SparkSession, root: str, day: dt.date, max_null_rate: float = 0.0) -> DataFrame:
@@ -49,30 +49,42 @@ def check_silver(spark: SparkSession, root: str, day: dt.date, max_null_rate: fl
 
 
 def build_waits(spark: SparkSession, root: str, day: dt.date) -> None:
-    """Waits of the day's encounters; their events may be filed under the day after."""
+    """Waits of the day's encounters; their events may be filed under any later day."""
     encounters = lake.read_day(spark, root, "silver_encounters", day, SILVER_ENCOUNTERS)
-    events = lake.read_table(spark, root, "silver_events", SILVER_EVENTS, day, day + DAY)
-    lake.overwrite_days(silver_waits(encounters, events), root, "silver_waits")
+    events = lake.read_table(spark, root, "silver_events", SILVER_EVENTS, day)
+    lake.overwrite_days(silver_waits(encounters, events), root, "silver_waits", [day])
+
+
+def days_with_news(spark: SparkSession, root: str, day: dt.date) -> list[dt.date]:
+    """Earlier days whose encounters have events filed under `day`."""
+    events = lake.read_table(spark, root, "silver_events", SILVER_EVENTS, day, day)
+    before = lake.read_table(spark, root, "silver_encounters", SILVER_ENCOUNTERS, last=day - DAY)
+    touched = before.join(events.select("encounter_id"), "encounter_id", "left_semi").select("dt").distinct()
+    return sorted(r.dt for r in touched.collect())
 
 
 def silver_to_gold(spark: SparkSession, root: str, day: dt.date) -> None:
     encounters = lake.read_day(spark, root, "silver_encounters", day, SILVER_ENCOUNTERS)
     # The partition is the day being run, so a stray arrival cannot replace another day.
     metrics = hourly_metrics_sparse(encounters).withColumn("dt", F.lit(day))
-    lake.overwrite_days(conform(metrics, GOLD_METRICS), root, "gold_metrics")
+    lake.overwrite_days(conform(metrics, GOLD_METRICS), root, "gold_metrics", [day])
 
 
-def build_load(spark: SparkSession, root: str, sectors: DataFrame, first: dt.date, last: dt.date,
-               look_back: dt.timedelta = 7 * DAY) -> None:
+def build_load(spark: SparkSession, root: str, sectors: DataFrame, first: dt.date, last: dt.date) -> None:
     """Queue, occupancy and risk of a range of days.
 
-    Levels depend on earlier stays, so encounters that arrived up to `look_back` before are
-    read too; give the longest stay. Hours outside the range are not written.
+    Levels depend on earlier stays: all that had not ended before the range are read, however
+    old. A stay or wait without an end goes on to the end of the range. Hours outside the range
+    are not written.
     """
-    waits = lake.read_table(spark, root, "silver_waits", SILVER_WAITS, first - look_back, last)
-    ops = ops_metrics_hourly(hourly_load(waits), sectors)
+    waits = lake.read_table(spark, root, "silver_waits", SILVER_WAITS, last=last)
+    start = F.lit(first).cast("timestamp_ntz")
+    there = waits.where((F.col("dt") >= F.lit(first)) | F.col("discharge_time").isNull() | (F.col("discharge_time") >= start))
+    end = F.lit(last + DAY).cast("timestamp_ntz")
+    ops = ops_metrics_hourly(hourly_load(there, end), sectors)
+    days = [first + i * DAY for i in range((last - first).days + 1)]
     lake.overwrite_days(
-        conform(ops, GOLD_OPS).where(F.col("dt").between(F.lit(first), F.lit(last))), root, "gold_ops")
+        conform(ops, GOLD_OPS).where(F.col("dt").between(F.lit(first), F.lit(last))), root, "gold_ops", days)
 
 
 def features_of_days(metrics: DataFrame, first: dt.date, last: dt.date, strict: bool = False) -> DataFrame:
@@ -89,7 +101,7 @@ def build_features(spark: SparkSession, root: str, day: dt.date) -> None:
     """Features of the day, and of the day before, whose targets lie in this one."""
     metrics = lake.read_table(spark, root, "gold_metrics", GOLD_METRICS)
     built = features_of_days(metrics, day - DAY, day)
-    lake.overwrite_days(built, root, "gold_features")
+    lake.overwrite_days(built, root, "gold_features", [day - DAY, day])
 
 
 def train(spark: SparkSession, root: str, as_of: dt.datetime, held_out_days: int = 7, **options) -> str:
@@ -107,11 +119,10 @@ def train(spark: SparkSession, root: str, as_of: dt.datetime, held_out_days: int
 
 
 def score(spark: SparkSession, root: str, as_of: dt.datetime) -> None:
-    """Predictions from the newest model for the last known hour of each sector."""
+    """Predictions from the newest model for the last closed hour of each sector, however old."""
     version, fitted = models.load_latest(spark, root)
-    features = lake.read_table(
-        spark, root, "gold_features", GOLD_FEATURES, as_of.date() - 2 * DAY, as_of.date())
-    lake.require_rows(features, "recent gold_features")
+    features = lake.read_table(spark, root, "gold_features", GOLD_FEATURES, last=as_of.date())
+    lake.require_rows(features, "gold_features")
     scored = forecast.score_latest(features, fitted, F.lit(as_of).cast("timestamp_ntz"), version)
     lake.append_predictions(conform(scored, PREDICTIONS), root, as_of)
 
@@ -120,8 +131,10 @@ def run_day(spark: SparkSession, root: str, day: dt.date, sectors: DataFrame | N
     """Everything for one day up to features, stopping where the quality gate fails."""
     bronze_to_silver(spark, root, day)
     check_silver(spark, root, day)
-    build_waits(spark, root, day)
+    news = days_with_news(spark, root, day)
+    for each in [*news, day]:
+        build_waits(spark, root, each)
     silver_to_gold(spark, root, day)
     if sectors is not None:
-        build_load(spark, root, sectors, day, day)
+        build_load(spark, root, sectors, min([*news, day]), day)
     build_features(spark, root, day)

@@ -36,7 +36,8 @@ def create_views(spark: SparkSession, database: str = "default", as_of: str | No
         SELECT sector_id, window_start, arrivals_count, avg_triage_acuity
         FROM {database}.gold_ops_metrics_hourly
         WHERE window_start >= {now} - INTERVAL 2 HOURS
-          AND dt >= to_date({now} - INTERVAL 2 HOURS)""")
+          AND window_start <= {now}
+          AND dt BETWEEN to_date({now} - INTERVAL 2 HOURS) AND to_date({now})""")
     spark.sql(f"""
         CREATE OR REPLACE {kind} {prefix}vw_forecast_next_24h AS
         SELECT sector_id, predicted_arrivals_h1, dt

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,12 +18,12 @@ from wardflow.session import run_dir
 TABLES = {
     "bronze_encounters": ("bronze/encounters_raw", ("dt",)),
     "bronze_events": ("bronze/events_raw", ("dt",)),
-    "silver_encounters": ("silver/encounters", ("dt", "sector_id")),
+    "silver_encounters": ("silver/encounters", ("dt",)),
     "silver_events": ("silver/events", ("dt",)),
-    "silver_waits": ("silver/encounter_waits", ("dt", "sector_id")),
-    "gold_metrics": ("gold/ops_metrics_hourly", ("dt", "sector_id")),
-    "gold_ops": ("gold/ops_load_hourly", ("dt", "sector_id")),
-    "gold_features": ("gold/features", ("dt", "sector_id")),
+    "silver_waits": ("silver/encounter_waits", ("dt",)),
+    "gold_metrics": ("gold/ops_metrics_hourly", ("dt",)),
+    "gold_ops": ("gold/ops_load_hourly", ("dt",)),
+    "gold_features": ("gold/features", ("dt",)),
     "gold_predictions": ("gold/predictions", ("dt",)),
     "gold_quality": ("gold/data_quality_runs", ("dt",)),
     "gold_classifications": ("gold/classifications", ("dt",)),
@@ -82,10 +84,22 @@ def _write(df: DataFrame, root: str, table: str, mode: str) -> None:
      .partitionBy(*by).parquet(path_of(root, table)))
 
 
-def overwrite_days(df: DataFrame, root: str, table: str) -> None:
-    """Replaces the partitions that `df` has rows for and leaves all others alone, so a day
-    can be run again at any time."""
-    _write(df, root, table, "overwrite")
+def overwrite_days(df: DataFrame, root: str, table: str, days: Iterable[dt.date] = ()) -> None:
+    """Replaces the days that `df` has rows for, and empties those of `days` that it has none
+    for; all others are left alone. A day is one folder, so it is replaced as a whole, whatever
+    sectors it had before."""
+    days = set(days)
+    rows = df.persist(StorageLevel.DISK_ONLY) if days else df
+    try:
+        _write(rows, root, table, "overwrite")
+        if days:
+            # One row per day that was written.
+            for day in days - {r.dt for r in rows.select("dt").distinct().collect()}:
+                empty = rows.where(F.lit(False)).drop("dt")
+                empty.write.mode("overwrite").parquet(f"{path_of(root, table)}/dt={day.isoformat()}")
+    finally:
+        if days:
+            rows.unpersist()
 
 
 def append(df: DataFrame, root: str, table: str) -> None:

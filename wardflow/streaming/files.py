@@ -8,12 +8,14 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 LATENESS = "2 hours"
+# Files dated long before the newest one seen are read like any others.
+ANY_AGE = "36500d"
 
 
 def read_files(spark: SparkSession, path: str, schema: StructType,
                files_per_batch: int | None = None) -> DataFrame:
     """New Parquet files under a folder, or that match a pattern, each read once per checkpoint."""
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(schema).option("maxFileAge", ANY_AGE)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(path)

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from wardflow.functions.texts import CHUNK_CHARS
 from wardflow.operators.encode import Encoder, embed
 from wardflow.operators.texts import kb_chunks
+from wardflow.streaming.files import ANY_AGE
 
 
 def document_files(spark: SparkSession, path: str) -> DataFrame:
     """`source, text` of new UTF-8 files under `path`, one row per file."""
-    return (spark.readStream.text(path, wholetext=True)
+    return (spark.readStream.option("maxFileAge", ANY_AGE).text(path, wholetext=True)
             .select(F.col("_metadata.file_path").alias("source"), F.col("value").alias("text")))
 
 
