@@ -25,7 +25,7 @@ from wardflow.llm.common import bounded_batches, stored
 SHARDS = 24
 SEED = 20
 CELLS = 4096             # rows of the matrix at most
-BLOCK_ROWS = 50_000      # mean rows of a block of a shard
+BLOCK_ROWS = 4_000       # mean rows of a block of a shard
 _KEY_BITS = 62
 _INDEX_BITS = 33         # of the row index in monotonically_increasing_id
 
