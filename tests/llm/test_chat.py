@@ -1,0 +1,37 @@
+"""Maximal conversations against a comparison of all prefixes."""
+
+import random
+
+from wardflow.llm import chat
+
+
+def brute(rows):
+    convs = {}
+    for conv, turn, role, text in set(rows):
+        convs.setdefault(conv, []).append((turn is not None, turn or 0, role or "", text or ""))
+    convs = {c: [t[2:] for t in sorted(ts)] for c, ts in convs.items()}
+    out = set()
+    for c, ts in convs.items():
+        same = [x for x, o in convs.items() if o == ts]
+        longer = any(len(o) > len(ts) and o[:len(ts)] == ts for o in convs.values())
+        if not longer and c == min(same, key=lambda x: (x is None, x or 0)):
+            out |= {(c, i + 1, len(ts), len(same), f"<|{r}|>\n{t}\n<|end|>\n") for i, (r, t) in enumerate(ts)}
+    return out
+
+
+def test_equals_all_prefixes(spark):
+    rng = random.Random(6)
+    rows = []
+    for c in range(60):
+        base = random.Random(c % 9)
+        for turn in range(rng.randint(1, 7)):
+            rows.append((c, turn * 3, "user" if turn % 2 else "assistant", f"text {base.random()}"))
+    rows += rows[:5] + [(None, 1, "user", "x"), (None, None, None, None), (70, 1, "a", "x"), (70, 1, "a", "y"), (71, 1, "a", "x"),
+                        (80, 0, "", None), (81, 0, None, "")]
+    rows += [(90, t, "user", f"turn {t}") for t in range(-20, 300)]
+    rows += [(91, t, "user", f"turn {t - 20}") for t in range(250)]
+    df = spark.createDataFrame([(*r, "z") for r in rows], "conv_id long, turn long, role string, text string, h1 string")
+    for block in (256, 7):
+        got = {tuple(r) for r in chat.render(df, block).collect()}
+        assert got == brute(rows)
+    assert chat.render(df.where("false")).collect() == []
