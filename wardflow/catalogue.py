@@ -37,7 +37,7 @@ from wardflow.streaming.score import score_stream
 Query = Callable[[SparkSession, str], DataFrame]
 
 DAY = dt.date(2024, 1, 15)
-AS_OF = "2024-01-15 10:30:00"
+AS_OF = "2024-01-15 15:30:00"
 RANGE = ("2024-01-03 00:00:00", "2024-01-28 12:00:00")
 MAX_NULL_RATE = 0.07
 

@@ -210,7 +210,7 @@ def oracle_sql() -> dict[str, str]:
     out["export_csv"] = out["predictions_preview"] = _with(_NAIVE, preview)
     status = """
         SELECT sector_id, window_start, arrivals_count, round(avg_triage_acuity, 6) AS avg_triage_acuity
-        FROM sparse WHERE window_start BETWEEN TIMESTAMP '2024-01-15 08:30:00' AND TIMESTAMP '2024-01-15 10:30:00'"""
+        FROM sparse WHERE window_start BETWEEN TIMESTAMP '2024-01-15 13:30:00' AND TIMESTAMP '2024-01-15 15:30:00'"""
     out["external_tables"] = out["current_status"] = _with(_SPARSE, status)
 
     out["silver_encounters"] = _with(_ENC, """
