@@ -49,6 +49,19 @@ def test_outliers_go_and_others_stay(spark):
     assert kept == set(range(300))
 
 
+def test_keep_returns_whole_rows(spark):
+    rng = random.Random(5)
+    rows = [(i, None if i % 9 == 0 else " ".join(str(rng.randint(0, 99)) for _ in range(i % 60)), "en", "s" if i % 3 else None, i, -i)
+            for i in range(200)] * 2 + [(None, "a b c d e f g h i j k", None, None, 0, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, kept long, `_row.x` long")
+    judged = outliers.judge(docs.withColumn("again", F.struct("doc_id", "text", "lang", "source", "kept", "`_row.x`")), ("again",))
+    want = Counter(tuple(r.again) for r in judged.where("kept").collect())
+    out = outliers.keep(docs)
+    assert out.schema == docs.schema
+    assert Counter(map(tuple, out.collect())) == want and 100 < sum(want.values()) < len(rows)
+    assert outliers.keep(docs.where("false")).collect() == []
+
+
 def test_a_group_of_equal_rows_stays(spark):
     docs = spark.range(100).select("id", F.lit(" ".join(map(str, range(50)))).alias("text")).selectExpr(
         "id AS doc_id", "text", "'en' AS lang", "CAST(NULL AS STRING) AS source")

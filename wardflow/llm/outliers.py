@@ -164,6 +164,15 @@ def estimates_of(rows: DataFrame, by: list[str] | None = None) -> DataFrame:
         "*", F.greatest(F.exp("_half") / CHI2_MEDIAN, F.lit(1.0)).alias("_scale")).where(F.col("_rows") >= MIN_ROWS))
 
 
+def judged(rows: DataFrame, estimates: DataFrame) -> DataFrame:
+    """`rows` of with_statistics with `distance2` and `kept`. Estimates are one row per group, so
+    Spark's size check broadcasts them; beyond that, skewed groups are split by adaptive execution."""
+    with_estimate = _joined(rows, estimates, list(GROUP), "left").withColumn(
+        "distance2", _squared_distance() / F.col("_scale"))
+    return with_estimate.withColumn(
+        "kept", ~F.col("base_failed") & F.coalesce(F.col("distance2") <= MAX_SQUARED_DISTANCE, F.lit(True)))
+
+
 def judge(docs: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
     """Counts, `base_failed`, `distance2` and `kept` per row of `docs(doc_id, text, lang, source)`;
     the columns named in `more` are handed through.
@@ -174,11 +183,22 @@ def judge(docs: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
     pass the limits. An empty table gives no rows. Other columns are not read.
     """
     rows = stored(with_statistics(docs, more))
-    estimates = estimates_of(rows.where(~F.col("base_failed")))
-    with_estimate = _joined(rows, estimates, list(GROUP), "left").withColumn(
-        "distance2", _squared_distance() / F.col("_scale"))
-    return with_estimate.select(
-        "doc_id", *more, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & F.coalesce(F.col("distance2") <= MAX_SQUARED_DISTANCE, F.lit(True))).alias("kept"),
+    return judged(rows, estimates_of(rows.where(~F.col("base_failed")))).select(
+        "doc_id", *more, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         F.round("distance2", 6).alias("distance2"))
 
+
+def keep(docs: DataFrame) -> DataFrame:
+    """The rows of `docs` that `judge` keeps, all their columns with them, in their order.
+
+    The statistics are made twice: once, stored without texts, for the estimates, once beside
+    the texts for the verdicts. So no text is shuffled, however many rows are rejected.
+    """
+    statistics = stored(with_statistics(docs))
+    estimates = estimates_of(statistics.where(~F.col("base_failed")))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = with_statistics(docs.withColumn("_row", whole), ("_row",))
+    # One condition over both sides of the join: a part of it that needs the counts alone would be
+    # pushed below the steps that make them, and repeat these within one expression.
+    distance = F.coalesce("distance2", F.lit(0.0)) + F.col("base_failed").cast("double") * (2 * MAX_SQUARED_DISTANCE)
+    return judged(rows, estimates).where(distance <= MAX_SQUARED_DISTANCE).select(*[F.col("_row")[c].alias(c) for c in docs.columns])

@@ -31,9 +31,7 @@ def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
-    judged = outliers.judge(docs.withColumn("_th", F.xxhash64(F.coalesce(F.col("text"), F.lit("")))), ("_th",))
-    rejected = judged.where(~F.col("kept")).select(F.col("doc_id").alias("_id"), "_th").distinct()
-    return _without(docs, stored(rejected))
+    return outliers.keep(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
