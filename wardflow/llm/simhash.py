@@ -324,12 +324,17 @@ def keep_one(docs: DataFrame, words: int = 2, n: int = 8, budget: int = 3, check
 
 
 def only(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of `docs` whose doc_id and text hash are in `kept(_id, _th)`, each once."""
-    from pyspark.sql import Window as W
-
-    marked = docs.withColumn("_keep_id", F.col("doc_id").cast("long")).withColumn(
-        "_keep_th", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    found = marked.join(kept, marked["_keep_id"].eqNullSafe(kept["_id"]) & (marked["_keep_th"] == kept["_th"]), "left_semi")
-    w = W.partitionBy("_keep_id", "_keep_th").orderBy(F.lit(1))
-    return (found.withColumn("_keep_n", F.row_number().over(w)).where(F.col("_keep_n") == 1)
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    """The rows of `docs` whose doc_id and text hash are in `kept(_id, _th)`, each once.
+
+    A null doc_id is written as two columns that are not null: so the join and the choice among
+    equal rows agree on their keys, and texts are shuffled once for both.
+    """
+    def keys(doc_id: Column, th: Column) -> list[Column]:
+        return [F.coalesce(doc_id.cast("long"), F.lit(0)).alias("_keep_id"),
+                F.isnull(doc_id).cast("int").alias("_keep_null"), th.alias("_keep_th")]
+
+    names = ["_keep_id", "_keep_null", "_keep_th"]
+    th = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    found = docs.select("*", *keys(F.col("doc_id"), th)).join(
+        kept.select(*keys(F.col("_id"), F.col("_th"))), names, "left_semi")
+    return found.dropDuplicates(names).select(*[F.col(f"`{c}`") for c in docs.columns])
