@@ -49,7 +49,7 @@ def test_report_names_the_first_broken_rule(spark):
                          ntz(START), ntz(t("2024-01-03 00:00")))
     assert [(r.status, r.reason, r.checks) for r in out.orderBy("dt").collect()] == [
         ("PASSED", None, ["existence", "nulls", "time_range"]),
-        ("FAILED", "too many nulls", ["existence", "time_range"]),
+        ("FAILED", "too many nulls: triage_level", ["existence", "time_range"]),
         ("FAILED", "no rows", []),
         ("FAILED", "time out of range", ["existence", "nulls"])]
     with pytest.raises(quality.QualityGateFailed, match="2024-01-02: too many nulls"):
@@ -57,6 +57,13 @@ def test_report_names_the_first_broken_rule(spark):
     quality.require_passed(out.where("status = 'PASSED'"))
 
 
+def test_null_limit_holds_for_each_column(spark):
+    df = encounters(spark, [(str(i), t("08:00"), "ER", None if i < 2 else 3) for i in range(10)])
+    out = quality.report(df, quality.expected_days(df), ["encounter_id", "arrival_time", "triage_level"], "arrival_time",
+                         ntz(START), ntz(t("2024-01-03 00:00")), 0.1).first()
+    assert (out.status, out.reason, out.null_count) == ("FAILED", "too many nulls: triage_level", 2)
+
+
 def predictions(spark, data):
     return spark.createDataFrame([(s, at, "v", a, b, c, at.date()) for s, at, a, b, c in data], PREDICTIONS)
 

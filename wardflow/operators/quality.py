@@ -63,25 +63,28 @@ def report(df: DataFrame, days: DataFrame, required: Sequence[str], ts: str,
            low: Column, high: Column, max_null_rate: float = 0.0) -> DataFrame:
     """One row per expected day with the outcome of every rule, from one scan of `df`.
 
-    `reason` names the first rule broken, `checks` the rules that held.
+    The largest share of nulls holds for each required column by itself. `reason` names the
+    first rule broken, and the columns that broke it, `checks` the rules that held.
     """
-    nulls = sum((F.col(c).isNull().cast("int") for c in required), F.lit(0))
+    nulls = {c: f"_null{i}" for i, c in enumerate(required)}
     measured = df.groupBy("dt").agg(
         F.count("*").alias("row_count"),
-        F.sum(nulls).alias("null_count"),
+        *[F.count_if(F.col(c).isNull()).alias(n) for c, n in nulls.items()],
         F.count_if(out_of_range(ts, low, high)).alias("out_of_range"))
     zero = F.lit(0).cast("long")
     joined = days.join(measured, "dt", "left").select(
-        "dt", *[F.coalesce(c, zero).alias(c) for c in ("row_count", "null_count", "out_of_range")])
-    # Share of required cells that are null.
-    rate = F.col("null_count") / (F.greatest(F.col("row_count"), F.lit(1)) * len(required))
+        "dt", *[F.coalesce(c, zero).alias(c) for c in ("row_count", *nulls.values(), "out_of_range")])
+    joined = joined.withColumn("null_count", sum((F.col(n) for n in nulls.values()), zero))
+    rows = F.greatest(F.col("row_count"), F.lit(1))
+    broken = F.array_compact(F.array(*[F.when(F.col(n) / rows > max_null_rate, c) for c, n in nulls.items()]))
     exists = F.col("row_count") > 0
-    filled = rate <= max_null_rate
+    filled = F.size(broken) == 0
     in_range = F.col("out_of_range") == 0
     return joined.select(
         "dt",
         _status(exists & filled & in_range).alias("status"),
-        F.when(~exists, "no rows").when(~filled, "too many nulls")
+        F.when(~exists, "no rows")
+        .when(~filled, F.concat(F.lit("too many nulls: "), F.array_join(broken, ", ")))
         .when(~in_range, "time out of range").alias("reason"),
         F.array_compact(F.array(
             F.when(exists, "existence"),

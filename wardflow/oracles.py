@@ -161,13 +161,17 @@ silver AS (
   FROM enc),
 days AS (SELECT unnest(generate_series(min(day), max(day) + INTERVAL 1 DAY, INTERVAL 1 DAY))::DATE AS day FROM silver),
 measured AS (
-  SELECT d.day, count(s.day) AS row_count,
-         count(s.day) FILTER (s.arrival_time IS NULL) + count(s.day) FILTER (s.triage_level IS NULL) AS null_count,
+  SELECT d.day, count(s.day) AS row_count, count(s.day) FILTER (s.encounter_id IS NULL) AS no_id,
+         count(s.day) FILTER (s.arrival_time IS NULL) AS no_time, count(s.day) FILTER (s.triage_level IS NULL) AS no_level,
          count(s.day) FILTER (s.arrival_time < TIMESTAMP '2024-01-03 00:00:00'
                               OR s.arrival_time > TIMESTAMP '2024-01-28 12:00:00') AS out_of_range
   FROM days d LEFT JOIN silver s USING (day) GROUP BY d.day),
 judged AS (
-  SELECT *, row_count > 0 AS has_rows, null_count / (greatest(row_count, 1) * 3.0) <= 0.07 AS filled,
+  SELECT *, row_count > 0 AS has_rows, no_id + no_time + no_level AS null_count,
+         greatest(no_id, no_time, no_level) / greatest(row_count, 1) <= 0.07 AS filled,
+         concat_ws(', ', CASE WHEN no_id / greatest(row_count, 1) > 0.07 THEN 'encounter_id' END,
+                   CASE WHEN no_time / greatest(row_count, 1) > 0.07 THEN 'arrival_time' END,
+                   CASE WHEN no_level / greatest(row_count, 1) > 0.07 THEN 'triage_level' END) AS lacking,
          out_of_range = 0 AS in_range FROM measured)"""
 _BINNED = _FILLED + """,
 cut AS (SELECT max(day) - 6 AS c FROM filled),
@@ -359,7 +363,7 @@ kept AS (SELECT * FROM built WHERE lag_arrivals_24h IS NOT NULL)"""
     out["dq_report"] = _with(_QUALITY_SILVER, """
         SELECT CAST(day AS VARCHAR) AS dt,
                CASE WHEN has_rows AND filled AND in_range THEN 'PASSED' ELSE 'FAILED' END AS status,
-               CASE WHEN NOT has_rows THEN 'no rows' WHEN NOT filled THEN 'too many nulls'
+               CASE WHEN NOT has_rows THEN 'no rows' WHEN NOT filled THEN 'too many nulls: ' || lacking
                     WHEN NOT in_range THEN 'time out of range' END AS reason,
                concat_ws('|', CASE WHEN has_rows THEN 'existence' END, CASE WHEN has_rows AND filled THEN 'nulls' END,
                          CASE WHEN has_rows AND in_range THEN 'time_range' END) AS checks,

@@ -3,18 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from wardflow.operators.hourly import hourly_metrics_sparse
 from wardflow.streaming.files import LATENESS
 
 
 def hourly_metrics_stream(encounters: DataFrame, lateness: str = LATENESS) -> DataFrame:
     """The sparse hourly metrics; in append mode an hour comes out once the watermark is past
     its end. State is one count and sum per open hour and sector."""
-    return (
-        encounters.withWatermark("arrival_time", lateness)
-        .groupBy("sector_id", F.window("arrival_time", "1 hour").alias("w"))
-        .agg(F.count("encounter_id").alias("arrivals_count"),
-             F.avg("triage_level").alias("avg_triage_acuity"))
-        .select(F.col("w.start").alias("window_start"), "arrivals_count", "avg_triage_acuity",
-                F.to_date("w.start").alias("dt"), "sector_id"))
+    return hourly_metrics_sparse(encounters.withWatermark("arrival_time", lateness))
