@@ -74,6 +74,15 @@ def test_rows_and_ties(spark):
     assert simhash.near_duplicates(docs.where("false")).collect() == []
 
 
+def test_unrelated_texts_stay_whatever_their_ids(spark):
+    texts = ["one text of some words here", "quite another matter, nothing alike", "third thing: rain over hills", "a fourth, last of all"]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (4, texts[2]), (4, texts[3]), (6, texts[3]), (None, texts[3])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {tuple(r) for r in simhash.keep_one(docs).collect()}
+    assert kept == {(None, texts[0]), (None, texts[1]), (4, texts[2]), (4, texts[3])}
+    assert simhash.keep_one(docs).count() == 4
+
+
 def test_near_copies_go(spark):
     rng = random.Random(1)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8)))

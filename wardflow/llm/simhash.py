@@ -288,6 +288,21 @@ def links(nodes: DataFrame, budget: int = 3, check_bits: int | None = None, limi
     return out
 
 
+def grouped(docs: DataFrame, words: int = 3, n: int = 1, budget: int = 3,
+            check_bits: int | None = None, limit: int = UNIT_LIMIT) -> DataFrame:
+    """Rows of near_duplicates with `component`, a number for each component: components may
+    share their smallest doc_id, or have none."""
+    rows = stored(fingerprints(docs, words, n))
+    nodes = stored(rows.groupBy("sig").agg(F.min("_id").alias("_first"))
+                   .withColumn("_node", F.monotonically_increasing_id()))
+    groups = components(links(nodes, budget, check_bits, limit))
+    placed = nodes.join(groups, nodes["_node"] == groups["node"], "left").select(
+        "sig", "_first", F.coalesce("component", "_node").alias("component"))
+    firsts = placed.groupBy("component").agg(F.min("_first").alias("component_id"))
+    named = placed.join(firsts, "component").select("sig", "component", "component_id")
+    return rows.join(stored(named), "sig")
+
+
 def near_duplicates(docs: DataFrame, words: int = 3, n: int = 1, budget: int = 3,
                     check_bits: int | None = None, limit: int = UNIT_LIMIT) -> DataFrame:
     """`_id, _th, sig, component_id` for each row of `docs(doc_id, text)`: rows linked by
@@ -298,28 +313,21 @@ def near_duplicates(docs: DataFrame, words: int = 3, n: int = 1, budget: int = 3
     doc_id stays null and counts only if its component has no other. Equal rows give equal
     rows; an empty table gives none; other columns are not read.
     """
-    rows = stored(fingerprints(docs, words, n))
-    nodes = stored(rows.groupBy("sig").agg(F.min("_id").alias("_first"))
-                   .withColumn("_node", F.monotonically_increasing_id()))
-    groups = components(links(nodes, budget, check_bits, limit))
-    placed = nodes.join(groups, nodes["_node"] == groups["node"], "left").select(
-        "sig", "_first", F.coalesce("component", "_node").alias("component"))
-    firsts = placed.groupBy("component").agg(F.min("_first").alias("component_id"))
-    named = placed.join(firsts, "component").select("sig", "component_id")
-    return rows.join(stored(named), "sig")
+    return grouped(docs, words, n, budget, check_bits, limit).drop("component")
 
 
 def keep_one(docs: DataFrame, words: int = 2, n: int = 8, budget: int = 3, check_bits: int | None = 15) -> DataFrame:
-    """`docs` with one row of each group of near copies: the one with the smallest doc_id.
+    """`docs` with one row of each group of near copies: the one with the smallest doc_id (null
+    last), then text hash. Groups are told apart by their texts, whatever doc_ids they share.
 
     Several fingerprints per text find near copies that one would miss; the bits of two of them
     together decide. Fingerprints are over 2-word shingles, which an edited word changes less:
     15 differing bits of 128 stand for a similarity of about 0.8 over 5-word shingles. Of rows
     equal in doc_id and text, one stays.
     """
-    groups = near_duplicates(docs, words, n, budget, check_bits)
-    first = groups.where(F.col("_id").eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(
-        F.min("_th").alias("_th")).withColumnRenamed("component_id", "_id")
+    groups = grouped(docs, words, n, budget, check_bits)
+    first = groups.where(F.col("_id").eqNullSafe(F.col("component_id"))).groupBy("component", "_id").agg(
+        F.min("_th").alias("_th"))
     return only(docs, first)
 
 
