@@ -51,6 +51,43 @@ def test_one_dense_cluster(spark):
     assert len(got) == len(values) and {r.component for r in got} == {0}
 
 
+def test_one_fingerprint_of_many_nodes(spark):
+    """Eight places, of which one is the same in all nodes; the first two decide."""
+    rng = random.Random(7)
+    bits = lambda: rng.getrandbits(64) - (1 << 63)
+    flipped = lambda x, n: x ^ sum({1 << rng.randrange(63) for _ in range(n)})
+    centres = [(bits(), bits()) for _ in range(9)]
+    sigs = []
+    for i in range(120):
+        a, b = centres[i % 9]
+        sigs.append([flipped(a, i % 7), flipped(b, i // 9 % 8), bits(), -5, *[bits() for _ in range(4)]])
+    sigs += [[*sigs[0][:3], -5, *[bits() for _ in range(4)]] for _ in range(9)]  # equal in both check places
+    nodes = spark.createDataFrame(list(enumerate(sigs)), "_node long, sig array<long>")
+    got = {r.node: r.component for r in graph.components(simhash.links(nodes, 3, 15, 16)).collect()}
+    check = np.array([s[:2] for s in sigs], dtype=np.int64).view(np.uint64)
+    near = [np.flatnonzero(np.bitwise_count(check ^ c).sum(axis=1) <= 15).tolist() for c in check]
+    root, changed = list(range(len(sigs))), True
+    while changed:
+        changed = False
+        for i, others in enumerate(near):
+            least = min(root[j] for j in others)
+            changed, root[i] = changed or least < root[i], min(least, root[i])
+    assert [got.get(i, i) for i in range(len(sigs))] == root and 9 <= len(set(root)) < 60
+
+
+def test_whole_values_are_dealt_in_bounded_units(spark):
+    rows = spark.range(300).selectExpr(
+        "1L AS _t", "-5L AS _a", "-5L AS _b", "0 AS _side", "0 AS _d", "-5L AS _v", "id AS _node", "id % 200 AS _c0", "0L AS _c1")
+    equal, tiled = simhash._whole_values(rows, 40)
+    assert equal.count() == 100
+    units = {}
+    for r in tiled.collect():
+        units.setdefault((r._t, r._a, r._b), []).append((r._side, r._node))
+    assert max(map(len, units.values())) <= 80
+    met = {frozenset((a, b)) for u in units.values() for s, a in u for z, b in u if a != b and (s, z) in ((0, 0), (1, 2))}
+    assert len(met) == 200 * 199 // 2
+
+
 def test_components_of_a_path(spark):
     links = spark.range(60).select(F.col("id").alias("u"), (F.col("id") + 1).alias("v"))
     assert {(r.node, r.component) for r in graph.components(links).collect()} == {(i, 0) for i in range(61)}

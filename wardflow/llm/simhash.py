@@ -9,7 +9,8 @@ is found in another rotation. Below, the full budget holds.
 The subtries under the first 16 bits are spread over tasks. A subtrie that is too large for one
 is walked down further by Spark: its rows go to the pairs of child nodes they take part in. So no
 task holds an unbounded group, and pairs of documents are never written: a task returns the
-links as one edge from each fingerprint to the first of its local component.
+links as one edge from each fingerprint to the first of its local component. Nodes that share all
+64 bits of one fingerprint, told apart by their others, are dealt to pairs of blocks of nodes.
 """
 
 from __future__ import annotations
@@ -242,15 +243,42 @@ def _split(rows: DataFrame, depth: int, budget: int) -> DataFrame:
     own, other = F.col("_s"), F.col("_o")
     itself = F.col("_side") == 0
     ours_first = F.when(itself, own <= other).otherwise(F.col("_side") == 1)
-    down = 1 << STEP
+    # Shifts, not products: a prefix of 58 bits or more may leave the positive range.
     return dealt.select(
         "_t",
-        (F.col("_a") * down + F.when(ours_first, own).otherwise(other)).alias("_a"),
-        (F.col("_b") * down + F.when(ours_first, other).otherwise(own)).alias("_b"),
+        F.shiftleft("_a", STEP).bitwiseOR(F.when(ours_first, own).otherwise(other)).alias("_a"),
+        F.shiftleft("_b", STEP).bitwiseOR(F.when(ours_first, other).otherwise(own)).alias("_b"),
         F.when(itself, F.when(own == other, 0).when(own < other, 1).otherwise(2)).otherwise(F.col("_side")).alias("_side"),
         (F.col("_d") + F.col("_m.n")).alias("_d"), "_v", "_node", "_c0", "_c1")
 
 
+def _whole_values(rows: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
+    """Of units whose sides are one value each: edges `u, v` between nodes equal in the check bits
+    too, and units of about `limit` rows that have every pair of the others.
+
+    The first of the equal nodes stands for them. What is still too large is dealt by a hash of
+    the node to blocks, and each two blocks are a unit.
+    """
+    same = [*_UNIT, "_side", "_d", "_v", "_c0", "_c1"]
+    firsts = stored(rows.groupBy(*same).agg(F.min("_node").alias("_node")))
+    equal = rows.join(firsts.withColumnRenamed("_node", "_first"), same).where(
+        F.col("_node") != F.col("_first")).select(F.col("_node").alias("u"), F.col("_first").alias("v"))
+    sizes = stored(firsts.groupBy(*_UNIT).agg(F.count(F.lit(1)).alias("_size"))
+                   .withColumn("_q", F.monotonically_increasing_id())
+                   .withColumn("_blocks", F.when(F.col("_size") <= limit, 1).otherwise(F.ceil(2 * F.col("_size") / limit)).cast("int")))
+    dealt = (firsts.join(sizes, _UNIT)
+             .withColumn("_h", F.pmod(F.xxhash64("_node"), F.col("_blocks")).cast("int"))
+             .withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))))
+    own, other = F.col("_h"), F.col("_o")
+    ours_first = F.when(F.col("_side") == 0, own <= other).otherwise(F.col("_side") == 1)
+    return equal, dealt.select(
+        F.col("_q").alias("_t"),
+        F.when(ours_first, own).otherwise(other).cast("long").alias("_a"),
+        F.when(ours_first, other).otherwise(own).cast("long").alias("_b"),
+        F.when(F.col("_side") == 0, F.when(own == other, 0).when(own < other, 1).otherwise(2))
+        .otherwise(F.col("_side")).alias("_side"), "_d", "_v", "_node", "_c0", "_c1")
+
+
 def links(nodes: DataFrame, budget: int = 3, check_bits: int | None = None, limit: int = UNIT_LIMIT) -> DataFrame:
     """Edges `u, v` that connect all of `nodes(_node, sig)` whose fingerprints differ in
     `budget` bits or fewer in any place of `sig`, and, if `check_bits` is given, in at most so
@@ -277,11 +305,15 @@ def links(nodes: DataFrame, budget: int = 3, check_bits: int | None = None, limi
         sides = rows.groupBy(*_UNIT).agg(*[F.count_if(F.col("_side") == k).alias(f"n{k}") for k in range(3)])
         large = stored(sides.where((F.col("n0") + F.col("n1") + F.col("n2") > limit)
                                    & ((F.col("n0") > 1) | (F.col("n1") > 0) & (F.col("n2") > 0))).select(*_UNIT))
-        if depth + STEP > 64 or large.isEmpty():
+        if large.isEmpty():
             found.append(_walk_units(rows.repartition(*_UNIT), depth, budget, check_bits))
             break
         found.append(_walk_units(rows.join(large, _UNIT, "left_anti").repartition(*_UNIT), depth, budget, check_bits))
         rows = rows.join(large, _UNIT)
+        if depth == 64:
+            equal, tiled = _whole_values(stored(rows), limit)
+            found += [equal, _walk_units(tiled.repartition(*_UNIT), depth, budget, check_bits)]
+            break
     out = found[0]
     for more in found[1:]:
         out = out.union(more)
