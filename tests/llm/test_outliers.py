@@ -49,6 +49,20 @@ def test_outliers_go_and_others_stay(spark):
     assert kept == set(range(300))
 
 
+def test_small_groups_are_judged(spark):
+    """By their language if that has enough rows, else by the whole table."""
+    rng = random.Random(9)
+    word = lambda k: "".join(rng.choice("abcdefghijklmnop") for _ in range(k))
+    clean = lambda: " ".join(word(rng.randint(2, 9)) for _ in range(rng.randint(50, 800)))
+    odd = lambda: " ".join(word(60) + "$$$" for _ in range(200))
+    groups = [("en", "s")] * 200 + [("en", None)] * 3 + [("en", "rare")] * 3 + [(None, "s")] * 3 + [("xx", "y")] * 3
+    rows = [(i, clean(), *g) for i, g in enumerate(groups)]
+    rows += [(1000 + i, odd(), *g) for i, g in enumerate(dict.fromkeys(groups))]
+    out = outliers.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
+    assert len(out) == len(rows) and all(r.distance2 is not None for r in out)
+    assert {r.doc_id for r in out if r.kept} == set(range(len(groups)))
+
+
 def test_keep_returns_whole_rows(spark):
     rng = random.Random(5)
     rows = [(i, None if i % 9 == 0 else " ".join(str(rng.randint(0, 99)) for _ in range(i % 60)), "en", "s" if i % 3 else None, i, -i)

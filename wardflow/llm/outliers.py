@@ -4,7 +4,8 @@ Statistics come from built-in functions over whole texts. Per group (language an
 minimum-covariance-determinant estimate of the transformed statistics is found by concentration
 steps: the rows with the smaller half or so of the distances give the next mean and covariance.
 Rows beyond a Mahalanobis distance are rejected. Everything is grouping and column arithmetic:
-a group of any size is reduced to counts per bin and sums before it is shuffled.
+a group of any size is reduced to counts per bin and sums before it is shuffled. Groups too small
+for an estimate of their own are judged by that of their language or of the whole table.
 """
 
 from __future__ import annotations
@@ -23,7 +24,8 @@ SPACES = "\t\n\x0b\x0c\r "
 #: Share of a group's rows that an estimate rests on.
 SUPPORT = 0.75
 STEPS = 4
-#: Groups with fewer rows that pass the fixed limits have no estimate; nothing of them is rejected.
+#: Groups with fewer rows that pass the fixed limits take the estimate of their language, and
+#: those of a language with fewer the estimate of the whole table.
 MIN_ROWS = 40
 #: Rejected beyond this squared distance: one row in 10^11 of 4 normal statistics.
 MAX_SQUARED_DISTANCE = 60.0
@@ -35,6 +37,8 @@ CHI2_MEDIAN = 3.3567
 
 STATISTICS = ("_x0", "_x1", "_x2", "_x3")
 GROUP = ("lang", "source")
+#: What an estimate is of: 0 a group, 1 a language, 2 the whole table, the columns left out null.
+SCOPE = ("_level", *GROUP)
 _BIN = 64.0
 
 
@@ -137,9 +141,8 @@ def _joined(rows: DataFrame, estimates: DataFrame, by: list[str], how: str = "in
     return rows.join(named, on, how).drop(*[f"_g_{c}" for c in by])
 
 
-def estimates_of(rows: DataFrame, by: list[str] | None = None) -> DataFrame:
+def estimates_of(rows: DataFrame, by: list[str]) -> DataFrame:
     """Robust mean, factor of the covariance and scale of the distances, one row per group."""
-    by = by or list(GROUP)
     values = {c: F.col(c) for c in STATISTICS}
     medians = _quantiles(rows, values, 0.5, by)
     centred = _joined(rows, medians.select(*by, *[F.col(c).alias(f"_med{i}") for i, c in enumerate(STATISTICS)]), by)
@@ -158,10 +161,34 @@ def estimates_of(rows: DataFrame, by: list[str] | None = None) -> DataFrame:
             _joined(near, limit, by).where(F.col("_d") <= F.col("_limit")), by), by))
     # The covariance of the nearer rows is too small; the median distance says by how much.
     scale = _quantiles(_joined(rows, estimate, by), {"_half": log_distance}, 0.5, by)
-    sizes = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
-    scaled = _joined(_joined(estimate, scale, by), sizes, by)
-    return stored(scaled.select(
-        "*", F.greatest(F.exp("_half") / CHI2_MEDIAN, F.lit(1.0)).alias("_scale")).where(F.col("_rows") >= MIN_ROWS))
+    return stored(_joined(estimate, scale, by).select(
+        "*", F.greatest(F.exp("_half") / CHI2_MEDIAN, F.lit(1.0)).alias("_scale")))
+
+
+def _scope(level: Column) -> list[Column]:
+    """The columns of SCOPE at a level, for rows with those of GROUP."""
+    lang, source = GROUP
+    return [level.alias("_level"), F.when(level < 2, F.col(lang)).alias(lang), F.when(level < 1, F.col(source)).alias(source)]
+
+
+def group_estimates(rows: DataFrame) -> DataFrame:
+    """One row per group of `rows` of with_statistics: the estimate it is judged by, its own or
+    that of its language or of the whole table. Only rows that pass the limits count, and only
+    estimates that some group needs are made."""
+    passed = ~F.col("base_failed")
+    sizes = stored(rows.groupBy(*GROUP).agg(F.count_if(passed).alias("_n")))
+    langs = stored(sizes.groupBy("lang").agg(F.sum("_n").alias("_of_lang"), F.min("_n").alias("_least")))
+    level = F.when(F.col("_n") >= MIN_ROWS, 0).when(F.col("_of_lang") >= MIN_ROWS, 1).otherwise(2)
+    groups = stored(_joined(sizes, langs, ["lang"]).withColumn("_at", level))
+    whole = not groups.where(F.col("_at") == 2).isEmpty()
+    used = F.array_compact(F.array(
+        F.when(F.col("_at") == 0, 0), F.when((F.col("_least") < MIN_ROWS) & (F.col("_of_lang") >= MIN_ROWS), 1),
+        F.when(F.lit(whole), 2)))
+    dealt = _joined(rows.where(passed), groups.select(*GROUP, used.alias("_used")), list(GROUP)).select(
+        *GROUP, *STATISTICS, F.explode("_used").alias("_for"))
+    estimates = estimates_of(stored(dealt.select(*_scope(F.col("_for")), *STATISTICS)), list(SCOPE))
+    named = groups.select(*[F.col(c).alias(f"_own_{c}") for c in GROUP], *_scope(F.col("_at")))
+    return stored(_joined(named, estimates, list(SCOPE)).drop(*SCOPE).withColumnsRenamed({f"_own_{c}": c for c in GROUP}))
 
 
 def judged(rows: DataFrame, estimates: DataFrame) -> DataFrame:
@@ -178,12 +205,13 @@ def judge(docs: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
     the columns named in `more` are handed through.
 
     One row per input row, equal rows included; a null text has no words and fails. Null
-    languages and sources are groups of their own; a null doc_id stays null. Rows of groups
-    without an estimate (under MIN_ROWS passing rows) have a null distance and are kept if they
-    pass the limits. An empty table gives no rows. Other columns are not read.
+    languages and sources are groups of their own; a null doc_id stays null. Groups with under
+    MIN_ROWS passing rows are judged by the estimate of their language, or else of the whole
+    table, however few rows that has; distances are null only in a table without a passing row.
+    An empty table gives no rows. Other columns are not read.
     """
     rows = stored(with_statistics(docs, more))
-    return judged(rows, estimates_of(rows.where(~F.col("base_failed")))).select(
+    return judged(rows, group_estimates(rows)).select(
         "doc_id", *more, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         F.round("distance2", 6).alias("distance2"))
 
@@ -195,7 +223,7 @@ def keep(docs: DataFrame) -> DataFrame:
     the texts for the verdicts. So no text is shuffled, however many rows are rejected.
     """
     statistics = stored(with_statistics(docs))
-    estimates = estimates_of(statistics.where(~F.col("base_failed")))
+    estimates = group_estimates(statistics)
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     rows = with_statistics(docs.withColumn("_row", whole), ("_row",))
     # One condition over both sides of the join: a part of it that needs the counts alone would be
