@@ -60,3 +60,19 @@ def test_masks(spark, docs):
     assert by_id[9].text == stages.MASK and by_id[9].n_chars == len(stages.MASK), "overlapping spans are one"
     assert by_id[0].text is None and by_id[2].text == TEXTS[2] and "Zz9y" in by_id[100].text
     assert by_id[8].text == "x" + stages.MASK
+
+
+def test_copies_of_a_text_are_no_example(spark):
+    key, known, mixed = "AKIA" + "Q7" * 9, "AKIA" + "Z3" * 9, "Vv8w" * 6
+    rows = [(i, f"id {key} here", f"s{i % 12}") for i in range(40)]  # one text, mirrored widely
+    rows += [(100 + i, f"other text {i} password = topsecret1", f"s{i % 3}") for i in range(8)]
+    rows += [(200 + i, f"manual {i} says {known}", f"s{i % 12}") for i in range(40)]
+    rows += [(300 + i, f"mine {i % 5} {mixed}", f"s{i % 2}") for i in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    by_id = {r.doc_id: r for r in secrets.find_secrets(docs).collect()}
+    assert all(by_id[i].n_live == 1 and by_id[i].n_copied == 0 for i in (*range(40), *range(100, 108)))
+    assert all(by_id[i].n_live == 0 and by_id[i].n_copied == 1 for i in range(200, 240))
+    assert all(by_id[i].n_owned == 1 for i in range(300, 310))
+    texts = {r.doc_id: r.text for r in stages.secret_scan(spark, docs, "").collect()}
+    assert texts[0] == "id [secret] here" and texts[100] == "other text 0 [secret]" and known in texts[200]
+    assert mixed not in texts[300]

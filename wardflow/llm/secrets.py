@@ -1,10 +1,11 @@
 """Secret scans with corpus-wide ownership.
 
 Fixed patterns find spans in whole texts. Long mixed strings that no pattern explains are
-candidates too. Hashes of all found values are counted by distinct repositories and owners over
-the whole corpus: a value that one owner has in few repositories looks live, one that is copied
-widely is an example. Candidates that look live become spans of kind `owned`; spans of the fixed
-patterns stay whatever their count, with their verdict beside them.
+candidates too. Hashes of all found values are counted by distinct texts, repositories and owners
+over the whole corpus: a value of a fixed pattern is an example only if many owners have it in many
+different texts, and looks live otherwise; copies of one text are no spread. A candidate looks live
+while at most MAX_OWNERS owners have it. Candidates that look live become spans of kind `owned`;
+spans of the fixed patterns stay whatever their count, with their verdict beside them.
 
 Values leave the scan as hashes only.
 """
@@ -30,8 +31,10 @@ MIXED = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 LEAST_ASSIGNED, LEAST_ACCESS, LEAST_MIXED = 6, 20, 20
 KINDS = ("assign", "access", "hex", "owned")
 
-#: At most so many owners and repositories hold a value that looks live.
-MAX_OWNERS, MAX_REPOSITORIES = 1, 3
+#: A value of a fixed pattern is an example from so many owners, repositories and texts.
+EXAMPLE_OWNERS, EXAMPLE_REPOSITORIES, EXAMPLE_TEXTS = 10, 20, 10
+#: At most so many owners hold a candidate that looks live, in any number of texts.
+MAX_OWNERS = 2
 
 FOUND = ("doc_id long, _th long, owner string, repository string, _n long, n_assign long, n_access long, n_hex long, "
          "base_sha256 string, base array<struct<kind:int,start:int,end:int,hash:long>>, "
@@ -101,16 +104,19 @@ def scan(docs: DataFrame, owner: Column, repository: Column) -> DataFrame:
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """`hash, n_owners, n_repositories`, counted over the corpus. A value's rows are first
-    reduced to one per repository where they are, then per owner, then counted: a value that a
-    third of the corpus holds never meets in one task. Null owners and repositories count as one
-    each."""
-    values = (found.select("owner", "repository", F.explode(F.concat("base", "more")).alias("s"))
+    """`hash, n_owners, n_repositories, n_texts`, counted over the corpus. A value's rows are
+    first reduced to one per repository where they are, then per owner, then counted, and to one
+    per text likewise: a value that a third of the corpus holds never meets in one task. Null
+    owners and repositories count as one each."""
+    values = (found.select("owner", "repository", "_th", F.explode(F.concat("base", "more")).alias("s"))
               .select(F.col("s.hash").alias("hash"), F.coalesce("owner", F.lit("")).alias("owner"),
-                      F.coalesce("repository", F.lit("")).alias("repository")))
+                      F.coalesce("repository", F.lit("")).alias("repository"), "_th"))
+    texts = (values.groupBy("hash", "_th").agg(F.lit(1).alias("one"))
+             .groupBy("hash").agg(F.count(F.lit(1)).alias("n_texts")))
     return (values.groupBy("hash", "owner", "repository").agg(F.lit(1).alias("one"))
             .groupBy("hash", "owner").agg(F.count(F.lit(1)).alias("n"))
-            .groupBy("hash").agg(F.count(F.lit(1)).alias("n_owners"), F.sum("n").alias("n_repositories")))
+            .groupBy("hash").agg(F.count(F.lit(1)).alias("n_owners"), F.sum("n").alias("n_repositories"))
+            .join(texts, "hash"))
 
 
 def find_secrets(docs: DataFrame, owner: Column | None = None, repository: Column | None = None) -> DataFrame:
@@ -118,18 +124,19 @@ def find_secrets(docs: DataFrame, owner: Column | None = None, repository: Colum
     with the `owned` ones added, and how many spans look live or are widely copied.
 
     `owner` defaults to the column source; `repository`, a unit within an owner, to each
-    document by itself. A null text counts as empty; a null doc_id stays null; equal rows give
-    equal rows, each counted as its own document only if its doc_id differs. An empty table
-    gives no rows. Other columns are not read. `found` is an array of
+    text by itself, so that documents of one text count once. A null text counts as empty; a null
+    doc_id stays null; equal rows give equal rows. An empty table gives no rows. Other columns are not read. `found` is an array of
     (start, kind, end, live), positions in code points, end exclusive; `_th` is a hash of the text.
     """
     owner = F.col("source") if owner is None else owner
-    repository = F.concat_ws("/", F.lit("doc"), F.col("doc_id").cast("string")) if repository is None else repository
+    repository = F.xxhash64(F.coalesce(F.col("text"), F.lit(""))) if repository is None else repository
     found = stored(scan(docs, owner, repository))
     counts = ownership(found)
     spans = found.select("_n", F.explode(F.concat("base", "more")).alias("s")).select("_n", "s.*")
+    example = ((F.col("n_owners") >= EXAMPLE_OWNERS) & (F.col("n_repositories") >= EXAMPLE_REPOSITORIES)
+               & (F.col("n_texts") >= EXAMPLE_TEXTS))
     judged = spans.join(counts, "hash").withColumn(
-        "live", (F.col("n_owners") <= MAX_OWNERS) & (F.col("n_repositories") <= MAX_REPOSITORIES))
+        "live", F.when(F.col("kind") < 3, ~example).otherwise(F.col("n_owners") <= MAX_OWNERS))
     # Spans of one document are at most one for each 7 characters of its text.
     per_doc = (judged.where((F.col("kind") < 3) | F.col("live")).groupBy("_n").agg(
         F.sort_array(F.collect_list(F.struct("start", "kind", "end", "live"))).alias("found")))
