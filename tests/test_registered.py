@@ -56,6 +56,13 @@ def test_model_query_has_rows(spark, name):
     assert df.count() > 0
 
 
+def test_stream_scores_all_horizons(spark):
+    df = QUERIES["stream_score"](spark, SF_DIR)
+    wanted = [f"predicted_arrivals_h{h}" for h in (1, 4, 24)]
+    assert [c for c in df.columns if c.startswith("predicted_")] == wanted
+    assert df.count() > 0 and df.dropna(subset=wanted).count() == df.count()
+
+
 def test_entry(spark):
     assert entry_points.entry(spark).columns == [
         "window_start", "hour", "arrivals_count", "wait_avg_60m", "queue_size", "occupied_beds",

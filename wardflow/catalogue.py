@@ -601,12 +601,12 @@ def stream_hourly(spark, d):
 
 @_query
 def stream_score(spark, d):
-    """Feature rows written to files, then scored as a stream."""
+    """Feature rows written to files, then scored for all horizons as a stream."""
     out, path = run_dir(spark, "stream-score"), run_dir(spark, "stream-score-input")
     conform(_filled(spark, d), GOLD_FEATURES).write.parquet(path)
     past, _ = _split(spark.read.schema(GOLD_FEATURES).parquet(path))
     rows = files.read_files(spark, path, GOLD_FEATURES)
-    score_stream(rows, {1: forecast.fit_horizon(past, 1)}, "202401300000",
+    score_stream(rows, forecast.fit_horizons(past), "202401300000",
                  f"{out}/data", f"{out}/checkpoint")
     return spark.read.parquet(f"{out}/data")
 
