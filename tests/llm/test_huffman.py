@@ -50,6 +50,17 @@ def test_blocks():
         assert huffman.unpack(np.frombuffer(payload, np.uint8), first, sizes, table).tolist() == ids.tolist()
 
 
+def test_added_tokens_as_the_library_has_them():
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    words = huffman.Words(P.path("byte_bpe_50k.json"), "<u2")
+    texts = ["a plain text", "one<|endoftext|>two words <|endoftext|>", "", "<|endoftext|>", "<|endoftext", "plain again"]
+    got = [np.frombuffer(x, "<u2").tolist() for x in words.encode(texts)]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert got[3] == [50256]
+
+
 def test_files(spark, tmp_path, monkeypatch):
     rng = random.Random(8)
     texts = [None, "", " ", "  two  spaces ", "a\n b", "tab\t x", "x\n\n\ny  ", "don't. It's", "\x1c \x1c a", "é ñ 漢字 😀", "<|endoftext|> x"]

@@ -41,7 +41,8 @@ class Words:
 
     A place between a character that is no white space and a space is a border of the byte-level
     splitting wherever it stands, so the ids of the parts between such places, each with its
-    leading space, are the ids of the text.
+    leading space, are the ids of the text. Texts that hold an added token of the library, which
+    it looks for before it splits, are encoded by it as a whole.
     """
 
     def __init__(self, path: str, dtype: str):
@@ -49,7 +50,7 @@ class Words:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.dtype = dtype
         vocab = self.library.get_vocab(with_added_tokens=False)
         # Each character of a byte-level token stands for one byte.
@@ -81,6 +82,13 @@ class Words:
                 begin = end
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        whole = {i: self._ids(t).astype(self.dtype).tobytes() for i, t in enumerate(texts) if any(a in t for a in self.added)}
+        if not whole:
+            return self._by_words(texts)
+        others = iter(self._by_words([t for i, t in enumerate(texts) if i not in whole]))
+        return [whole[i] if i in whole else next(others) for i in range(len(texts))]
+
+    def _by_words(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
         first = 0
         while first < len(texts):
