@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import bpe, chat, decontaminate, huffman, outliers, rules, secrets, sharding, simhash, suffix
+from wardflow.llm import alignment, bpe, chat, decontaminate, huffman, outliers, rules, secrets, sharding, simhash, suffix
 from wardflow.session import run_dir
 from wardflow.sources.given import table
 
@@ -67,6 +67,12 @@ def op10_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.render(table(spark, sf_dir, "conversations"))
 
 
+def op11_cross_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"))[0]
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2:3].isdigit()}
 
