@@ -1,0 +1,132 @@
+"""License rules against a plain scan of whole texts, rule by rule."""
+
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from wardflow.llm import licenses, queries
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+TO_LOWER = str.maketrans(licenses.UPPER, licenses.LOWER)
+RULES = licenses.rules()
+COMPILED = [re.compile(r.pattern) for r in RULES]
+
+
+def plain(text):
+    """The result columns by the definitions, without gates or stretches."""
+    words = WORD.findall((text or "").translate(TO_LOWER))
+    joined = " " + " ".join(words) + " "
+    hits = []
+    for rule, pattern in zip(RULES, COMPILED):
+        for m in pattern.finditer(joined):
+            hits.append((joined[:m.start()].count(" ") - 1, -(joined[:m.end()].count(" ")), rule.order, rule))
+    hits.sort(key=lambda h: h[:3])
+    kept = []
+    for h in hits:
+        if kept and h[0] < -kept[-1][1]:
+            if h[1] < kept[-1][1] and h[2] < kept[-1][2]:
+                kept[-1] = h
+        else:
+            kept.append(h)
+    base = [(i, label) for phrase, label in licenses.BASE.items() for i in range(len(words))
+            if words[i:i + len(phrase.split())] == phrase.split()]
+    labels = {label for _, label in base}
+    score = 100 if base else max((h[3].confidence for h in kept), default=0)
+    return (len(words), len(base), min(base)[0] if base else None, max(base)[0] if base else None,
+            ",".join(sorted(labels)), ",".join(sorted(labels | {h[3].label for h in kept})), score / 100)
+
+
+COLUMNS = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+def got(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [tuple(r[c] for c in COLUMNS) for r in licenses.find_licenses(docs).orderBy("doc_id").collect()]
+
+
+def label_of(spark, text):
+    return got(spark, [text])[0][5]
+
+
+def test_named_cases(spark):
+    cases = {
+        "Licensed under the Apache License, Version 2.0.": "apache-2",
+        "Released under the MIT License.": "mit",
+        "Licensed under CC BY-NC 4.0.": "cc-by-nc,cc-by-nc-4",
+        "This work is licensed under the GNU General Public License, version 3.": "gpl-3",
+        "GNU Lesser General Public License v2.1 or (at your option) any later version": "lgpl-2.1-or-later",
+        "SPDX-License-Identifier: BSD-3-Clause": "bsd-3-clause",
+        "SPDX-License-Identifier: MPL-2.0": "mpl-2",
+        "see GPLv3": "gpl-3",
+        "BSD 2-Clause License, all rights reserved": "all-rights-reserved,bsd-2-clause",
+        "released into the public domain": "public-domain",
+        "mit dem Hund gehen, the general public, a python": "",
+        "Eine Lizenz": "",
+    }
+    assert [r[5] for r in got(spark, list(cases))] == list(cases.values())
+
+
+def test_inner_and_later_detections_give_way(spark):
+    # The general name inside the particular one is no detection of its own.
+    assert label_of(spark, "GNU Affero General Public License version 3") == "agpl-3"
+    # Two that overlap in part: the first in the order stays, whichever begins first.
+    assert got(spark, ["licence apache license version 2"])[0][5] == "apache-2"
+
+
+def test_equals_plain_scan(spark):
+    rng = random.Random(7)
+    words = ("under the mit license apache version 2 0 cc by nc sa 4 licensed gpl gnu general public lesser lgpl v2 v3 3 1 "
+             "bsd clause new or later any at your option spdx identifier mozilla creative commons attribution "
+             "domain all rights reserved released terms of file x y z word").split()
+    texts = ["", None, " ", "\x00", "cc by nc" * 3, "cc by nc " * 700, "x " * 60 + "MIT license" + " y" * 60 + " licence mit",
+             "under the MİT license, under the mıt license, CCKBY NC", "é under the MIT-License é"]
+    # Anchors at all distances around twice the reach.
+    texts += ["license apache" + " w" * n + " apache license 2 0" for n in range(2 * licenses.REACH - 4, 2 * licenses.REACH + 5)]
+    for _ in range(250):
+        texts.append(rng.choice(["", "\n", " - "]).join(
+            rng.choice(words).upper() + rng.choice([" ", "-", "\n", ", "]) if rng.random() < .3 else rng.choice(words) + " "
+            for _ in range(rng.choice([4, 12, 60, 300]))))
+    assert got(spark, texts) == [plain(t) for t in texts]
+
+
+def test_every_match_has_its_gate_and_an_anchor():
+    """What the gates rest on: rules are run here on texts made of their own words."""
+    rng = random.Random(1)
+    for rule, pattern in zip(RULES, COMPILED):
+        own = re.sub(r"\(\?[<!=:]+|[()\[\]?|\\]", " ", rule.pattern).split() + ["license", "2", "0", "under", "v3"]
+        for _ in range(20):
+            text = " " + " ".join(rng.choice(own) for _ in range(12)) + " "
+            for m in pattern.finditer(text):
+                found = f" {m[0]} "
+                assert rule.gate in found and any(f" {a} " in found for a in licenses.ANCHORS)
+                assert len(m[0].split()) < licenses.REACH
+    assert len({r.order for r in RULES}) == len(RULES) > 300
+
+
+def test_rows_ties_and_other_columns(spark):
+    rows = [(None, None), (1, "MIT license"), (1, "MIT license"), (None, "MIT license")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("labels", F.lit(1)).withColumn("_t", F.lit("x"))
+    found = licenses.find_licenses(docs).collect()
+    assert sorted((str(r.doc_id), r.labels) for r in found) == [("1", "mit"), ("1", "mit"), ("None", ""), ("None", "mit")]
+    assert licenses.find_licenses(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_very_long_text(spark):
+    text = "word " * 300_000 + "under the MIT License " + "word " * 10
+    assert got(spark, [text]) == [(300_014, 1, 300_000, 300_000, "mit", "mit", 1.0)]
+
+
+def test_no_python_in_the_plan(spark):
+    docs = spark.createDataFrame([(1, "x")], "doc_id long, text string")
+    plan = licenses.find_licenses(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+@pytest.mark.skipif(not __import__("os").path.isdir("/root/testdata/sf0.001"), reason="no given tables")
+def test_query_equals_plain_scan(spark):
+    df = queries.op12_license_rules(spark, "/root/testdata/sf0.001")
+    assert df.columns == ["doc_id", *COLUMNS]
+    texts = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    assert sorted(tuple(r) for r in df.collect()) == sorted((r.doc_id, *plain(r.text)) for r in texts)
