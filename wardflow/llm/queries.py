@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import alignment, bpe, chat, decontaminate, huffman, licenses, outliers, rules, secrets, sharding, simhash, suffix
+from wardflow.llm import (
+    alignment, bpe, chat, collocations, decontaminate, huffman, licenses, outliers, rules, secrets, sharding, simhash, suffix)
 from wardflow.session import run_dir
 from wardflow.sources.given import table
 
@@ -77,6 +78,10 @@ def op12_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.find_licenses(table(spark, sf_dir, "documents")).drop("detections")
 
 
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine_phrases(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2:3].isdigit()}
 
