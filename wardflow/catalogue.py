@@ -25,7 +25,7 @@ from wardflow.operators.timeline import (
     DURATIONS, encounter_timeline, encounter_waits, orphan_events, with_sector)
 from wardflow.plans import daily
 from wardflow.plans.silver import silver_encounters
-from wardflow.schemas import GOLD_FEATURES, GOLD_METRICS, SILVER_ENCOUNTERS, conform
+from wardflow.schemas import GOLD_FEATURES, GOLD_METRICS, GOLD_OPS, SILVER_ENCOUNTERS, SILVER_WAITS, conform
 from wardflow.session import run_dir
 from wardflow.sources import catalog, given, lake, models
 from wardflow.streaming import files
@@ -287,6 +287,23 @@ def risk_hourly(spark, d):
     return _coarse(ops, "wait_avg_60m", "risk_score")
 
 
+LATE_DAYS = [dt.date(2024, 1, n) for n in (5, 12, 13)]
+
+
+@_query
+def load_incremental(spark, d):
+    """The load of all days, built while discharges of three of them were missing, then updated
+    for these days alone."""
+    root, sectors = run_dir(spark, "load"), given.sectors(spark)
+    waits = lake.stored(conform(_waits(spark, d), SILVER_WAITS))
+    missing = F.when(~F.col("dt").isin(LATE_DAYS), F.col("discharge_time"))
+    lake.overwrite_days(waits.withColumn("discharge_time", missing), root, "silver_waits")
+    daily.update_load(spark, root, sectors, [r.dt for r in waits.select("dt").distinct().collect()])
+    lake.overwrite_days(waits.where(F.col("dt").isin(LATE_DAYS)), root, "silver_waits", LATE_DAYS)
+    daily.update_load(spark, root, sectors, LATE_DAYS)
+    return _coarse(lake.read_table(spark, root, "gold_ops", GOLD_OPS), "wait_avg_60m", "risk_score")
+
+
 @_query
 def current_status(spark, d):
     """An hour inside the window has all its arrivals inside it, so older events are not read."""

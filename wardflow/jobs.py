@@ -9,7 +9,7 @@ import argparse
 import datetime as dt
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardflow.functions.texts import CHUNK_CHARS
@@ -19,6 +19,7 @@ from wardflow.operators.retrieval import top_k_similar, with_context
 from wardflow.operators.status import predictions_preview
 from wardflow.operators.texts import split_rejects
 from wardflow.plans import daily
+from wardflow.schemas import SECTORS
 from wardflow.session import build_session
 from wardflow.sources import catalog, lake
 from wardflow.streaming.files import write_files
@@ -66,14 +67,20 @@ def _preview(spark: SparkSession, a: argparse.Namespace) -> None:
     lake.export_csv(predictions_preview(df), a.output)
 
 
+def _sectors(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
+    """The sector table from a CSV file with a header."""
+    return spark.read.schema(SECTORS).option("header", True).csv(a.sectors)
+
+
 STEPS = {
     "ingest-bronze": _ingest,
     "bronze-to-silver": lambda s, a: daily.bronze_to_silver(s, a.root, a.date),
     "dq-check": lambda s, a: daily.check_silver(s, a.root, a.date, a.max_null_rate),
     "waits": lambda s, a: daily.build_waits(s, a.root, a.date),
+    "load": lambda s, a: daily.update_load(s, a.root, _sectors(s, a), [a.date]),
     "silver-to-gold": lambda s, a: daily.silver_to_gold(s, a.root, a.date),
     "features": lambda s, a: daily.build_features(s, a.root, a.date),
-    "run-day": lambda s, a: daily.run_day(s, a.root, a.date),
+    "run-day": lambda s, a: daily.run_day(s, a.root, a.date, _sectors(s, a) if a.sectors else None),
     "train": lambda s, a: daily.train(s, a.root, a.as_of),
     "score": lambda s, a: daily.score(s, a.root, a.as_of),
     "tables": lambda s, a: (catalog.create_tables(s, a.root, a.database),
@@ -93,6 +100,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--as-of", type=dt.datetime.fromisoformat, help="moment of training or scoring, UTC")
     p.add_argument("--input")
     p.add_argument("--output")
+    p.add_argument("--sectors", help="CSV with sector_id, manager, functional_capacity; for the load")
     p.add_argument("--database", default="default")
     p.add_argument("--k", type=int, default=3)
     p.add_argument("--chunk-chars", type=int, default=CHUNK_CHARS)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardflow.functions.numbers import risk_score
-from wardflow.functions.times import hour_ceil, hour_start
+from wardflow.functions.times import hour_ceil, hour_start, hours
 from wardflow.operators.hourly import fill_hours
 from wardflow.operators.timeline import with_sector
 
@@ -23,13 +23,15 @@ def end_of_arrival_day() -> Column:
     return F.date_add(F.to_date("arrival_time"), 1).cast("timestamp_ntz")
 
 
-def _changes(waits: DataFrame, open_until: Column) -> DataFrame:
+def _changes(waits: DataFrame, open_until: Column | None) -> DataFrame:
+    """Without `open_until` a stay or wait that has no end makes no change that ends it."""
     arrival, care = F.col("arrival_time"), F.col("care_start")
     care = F.when(care >= arrival, care)
-    until = F.greatest(open_until, arrival)
-    leaves_queue = F.coalesce(care, until)
-    discharge = F.when(F.col("discharge_time") >= care, F.col("discharge_time"))
-    leaves_bed = F.when(care.isNotNull(), F.coalesce(discharge, F.greatest(until, care)))
+    leaves_queue, leaves_bed = care, F.when(F.col("discharge_time") >= care, F.col("discharge_time"))
+    if open_until is not None:
+        until = F.greatest(open_until, arrival)
+        leaves_queue = F.coalesce(care, until)
+        leaves_bed = F.when(care.isNotNull(), F.coalesce(leaves_bed, F.greatest(until, care)))
 
     def change(when: Column, arrivals: int = 0, queue: int = 0, beds: int = 0,
                wait: Column | None = None) -> Column:
@@ -46,8 +48,9 @@ def _changes(waits: DataFrame, open_until: Column) -> DataFrame:
         change(hour_start(care), beds=1),
         change(hour_ceil(leaves_bed), beds=-1),
     )
+    kept = [c for c in ("sector_id", "arrival_dt") if c in waits.columns]
     return (waits.where(arrival.isNotNull())
-            .select("sector_id", F.inline(per_encounter))
+            .select(*kept, F.inline(per_encounter))
             .where(F.col("window_start").isNotNull()))
 
 
@@ -68,6 +71,43 @@ def hourly_load(waits: DataFrame, open_until: Column | None = None) -> DataFrame
         F.sum("bed_change").over(so_far).alias("occupied_beds"))
 
 
+def daily_changes(waits: DataFrame) -> DataFrame:
+    """What the stored waits of some days (`dt`, the arrival day) change, in any hour: one row per
+    sector, hour and arrival day. Waits are summed in whole microseconds, so that the order of
+    adding does not matter. `dt` is the day the change takes effect."""
+    per_hour = _changes(waits.withColumnRenamed("dt", "arrival_dt"), None).groupBy(
+        "sector_id", "window_start", "arrival_dt").agg(
+        *[F.sum(c).alias(c) for c in _COUNTS],
+        F.sum(F.round(F.col("wait_min") * 60e6).cast("long")).alias("wait_us"), F.count("wait_min").alias("wait_count"))
+    return per_hour.withColumn("dt", F.to_date("window_start"))
+
+
+def levels_from(opening: DataFrame, changes: DataFrame, start: Column, until: Column) -> DataFrame:
+    """The columns of `hourly_load` for every hour up to `until`, exclusive, by running sums over an
+    `opening(sector_id, queue_size, occupied_beds)` at `start` and the changes from there on. A
+    sector without an opening begins with its first change."""
+    none = F.lit(0).cast("long")
+    opened = opening.select(
+        "sector_id", start.alias("window_start"), none.alias("arrivals_count"),
+        F.col("queue_size").alias("queue_change"), F.col("occupied_beds").alias("bed_change"),
+        F.lit(None).cast("long").alias("wait_us"), none.alias("wait_count"))
+    in_range = changes.where(F.col("window_start") < until).select(*opened.columns)
+    hourly = opened.unionByName(in_range).groupBy("sector_id", "window_start").agg(
+        *[F.sum(c).alias(c) for c in (*_COUNTS, "wait_us", "wait_count")])
+    # The last hour of the range, for each sector seen so far.
+    closing = hourly.groupBy("sector_id").agg(F.max("window_start").alias("_last")).where(
+        F.col("_last") < until - hours(1)).select(
+        "sector_id", (until - hours(1)).alias("window_start"), *[none.alias(c) for c in _COUNTS],
+        F.lit(None).cast("long").alias("wait_us"), none.alias("wait_count"))
+    so_far = (Window.partitionBy("sector_id").orderBy("window_start")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return fill_hours(hourly.unionByName(closing), zero=_COUNTS).select(
+        "sector_id", "window_start", "arrivals_count",
+        (F.col("wait_us") / F.when(F.col("wait_count") > 0, F.col("wait_count")) / F.lit(60e6)).alias("wait_avg_60m"),
+        F.sum("queue_change").over(so_far).alias("queue_size"),
+        F.sum("bed_change").over(so_far).alias("occupied_beds"))
+
+
 def wait_avg_hourly(waits: DataFrame) -> DataFrame:
     """Mean service wait by sector and hour of arrival; hours without a known wait are absent."""
     return (

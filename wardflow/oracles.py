@@ -116,6 +116,12 @@ sectors(sector_id, manager, functional_capacity) AS (
 ops AS (
   SELECT l.*, c.functional_capacity, occupied_beds / CAST(c.functional_capacity AS DOUBLE) AS occupancy_rate
   FROM load l LEFT JOIN sectors c USING (sector_id))"""
+# The same with stays that go on until they end, and every hour up to the end of the last day.
+_LOAD_KEPT = (_LOAD.replace("coalesce(care_start, CAST(day + INTERVAL 1 DAY AS TIMESTAMP)) AS leaves_queue",
+                            "coalesce(care_start, TIMESTAMP '2999-01-01') AS leaves_queue")
+              .replace("ELSE CAST(day + INTERVAL 1 DAY AS TIMESTAMP) END END", "ELSE TIMESTAMP '2999-01-01' END END")
+              .replace("lo AS TIMESTAMP), CAST(hi AS TIMESTAMP)",
+                       "lo AS TIMESTAMP), (SELECT CAST(max(day) + INTERVAL 23 HOUR AS TIMESTAMP) FROM waits)"))
 _CHUNKS = """
 chunks AS (
   SELECT source || '/' || CAST(doc_id AS VARCHAR) AS source, CAST(i AS INTEGER) AS chunk_no,
@@ -268,6 +274,7 @@ def oracle_sql() -> dict[str, str]:
                round(least(100, greatest(0, 60 * occupancy_rate + 40 * least(1, coalesce(wait_avg_60m, 0) / 60))), 4) AS risk_score,
                CAST(CAST(window_start AS DATE) AS VARCHAR) AS dt, sector_id
         FROM ops""")
+    out["load_incremental"] = out["risk_hourly"].replace(_LOAD.strip(), _LOAD_KEPT.strip())
     out["external_forecast"] = out["forecast_today"] = _with(_NAIVE, """
         SELECT sector_id, round(predicted_arrivals_h1, 6) AS predicted_arrivals_h1, CAST(day AS VARCHAR) AS dt
         FROM naive WHERE day = DATE '2024-01-15'""")

@@ -7,6 +7,7 @@ own day, so any step can be run again after a failure.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,10 +15,10 @@ from pyspark.sql import functions as F
 from wardflow.operators import forecast, quality
 from wardflow.operators.features import FEATURES, features_filled, features_strict
 from wardflow.operators.hourly import hourly_metrics_sparse, hours_of_days
-from wardflow.operators.load import hourly_load, ops_metrics_hourly
+from wardflow.operators.load import daily_changes, hourly_load, levels_from, ops_metrics_hourly
 from wardflow.plans.silver import silver_encounters, silver_events, silver_waits
 from wardflow.schemas import (
-    GOLD_FEATURES, GOLD_METRICS, GOLD_OPS, PREDICTIONS, SILVER_ENCOUNTERS, SILVER_EVENTS,
+    GOLD_FEATURES, GOLD_METRICS, GOLD_OPS, LOAD_BALANCES, LOAD_CHANGES, PREDICTIONS, SILVER_ENCOUNTERS, SILVER_EVENTS,
     SILVER_WAITS, conform)
 from wardflow.sources import lake, models
 
@@ -87,6 +88,44 @@ def build_load(spark: SparkSession, root: str, sectors: DataFrame, first: dt.dat
         conform(ops, GOLD_OPS).where(F.col("dt").between(F.lit(first), F.lit(last))), root, "gold_ops", days)
 
 
+def update_load(spark: SparkSession, root: str, sectors: DataFrame, changed: Iterable[dt.date],
+                last: dt.date | None = None) -> list[dt.date]:
+    """Queue, occupancy and risk after the waits of the `changed` arrival days were written anew.
+
+    A change reaches every later day, as people stay. So all days from the first one touched up to
+    `last`, or the last one built before if that is later, are rebuilt and returned; from the stored levels at
+    its start and the hourly changes since, not from the waits of other days. Days before are neither
+    read nor written. Stays and waits without an end go on. A run that failed can be repeated: the
+    stored changes of the `changed` days are replaced, and the levels it starts from are not its own.
+    """
+    changed = sorted(set(changed))
+    waits = lake.read_table(spark, root, "silver_waits", SILVER_WAITS).where(F.col("dt").isin(changed))
+    new = lake.stored(conform(daily_changes(waits), LOAD_CHANGES))
+    balances = lake.table_or_empty(spark, root, "load_balances", LOAD_BALANCES)
+    built = balances.agg(F.max("dt")).first()[0]
+    first = min(filter(None, [changed[0], new.agg(F.min("dt")).first()[0]]))
+    last = max(filter(None, [last, changed[-1], built and built - DAY]))
+    base = balances.where(F.col("dt") <= F.lit(first)).agg(F.max("dt")).first()[0]
+    old = lake.table_or_empty(spark, root, "load_changes", LOAD_CHANGES, base)
+    first = base or min(filter(None, [first, old.agg(F.min("dt")).first()[0]]))
+
+    kept = old.where(~F.col("arrival_dt").isin(changed))
+    changes = lake.stored(kept.unionByName(new))
+    # One row per stored day.
+    touched = {r.dt for r in old.select("dt").distinct().collect()} | {r.dt for r in new.select("dt").distinct().collect()}
+    opening = balances.where(F.col("dt") == F.lit(first)) if base else balances.where(F.lit(False))
+    end = F.lit(last + DAY).cast("timestamp_ntz")
+    levels = levels_from(opening, changes, F.lit(first).cast("timestamp_ntz"), end)
+    ops = lake.stored(conform(ops_metrics_hourly(levels, sectors), GOLD_OPS))
+    days = [first + i * DAY for i in range((last - first).days + 1)]
+    closing = ops.where(F.col("hour") == 23).select(
+        "queue_size", "occupied_beds", F.date_add("dt", 1).alias("dt"), "sector_id")
+    lake.overwrite_days(ops, root, "gold_ops", days)
+    lake.overwrite_days(conform(closing, LOAD_BALANCES), root, "load_balances", [d + DAY for d in days])
+    lake.overwrite_days(changes, root, "load_changes", touched)
+    return days
+
+
 def features_of_days(metrics: DataFrame, first: dt.date, last: dt.date, strict: bool = False) -> DataFrame:
     """Features of a range of days, equal to those rows of a run over all history.
 
@@ -97,11 +136,28 @@ def features_of_days(metrics: DataFrame, first: dt.date, last: dt.date, strict:
     return conform(built, GOLD_FEATURES).where(F.col("dt").between(F.lit(first), F.lit(last)))
 
 
+def days_of_features(metrics: DataFrame, day: dt.date) -> tuple[dt.date, dt.date]:
+    """The first and last day whose features depend on the arrivals of `day`.
+
+    Targets look 24 h ahead and lags 24 h back, so the days beside it do. A sector that had
+    no arrivals for longer has its empty hours filled back to the last one and on to the next one.
+    """
+    seen = metrics.groupBy("sector_id").agg(
+        F.max(F.when(F.col("dt") < F.lit(day), F.col("dt"))).alias("before"),
+        F.min(F.when(F.col("dt") > F.lit(day), F.col("dt"))).alias("after"),
+        F.max("dt").alias("end")).agg(F.min("before"), F.max("after"), F.max("end")).first()
+    before, after, end = seen
+    # The empty hours filled after it are in turn targets of the last arrival's day and of the day before.
+    first = min(day, before or day) - DAY
+    return first, max(day, min(max(day + DAY, after or day), end or day))
+
+
 def build_features(spark: SparkSession, root: str, day: dt.date) -> None:
-    """Features of the day, and of the day before, whose targets lie in this one."""
+    """Features of the day and of all days around it that depend on its arrivals."""
     metrics = lake.read_table(spark, root, "gold_metrics", GOLD_METRICS)
-    built = features_of_days(metrics, day - DAY, day)
-    lake.overwrite_days(built, root, "gold_features", [day - DAY, day])
+    first, last = days_of_features(metrics, day)
+    built = features_of_days(metrics, first, last)
+    lake.overwrite_days(built, root, "gold_features", [first + i * DAY for i in range((last - first).days + 1)])
 
 
 def train(spark: SparkSession, root: str, as_of: dt.datetime, held_out_days: int = 7, **options) -> str:
@@ -136,5 +192,5 @@ def run_day(spark: SparkSession, root: str, day: dt.date, sectors: DataFrame | N
         build_waits(spark, root, each)
     silver_to_gold(spark, root, day)
     if sectors is not None:
-        build_load(spark, root, sectors, min([*news, day]), day)
+        update_load(spark, root, sectors, [*news, day])
     build_features(spark, root, day)

@@ -56,6 +56,11 @@ GOLD_METRICS = _schema(
 GOLD_OPS = _schema(
     window_start=_T, hour=_I, arrivals_count=_L, wait_avg_60m=_D, queue_size=_L,
     occupied_beds=_L, occupancy_rate=_D, risk_score=_D, dt=_DAY, sector_id=_S)
+# What the encounters of `arrival_dt` change in an hour of `dt`, and the levels at the start of `dt`.
+LOAD_CHANGES = _schema(
+    window_start=_T, arrivals_count=_L, queue_change=_L, bed_change=_L, wait_us=_L, wait_count=_L,
+    arrival_dt=_DAY, dt=_DAY, sector_id=_S)
+LOAD_BALANCES = _schema(queue_size=_L, occupied_beds=_L, dt=_DAY, sector_id=_S)
 GOLD_FEATURES = _schema(
     window_start=_T, arrivals_count=_L, avg_triage_acuity=_D,
     rolling_avg_arrivals_4h=_D, lag_arrivals_24h=_L,

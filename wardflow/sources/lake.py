@@ -23,6 +23,8 @@ TABLES = {
     "silver_waits": ("silver/encounter_waits", ("dt",)),
     "gold_metrics": ("gold/ops_metrics_hourly", ("dt",)),
     "gold_ops": ("gold/ops_load_hourly", ("dt",)),
+    "load_changes": ("gold/load_changes_hourly", ("dt",)),
+    "load_balances": ("gold/load_balances", ("dt",)),
     "gold_features": ("gold/features", ("dt",)),
     "gold_predictions": ("gold/predictions", ("dt",)),
     "gold_quality": ("gold/data_quality_runs", ("dt",)),
@@ -60,6 +62,15 @@ def read_table(spark: SparkSession, root: str, table: str, schema: StructType |
     return df
 
 
+def table_or_empty(spark: SparkSession, root: str, table: str, schema: StructType,
+                   first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:
+    """As `read_table`, without rows where nothing has been written yet."""
+    try:
+        return read_table(spark, root, table, schema, first, last)
+    except EmptyInput:
+        return spark.createDataFrame([], schema)
+
+
 def read_day(spark: SparkSession, root: str, table: str, day: dt.date,
              schema: StructType | None = None) -> DataFrame:
     """One day of a table; raises EmptyInput if it holds no row."""
