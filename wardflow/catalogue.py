@@ -25,14 +25,14 @@ from wardflow.operators.timeline import (
     DURATIONS, encounter_timeline, encounter_waits, orphan_events, with_sector)
 from wardflow.plans import daily
 from wardflow.plans.silver import silver_encounters
-from wardflow.schemas import GOLD_FEATURES, GOLD_METRICS, GOLD_OPS, SILVER_ENCOUNTERS, SILVER_WAITS, conform
+from wardflow.schemas import GOLD_FEATURES, GOLD_METRICS, GOLD_OPS, KB_STORED, SILVER_ENCOUNTERS, SILVER_REJECTS, SILVER_WAITS, conform
 from wardflow.session import run_dir
 from wardflow.sources import catalog, given, lake, models
 from wardflow.streaming import files
 from wardflow.streaming.hourly import hourly_metrics_stream
 from wardflow.streaming.ingest import dedup_stream
-from wardflow.streaming.knowledge import chunk_stream
-from wardflow.streaming.score import score_stream
+from wardflow.streaming.knowledge import chunk_stream, upsert_stream
+from wardflow.streaming.score import score_latest_stream, score_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -194,6 +194,18 @@ def q_silver_encounters(spark, d):
     return silver_encounters(given.bronze_encounters(_events(spark, d)))
 
 
+@_query
+def silver_rejects(spark, d):
+    """Bronze of one day with ids taken from some rows: what silver does not take, every delivery counted."""
+    root = run_dir(spark, "rejects")
+    unnamed = F.when((F.col("sector_id") != "signup") | (F.col("triage_level") != "3"), F.col("encounter_id"))
+    bronze = given.bronze_encounters(_events(spark, d)).withColumn("encounter_id", unnamed).where(F.col("dt") == F.lit(DAY))
+    lake.append(bronze, root, "bronze_encounters")
+    daily.bronze_to_silver(spark, root, DAY)
+    return lake.read_table(spark, root, "silver_rejects", SILVER_REJECTS).groupBy("dt", "source_table", "reason").agg(
+        F.count("*").alias("deliveries"), F.countDistinct("record").alias("records"))
+
+
 @_query
 def coerce_numeric(spark, d):
     """Numbers written as text, some of them unreadable, by sector."""
@@ -576,10 +588,11 @@ def classify_validate(spark, d):
 
 @_query
 def append_classifications(spark, d):
-    """Valid records added to their table and read back."""
+    """Valid records of a run added to their table, the run repeated, and read back."""
     root = run_dir(spark, "classifications")
     valid = _records(spark, d).where(F.col("problem").isNull()).drop("problem")
-    lake.append(valid, root, "gold_classifications")
+    for _ in range(2):
+        lake.replace_run(valid, root, "gold_classifications", "202402010600")
     return lake.read_table(spark, root, "gold_classifications").groupBy("dt", "severity").agg(
         F.count("*").alias("records"), F.max("confidence").alias("top_confidence"))
 
@@ -628,6 +641,42 @@ def stream_score(spark, d):
     return spark.read.parquet(f"{out}/data")
 
 
+@_query
+def kb_replaced_document(spark, d):
+    """Versions of all documents streamed to the knowledge base: every third one is replaced by a
+    shorter text, every seventh deleted, and an older version of each comes last."""
+    docs = given.documents(given.table(spark, d, "documents")).withColumn("n", F.substring_index("source", "/", -1).cast("long"))
+    first = F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz")
+    path, out = run_dir(spark, "kb-versions"), run_dir(spark, "kb")
+    steps = [(2, docs, F.col("text"), False),
+             (3, docs.where("n % 3 = 0"), F.substring("text", 1, 1500), False),
+             (4, docs.where("n % 7 = 0"), F.lit(None).cast("string"), True),
+             (1, docs, F.lit("an older version"), False)]
+    for i, (hour, rows, text, deleted) in enumerate(steps):
+        versions = rows.select("source", (first + hours(hour)).alias("modified"), text.alias("text"), F.lit(deleted).alias("deleted"))
+        versions.write.mode("append").parquet(f"{path}/step={i}")
+        stream = files.read_files(spark, f"{path}/step=*", versions.schema)
+        upsert_stream(stream, out, f"{out}/_checkpoint", buckets=8)
+    return lake.read_table(spark, out, "kb_chunks", KB_STORED).select("source", "chunk_no", "text")
+
+
+@_query
+def stream_score_latest(spark, d):
+    """Feature rows arriving as files, the newest ones first; predictions of the newest hour of each
+    sector as the last run left them."""
+    out, path = run_dir(spark, "score-latest"), run_dir(spark, "score-latest-input")
+    rows = lake.stored(conform(_filled(spark, d), GOLD_FEATURES))
+    fitted = forecast.fit_horizons(_split(rows)[0], max_iter=2)
+    for i, part in enumerate((F.col("dt") > F.lit(DAY), F.col("dt") <= F.lit(DAY))):
+        rows.where(part).write.parquet(f"{path}/part={i}")
+        stream = files.read_files(spark, f"{path}/part=*", GOLD_FEATURES)
+        score_latest_stream(stream, fitted, "202401300000", out, f"{out}/_checkpoint")
+    found = lake.read_table(spark, out, "gold_predictions")
+    known = [F.col(f"predicted_arrivals_h{h}").isNotNull() for h in features.HORIZONS]
+    return found.groupBy("sector_id", "prediction_ts", "model_version", "dt").agg(
+        F.count("*").alias("runs"), F.bool_and(known[0] & known[1] & known[2]).alias("scored"))
+
+
 @_query
 def stream_kb_chunks(spark, d):
     return _streamed(spark, chunk_stream(given.documents(_stream(spark, d, "documents"))), "stream-kb")

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import zlib
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -14,16 +15,17 @@ from pyspark.sql import functions as F
 
 from wardflow.functions.texts import CHUNK_CHARS
 from wardflow.operators.classify import classify, validate
-from wardflow.operators.encode import embed, hashing_encoder
+from wardflow.operators.encode import embed
 from wardflow.operators.retrieval import top_k_similar, with_context
 from wardflow.operators.status import predictions_preview
 from wardflow.operators.texts import split_rejects
 from wardflow.plans import daily
-from wardflow.schemas import SECTORS
+from wardflow.schemas import GOLD_FEATURES, SECTORS
 from wardflow.session import build_session
-from wardflow.sources import catalog, lake
-from wardflow.streaming.files import write_files
-from wardflow.streaming.knowledge import chunk_stream, document_files
+from wardflow.sources import catalog, lake, models
+from wardflow.streaming.files import read_files
+from wardflow.streaming.knowledge import changed_files, upsert_documents
+from wardflow.streaming.score import score_latest_stream
 
 
 def _ingest(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -34,9 +36,8 @@ def _ingest(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def _kb_ingest(spark: SparkSession, a: argparse.Namespace) -> None:
-    """Files not seen before are chunked and embedded; the checkpoint remembers them."""
-    chunks = chunk_stream(document_files(spark, a.input), a.chunk_chars, hashing_encoder)
-    write_files(chunks, lake.path_of(a.root, "kb_chunks"), f"{a.root}/kb/_checkpoint")
+    """New files are chunked and embedded, replaced ones anew, and the chunks of deleted ones removed."""
+    upsert_documents(changed_files(spark, a.input, a.root), a.root, a.chunk_chars)
 
 
 def _kb_query(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -57,7 +58,9 @@ def _classify(spark: SparkSession, a: argparse.Namespace) -> None:
     out = classify(texts, PipelineModel.load(a.model), kind, severity, tuple(a.kinds))
     checked = validate(out.select("id", "classification.*"))
     good = checked.where(F.col("problem").isNull()).drop("problem").withColumn("dt", F.lit(a.date))
-    lake.append(good, a.root, "gold_classifications")
+    # A run is its day and its input: classified again, they replace what they left.
+    run = f"{a.date:%Y%m%d}-{zlib.crc32(a.input.encode()):08x}"
+    lake.replace_run(good, a.root, "gold_classifications", run)
     broken = checked.where(F.col("problem").isNotNull()).select("id", F.col("problem").alias("reason"))
     rejected.select("id", "reason").unionByName(broken).write.mode("overwrite").parquet(a.output)
 
@@ -72,6 +75,15 @@ def _sectors(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     return spark.read.schema(SECTORS).option("header", True).csv(a.sectors)
 
 
+def _stream_score(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Feature files not scored before, by the newest model; with --every the query goes on."""
+    version, fitted = models.load_latest(spark, a.root)
+    rows = read_files(spark, f"{lake.path_of(a.root, 'gold_features')}/dt=*", GOLD_FEATURES)
+    query = score_latest_stream(rows, fitted, version, a.root, f"{a.root}/_checkpoints/score-{version}", a.every)
+    if a.every:
+        query.awaitTermination()
+
+
 STEPS = {
     "ingest-bronze": _ingest,
     "bronze-to-silver": lambda s, a: daily.bronze_to_silver(s, a.root, a.date),
@@ -83,6 +95,7 @@ STEPS = {
     "run-day": lambda s, a: daily.run_day(s, a.root, a.date, _sectors(s, a) if a.sectors else None),
     "train": lambda s, a: daily.train(s, a.root, a.as_of),
     "score": lambda s, a: daily.score(s, a.root, a.as_of),
+    "stream-score": _stream_score,
     "tables": lambda s, a: (catalog.create_tables(s, a.root, a.database),
                             catalog.create_views(s, a.database)),
     "kb-ingest": _kb_ingest,
@@ -100,6 +113,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--as-of", type=dt.datetime.fromisoformat, help="moment of training or scoring, UTC")
     p.add_argument("--input")
     p.add_argument("--output")
+    p.add_argument("--every", help="keep a stream running, e.g. '15 minutes'")
     p.add_argument("--sectors", help="CSV with sector_id, manager, functional_capacity; for the load")
     p.add_argument("--database", default="default")
     p.add_argument("--k", type=int, default=3)

@@ -226,6 +226,12 @@ def oracle_sql() -> dict[str, str]:
     out["silver_encounters"] = _with(_ENC, """
         SELECT encounter_id, CASE WHEN sector_id <> 'error' THEN arrival_time END AS arrival_time, patient_id,
                triage_level, dt, sector_id FROM enc""")
+    out["silver_rejects"] = _with(_ENC, """
+        , reasoned AS (
+          SELECT dt, CASE WHEN sector_id = 'signup' AND triage_level = 3 THEN 'no encounter_id'
+                          WHEN sector_id = 'error' THEN 'arrival_time not readable' END AS reason FROM enc)
+        SELECT dt, 'bronze_encounters' AS source_table, reason, 2 * count(*) AS deliveries, 2 * count(*) AS records
+        FROM reasoned WHERE reason IS NOT NULL AND dt = '2024-01-15' GROUP BY dt, reason""")
     out["coerce_numeric"] = """
         SELECT event_type AS sector_id, count(*) AS texts,
                count(value) FILTER (event_type NOT IN ('error', 'view')) AS numbers,
@@ -385,6 +391,13 @@ kept AS (SELECT * FROM built WHERE lag_arrivals_24h IS NOT NULL)"""
               UNION ALL SELECT 'events', CASE WHEN event_type <> 'error' THEN props ELSE '' END FROM events)
         GROUP BY origin"""
     out["kb_chunks"] = out["stream_kb_chunks"] = _with(_CHUNKS, "SELECT source, chunk_no, text FROM chunks")
+    out["stream_score_latest"] = _with(_FILLED, """
+        SELECT sector_id, CAST(max(window_start) AS TIMESTAMP) AS prediction_ts, '202401300000' AS model_version,
+               CAST(CAST(max(window_start) AS DATE) AS VARCHAR) AS dt, CAST(1 AS BIGINT) AS runs, true AS scored
+        FROM filled GROUP BY sector_id""")
+    out["kb_replaced_document"] = _with(_CHUNKS.replace("FROM documents,", """
+  FROM (SELECT doc_id, source, CASE WHEN doc_id % 3 = 0 THEN substring(text, 1, 1500) ELSE text END AS text
+        FROM documents WHERE doc_id % 7 <> 0),"""), "SELECT source, chunk_no, text FROM chunks")
     out["kb_embed_hashing"] = _with(_CHUNKS + "," + _word_counts("cw", "source || '#' || CAST(chunk_no AS VARCHAR)", "chunks"), """
         SELECT c.source, c.chunk_no, CAST(coalesce(sum(w.n), 0) AS BIGINT) AS words, CAST(count(w.slot) AS INTEGER) AS slots,
                round(coalesce(sqrt(sum(w.n * w.n)), 0), 6) AS length

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,28 +17,55 @@ from wardflow.operators import forecast, quality
 from wardflow.operators.features import FEATURES, features_filled, features_strict
 from wardflow.operators.hourly import hourly_metrics_sparse, hours_of_days
 from wardflow.operators.load import daily_changes, hourly_load, levels_from, ops_metrics_hourly
-from wardflow.plans.silver import silver_encounters, silver_events, silver_waits
+from wardflow.plans.silver import reject_reason, rejects, silver_encounters, silver_events, silver_waits
 from wardflow.schemas import (
     GOLD_FEATURES, GOLD_METRICS, GOLD_OPS, LOAD_BALANCES, LOAD_CHANGES, PREDICTIONS, SILVER_ENCOUNTERS, SILVER_EVENTS,
-    SILVER_WAITS, conform)
+    SILVER_REJECTS, SILVER_WAITS, conform)
 from wardflow.sources import lake, models
 
 DAY = dt.timedelta(days=1)
 
 
+# Table -> id, time, and how its rows are made.
+_SILVER = {"encounters": ("encounter_id", "arrival_time", silver_encounters),
+           "events": ("event_id", "event_timestamp", silver_events)}
+
+
 def bronze_to_silver(spark: SparkSession, root: str, day: dt.date) -> None:
-    encounters = lake.read_day(spark, root, "bronze_encounters", day)
-    events = lake.read_day(spark, root, "bronze_events", day)
-    lake.overwrite_days(silver_encounters(encounters), root, "silver_encounters", [day])
-    lake.overwrite_days(silver_events(events), root, "silver_events", [day])
+    refused = []
+    for table, (key, ts, build) in _SILVER.items():
+        try:
+            bronze = lake.read_day(spark, root, f"bronze_{table}", day)
+        except lake.EmptyInput:
+            if table == "encounters":
+                raise
+            continue
+        taken = bronze.where(reject_reason(bronze, key, ts).isNull())
+        lake.overwrite_days(build(taken), root, f"silver_{table}", [day])
+        refused.append(rejects(bronze, f"bronze_{table}", key, ts))
+    lake.overwrite_days(conform(reduce(DataFrame.unionAll, refused), SILVER_REJECTS), root, "silver_rejects", [day])
+
+
+def _refused_encounters(spark: SparkSession, root: str, day: dt.date) -> DataFrame:
+    """Deliveries of encounters that silver did not take, as rows that lack what they were refused for."""
+    refused = lake.table_or_empty(spark, root, "silver_rejects", SILVER_REJECTS, day, day).where(
+        F.col("source_table") == "bronze_encounters")
+    told = F.from_json("record", "encounter_id string, arrival_time string, patient_id string, triage_level string, sector_id string")
+    return conform(refused.select("dt", told.alias("r")).select(
+        F.nullif("r.encounter_id", F.lit("")).alias("encounter_id"),
+        F.col("r.arrival_time").try_cast("timestamp_ntz").alias("arrival_time"), F.col("r.patient_id").alias("patient_id"),
+        F.col("r.triage_level").try_cast("int").alias("triage_level"), "dt", F.col("r.sector_id").alias("sector_id")),
+        SILVER_ENCOUNTERS)
 
 
 def check_silver(spark: SparkSession, root: str, day: dt.date, max_null_rate: float = 0.0) -> DataFrame:
-    """Stores the quality report of the day, then raises if a rule was broken.
+    """Stores the quality report of the day, then raises if a rule was broken. Deliveries without an
+    id or a readable time count as they came, not as the one row that dedup would leave of them.
 
     Runs before gold is built, so bad days do not spread. Arrivals must fall on the day.
     """
-    encounters = lake.read_table(spark, root, "silver_encounters", SILVER_ENCOUNTERS, day, day)
+    encounters = lake.read_table(spark, root, "silver_encounters", SILVER_ENCOUNTERS, day, day).unionByName(
+        _refused_encounters(spark, root, day))
     low = F.lit(day).cast("timestamp_ntz")
     report = quality.report(
         encounters, spark.range(1).select(F.lit(day).alias("dt")),

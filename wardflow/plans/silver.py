@@ -18,6 +18,21 @@ def _instant(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("timestamp_ntz")
 
 
+def reject_reason(bronze: DataFrame, key: str, ts: str) -> Column:
+    """Why a delivered row cannot be taken: no id, or a time that cannot be read; null if it can."""
+    identity = F.col(key).cast("string")
+    return (F.when(identity.isNull() | (F.trim(identity) == ""), f"no {key}")
+            .when(_instant(bronze, ts).isNull(), f"{ts} not readable"))
+
+
+def rejects(bronze: DataFrame, table: str, key: str, ts: str) -> DataFrame:
+    """Rows of SILVER_REJECTS: every delivery that is not taken, before any is dropped as a repeat."""
+    reason = reject_reason(bronze, key, ts)
+    return bronze.where(reason.isNotNull()).select(
+        F.lit(table).alias("source_table"), reason.alias("reason"),
+        F.to_json(F.struct(*[c for c in bronze.columns if c != "dt"])).alias("record"), F.col("dt").cast("date").alias("dt"))
+
+
 def silver_encounters(bronze: DataFrame) -> DataFrame:
     typed = bronze.withColumns({
         "arrival_time": _instant(bronze, "arrival_time"),

@@ -45,6 +45,8 @@ SILVER_ENCOUNTERS = _schema(
     encounter_id=_S, arrival_time=_T, patient_id=_S, triage_level=_I, dt=_DAY, sector_id=_S)
 SILVER_EVENTS = _schema(
     event_id=_S, encounter_id=_S, event_type=_S, event_timestamp=_T, dt=_DAY)
+# Delivered rows that silver does not take, as they came.
+SILVER_REJECTS = _schema(source_table=_S, reason=_S, record=_S, dt=_DAY)
 SILVER_WAITS = _schema(
     encounter_id=_S, arrival_time=_T, patient_id=_S, triage_level=_I,
     triage_start=_T, triage_end=_T, care_start=_T, discharge_time=_T,
@@ -73,6 +75,9 @@ PREDICTIONS = _schema(
 SECTORS = _schema(sector_id=_S, manager=_S, functional_capacity=_I)
 KB_CHUNKS = _schema(source=_S, chunk_no=_I, text=_S)
 KB_VECTORS = _schema(source=_S, chunk_no=_I, text=_S, vector=ArrayType(FloatType()))
+# Chunks of the newest version of each source, and which version that is. Sources are dealt to buckets.
+KB_STORED = _schema(source=_S, chunk_no=_I, text=_S, vector=ArrayType(FloatType()), bucket=_I)
+KB_SOURCES = _schema(source=_S, modified=_T, deleted=BooleanType(), bucket=_I)
 CLASSIFICATION = _schema(
     category=_S, severity=_S, root_cause=_S, impacted_sector=_S, suggested_action=_S, confidence=_D)
 DQ_REPORT = _schema(

@@ -16,7 +16,8 @@ _EXTERNAL = {
 def create_tables(spark: SparkSession, root: str, database: str = "default") -> None:
     """Declares the gold tables where their files are and registers their partitions."""
     for name, (table, schema) in _EXTERNAL.items():
-        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
+        columns = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in schema]
+                            + [f"{c} string" for c in TABLES[table][1] if c not in schema.fieldNames()])
         by = ", ".join(TABLES[table][1])
         spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet "
                   f"PARTITIONED BY ({by}) LOCATION '{path_of(root, table)}'")

@@ -20,16 +20,18 @@ TABLES = {
     "bronze_events": ("bronze/events_raw", ("dt",)),
     "silver_encounters": ("silver/encounters", ("dt",)),
     "silver_events": ("silver/events", ("dt",)),
+    "silver_rejects": ("silver/rejects", ("dt",)),
     "silver_waits": ("silver/encounter_waits", ("dt",)),
     "gold_metrics": ("gold/ops_metrics_hourly", ("dt",)),
     "gold_ops": ("gold/ops_load_hourly", ("dt",)),
     "load_changes": ("gold/load_changes_hourly", ("dt",)),
     "load_balances": ("gold/load_balances", ("dt",)),
     "gold_features": ("gold/features", ("dt",)),
-    "gold_predictions": ("gold/predictions", ("dt",)),
+    "gold_predictions": ("gold/predictions", ("dt", "run_ts")),
     "gold_quality": ("gold/data_quality_runs", ("dt",)),
-    "gold_classifications": ("gold/classifications", ("dt",)),
-    "kb_chunks": ("kb/chunks", ()),
+    "gold_classifications": ("gold/classifications", ("dt", "run_ts")),
+    "kb_chunks": ("kb/chunks", ("bucket",)),
+    "kb_sources": ("kb/sources", ("bucket",)),
 }
 
 
@@ -118,9 +120,24 @@ def append(df: DataFrame, root: str, table: str) -> None:
     _write(df, root, table, "append")
 
 
+def replace_run(df: DataFrame, root: str, table: str, run_ts: str) -> None:
+    """Rows of one run beside those of others. The run's own folders are replaced, so a run that is
+    repeated leaves no double rows."""
+    _write(df.withColumn("run_ts", F.lit(run_ts)), root, table, "overwrite")
+
+
 def append_predictions(df: DataFrame, root: str, run_ts: dt.datetime) -> None:
     """Predictions of one run, marked with the minute it ran."""
-    append(df.withColumn("run_ts", F.lit(run_ts.strftime("%Y%m%d%H%M"))), root, "gold_predictions")
+    replace_run(df, root, "gold_predictions", run_ts.strftime("%Y%m%d%H%M"))
+
+
+def replace_buckets(df: DataFrame, root: str, table: str, buckets: Iterable[int]) -> None:
+    """Replaces the given buckets of a table by the rows of `df`; those without rows become empty."""
+    rows = stored(df)
+    _write(rows, root, table, "overwrite")
+    # One row per bucket that was written.
+    for b in set(buckets) - {r.bucket for r in rows.select("bucket").distinct().collect()}:
+        rows.where(F.lit(False)).drop("bucket").write.mode("overwrite").parquet(f"{path_of(root, table)}/bucket={b}")
 
 
 def write_report(report: DataFrame, root: str) -> None:
