@@ -61,6 +61,33 @@ def test_added_tokens_as_the_library_has_them():
     assert got[3] == [50256]
 
 
+def test_words_share_their_parts(monkeypatch):
+    """Punctuation and new lines at all places, also with a cache that forgets."""
+    rng = random.Random(3)
+    words = huffman.Words(P.path("byte_bpe_50k.json"), "<u2")
+    parts = ["word", "the", "x1", "2024", "é", "漢", "...", ",", "'", "'s", "\n", "\n\n", "\t", "-", "(", ")", "<|", " ", " ", " ", "  ", "\r\n", "\xa0"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.choice([3, 8, 60]))) for _ in range(3000)]
+    texts += ["end.\nNext line", "end\nnext, x", "a.\nb.\nc d", "it's.\nIt's x", "x*** y*** z", "a\n'b c", "(a)\n(b) c", "q?! r"]
+    want = [words.library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, "<u2").tolist() for x in words.encode(texts)] == want
+    monkeypatch.setattr(huffman, "CACHE", 50)
+    monkeypatch.setattr(huffman, "PART", 100)
+    assert [np.frombuffer(x, "<u2").tolist() for x in words.encode(texts)] == want
+
+
+def test_hot_ids_are_dealt_to_several_ranges(spark, tmp_path, monkeypatch):
+    """A third of the rows without doc_id, a third with one doc_id, all with one text."""
+    monkeypatch.setattr(huffman, "RANGE_IDS", 200)
+    rows = [(None, "one two three")] * 300 + [(7, "one two three")] * 300 + [(i, "one two three") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    huffman.write(docs, str(tmp_path / "f"), P.path("byte_bpe_50k.json"), 2)
+    segments = spark.read.parquet(str(tmp_path / "f/segments"))
+    assert segments.agg(F.max(F.size("doc_ids"))).first()[0] < 120
+    found = sorted((r.start, -1 if r.doc_id is None else r.doc_id, r.n_tokens) for r in huffman.read(spark, str(tmp_path / "f")).collect())
+    assert [i for _, i, _ in found] == sorted(-1 if i is None else i for i, _ in rows)
+    assert [s for s, _, _ in found] == [4 * i for i in range(900)]
+
+
 def test_files(spark, tmp_path, monkeypatch):
     rng = random.Random(8)
     texts = [None, "", " ", "  two  spaces ", "a\n b", "tab\t x", "x\n\n\ny  ", "don't. It's", "\x1c \x1c a", "é ñ 漢字 😀", "<|endoftext|> x"]

@@ -16,7 +16,10 @@ File format, two Parquet folders under one path:
 from __future__ import annotations
 
 import os
+import string
 from collections.abc import Iterator
+from itertools import filterfalse, islice
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +35,8 @@ RANGE_IDS = 1 << 23        # ids of one range of documents, sorted in one task
 CACHE = 900_000            # words whose ids a worker remembers
 PART = 1 << 20             # characters of texts that are cut into words at once
 
+_PUNCTUATION = string.punctuation.replace("'", "")
+
 _SEGMENT = ("segment long, start long, doc_ids array<long>, doc_tokens array<int>, doc_bytes array<int>, "
             "block_bits array<int>, payload binary")
 
@@ -56,20 +61,55 @@ class Words:
         # Each character of a byte-level token stands for one byte.
         self.lengths = np.zeros(max(vocab.values()) + 1, dtype=np.int64)
         self.lengths[list(vocab.values())] = [len(t) for t in vocab]
-        self.known: dict[str, bytes | None] = {}
+        self.known: dict[str, bytes | None] = {}  # with a space before
+        self.bare: dict[str, bytes] = {"\n": self._ids("\n").astype(dtype).tobytes()}  # without
 
     def _ids(self, text: str) -> np.ndarray:
         # The fast form makes no character offsets.
         return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.int64)
 
     def _learn(self, new: list[str]) -> None:
-        """Ids of ` word` for new words; None for those after which a space is no border."""
-        sure = []
-        for w in new:
-            if w and not w[-1].isspace():
-                sure.append(w)
-            else:
+        """Ids of ` word` for new words; None for those after which a space is no border.
+
+        Between a letter or digit and punctuation other than an apostrophe the splitting has a
+        border too, and on both sides of a single new line between other characters. So words that
+        differ in such ends alone share what is encoded.
+        """
+        sure, bare, put_together = set(), set(), []
+        sure.update(filter(str.isalnum, new))
+        for w in filterfalse(str.isalnum, new):
+            if not w or w[-1].isspace():
                 self.known[w] = None
+                continue
+            head, line, rest = w.partition("\n")
+            core, after = head.rstrip(_PUNCTUATION), rest.rstrip(_PUNCTUATION)
+            if ((line or len(core) < len(head)) and core and core[-1].isascii() and core[-1].isalnum()
+                    and (not line or (after.isascii() and after.isalnum()))):
+                parts = [p for p in (head[len(core):], line, after, rest[len(after):]) if p]
+                put_together.append((w, core, parts))
+                sure.add(core)
+                bare.update(parts)
+            else:
+                sure.add(w)
+        self._learn_bare(list(bare.difference(self.bare)))
+        self._learn_words(list(sure.difference(self.known)))
+        for w, core, parts in put_together:
+            self.known[w] = self.known[core] + b"".join(map(self.bare.__getitem__, parts))
+
+    def _learn_bare(self, new: list[str]) -> None:
+        """Letters and digits, or punctuation, without a space before: one to a line."""
+        size = np.dtype(self.dtype).itemsize
+        for i in range(0, len(new), 2000):
+            some = new[i:i + 2000]
+            ids = self._ids("\n".join(some))
+            at = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum([len(w) + 1 for w in some]) - 1) + 1
+            data = ids.astype(self.dtype).tobytes()
+            begin = 0
+            for w, end in zip(some, at.tolist()):
+                self.bare[w] = data[begin * size:end * size]
+                begin = end + 1  # the new line
+
+    def _learn_words(self, sure: list[str]) -> None:
         for i in range(0, len(sure), 2000):
             some = sure[i:i + 2000]
             ids = self._ids(" " + " ".join(some))
@@ -101,9 +141,11 @@ class Words:
             words = set().union(*parts)
             new = words.difference(self.known)
             if new:
-                if len(self.known) + len(new) > CACHE:
-                    self.known.clear()
-                    new = words
+                if len(self.known) + len(self.bare) + len(new) > CACHE:
+                    # Frequent words are met first: the older half stays.
+                    self.known = dict(islice(self.known.items(), CACHE // 2))
+                    self.bare = dict(islice(self.bare.items(), CACHE // 8))
+                    new = words.difference(self.known)
                 self._learn(list(new))
             known = self.known.__getitem__
             for start, p in zip(starts, parts):
@@ -133,7 +175,8 @@ class Words:
 
 
 def tokenise(docs: DataFrame, path: str, end_id: int, dtype: str = "<u2") -> DataFrame:
-    """`doc_id, n_tokens, ids` of whole texts, `end_id` at the end of each; ids as `dtype`."""
+    """`doc_id, row, n_tokens, ids` of whole texts, `end_id` at the end of each; ids as `dtype`. `row`
+    tells equal rows apart."""
     end = np.array([end_id], dtype=dtype).tobytes()
     size = np.dtype(dtype).itemsize
 
@@ -142,13 +185,13 @@ def tokenise(docs: DataFrame, path: str, end_id: int, dtype: str = "<u2") -> Dat
         for batch in batches:
             ids = [x + end for x in words.encode(batch.column("text").to_pylist())]
             yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id"), "n_tokens": pa.array([len(x) // size for x in ids], pa.int64()),
+                "doc_id": batch.column("doc_id"), "row": batch.column("row"), "n_tokens": pa.array([len(x) // size for x in ids], pa.int64()),
                 "ids": pa.array(ids, pa.binary())})
 
     bounded_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"),
                        F.coalesce(F.col("text"), F.lit("")).alias("text")).mapInArrow(
-        work, "doc_id long, n_tokens long, ids binary")
+        work, "doc_id long, row long, n_tokens long, ids binary")
 
 
 # The code.
@@ -244,39 +287,55 @@ def unpack(payload: np.ndarray, first_bits: np.ndarray, sizes: np.ndarray, table
 
 # Jobs.
 
-def _ranges(tokens: DataFrame, n_ids: int) -> np.ndarray:
-    """Bounds of doc_id ranges with about RANGE_IDS ids each."""
-    n = max(1, -(-n_ids // RANGE_IDS))
-    if n == 1:
-        return np.array([], dtype=np.int64)
-    found = tokens.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.2 / n)
-    return np.unique(np.array(found, dtype=np.float64).astype(np.int64))
+class Ranges(NamedTuple):
+    """Places of documents in ascending order: those of null doc_ids, then ranges of doc_id.
+
+    A doc_id with so many rows that it bounds several ranges, or null, is dealt to all of them by row number: its
+    rows may stand in any order.
+    """
+
+    bounds: np.ndarray
+    n_null: int
+
+    @property
+    def count(self) -> int:
+        return len(self.bounds) + self.n_null
+
+    def place(self, ids: pa.Array, rows: pa.Array) -> np.ndarray:
+        values, row = ids.fill_null(0).to_numpy(zero_copy_only=False), rows.to_numpy(zero_copy_only=False)
+        left, right = (np.searchsorted(self.bounds, values, side=s) for s in ("left", "right"))
+        # The last place of null ids is shared with the first range.
+        place = np.where(right - left > 1, left + 1 + row % np.maximum(right - left, 1), right) + self.n_null - 1
+        null = ids.is_null().to_numpy(zero_copy_only=False)
+        place[null] = row[null] % self.n_null
+        return place
 
 
-def _place(ids: pa.Array, bounds: np.ndarray) -> np.ndarray:
-    values = ids.fill_null(0).to_numpy(zero_copy_only=False)
-    place = np.searchsorted(bounds, values, side="right")
-    place[ids.is_null().to_numpy(zero_copy_only=False)] = 0
-    return place
+def _ranges(tokens: DataFrame) -> Ranges:
+    """Ranges of doc_id with about RANGE_IDS ids each."""
+    n_ids, n_null = tokens.agg(F.sum("n_tokens"), F.sum(F.when(F.col("doc_id").isNull(), F.col("n_tokens")))).first()
+    n = max(1, -(-(n_ids or 0) // RANGE_IDS))
+    found = tokens.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.2 / n) if n > 1 else []
+    return Ranges(np.sort(np.array(found, dtype=np.float64).astype(np.int64)), max(1, -(-(n_null or 0) // RANGE_IDS)))
 
 
-def _counts(tokens: DataFrame, dtype: str, bounds: np.ndarray) -> DataFrame:
+def _counts(tokens: DataFrame, dtype: str, dealt: Ranges) -> DataFrame:
     """`of, key, n`: how often each id occurs ('id') and the ids of each range ('range')."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, ranges = np.zeros(1, np.int64), np.zeros(len(bounds) + 1, np.int64)
+        ids, ranges = np.zeros(1, np.int64), np.zeros(dealt.count, np.int64)
         for batch in batches:
             for raw in batch.column("ids").to_pylist():
                 more = np.bincount(np.frombuffer(raw, dtype), minlength=len(ids))
                 more[:len(ids)] += ids
                 ids = more
-            ranges += np.bincount(_place(batch.column("doc_id"), bounds), minlength=len(ranges),
+            ranges += np.bincount(dealt.place(batch.column("doc_id"), batch.column("row")), minlength=len(ranges),
                                   weights=batch.column("n_tokens").to_numpy()).astype(np.int64)
         for of, n in (("id", ids), ("range", ranges)):
             key = np.flatnonzero(n)
             yield pa.RecordBatch.from_pydict({"of": pa.array([of] * len(key), pa.string()),
                                               "key": pa.array(key, pa.int64()), "n": pa.array(n[key], pa.int64())})
 
-    return tokens.select("doc_id", "n_tokens", "ids").mapInArrow(work, "of string, key long, n long").groupBy(
+    return tokens.select("doc_id", "row", "n_tokens", "ids").mapInArrow(work, "of string, key long, n long").groupBy(
         "of", "key").agg(F.sum("n").alias("n"))
 
 
@@ -290,10 +349,9 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, dtype: str =
     """
     spark = docs.sparkSession
     tokens = stored(tokenise(docs, tokenizer, end_id, dtype))
-    n_ids = tokens.agg(F.sum("n_tokens")).first()[0] or 0
-    bounds = _ranges(tokens, n_ids)
+    dealt = _ranges(tokens)
     counts = {"id": {}, "range": {}}
-    for r in _counts(tokens, dtype, bounds).collect():
+    for r in _counts(tokens, dtype, dealt).collect():
         counts[r.of][r.key] = r.n
     freq = np.zeros(max(counts["id"], default=0) + 1, dtype=np.int64)
     for k, n in counts["id"].items():
@@ -304,14 +362,14 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, dtype: str =
         pa.table({"id": pa.array(used, pa.int64()), "length": pa.array(lengths[used], pa.int32())})
     ).coalesce(1).write.parquet(f"{path}/codebook")
     codes = canonical(lengths)
-    sums = np.array([counts["range"].get(i, 0) for i in range(len(bounds) + 1)], dtype=np.int64)
+    sums = np.array([counts["range"].get(i, 0) for i in range(dealt.count)], dtype=np.int64)
     starts = np.cumsum(sums) - sums
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             both = [pack(np.frombuffer(x, dtype), codes, lengths) for x in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_pydict({
-                "place": pa.array(_place(batch.column("doc_id"), bounds), pa.int32()),
+                "place": pa.array(dealt.place(batch.column("doc_id"), batch.column("row")), pa.int32()),
                 "doc_id": batch.column("doc_id"), "n_tokens": batch.column("n_tokens"),
                 "payload": pa.array([p for p, _ in both], pa.binary()),
                 "bits": pa.array([b.astype(np.int32) for _, b in both], pa.list_(pa.int32()))})
@@ -344,7 +402,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, dtype: str =
             yield segment()
 
     coded = tokens.mapInArrow(packed, "place int, doc_id long, n_tokens long, payload binary, bits array<int>")
-    (coded.repartitionById(len(bounds) + 1, "place").sortWithinPartitions("place", F.asc_nulls_first("doc_id"))
+    (coded.repartitionById(dealt.count, "place").sortWithinPartitions("place", F.asc_nulls_first("doc_id"))
      .mapInArrow(segments, _SEGMENT).write.parquet(f"{path}/segments"))
 
 
