@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardflow.llm.common import bounded_batches, once, stored
+from wardflow.llm.common import bounded_batches, once, ragged, stored
 
 CACHE = 350_000          # parts whose alignment a worker remembers
 CHUNK = 2_000_000        # characters whose links are sorted at once; longer texts take several chunks
@@ -59,12 +59,6 @@ def _unpacked(data: bytes, dtype: str) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype)
 
 
-def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The indices start, start + 1, ... of each range, one range after another."""
-    ends = np.cumsum(sizes)
-    return np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
-
-
 class Aligner:
     """Parts of texts and their alignment, remembered by number."""
 
@@ -114,7 +108,7 @@ class Aligner:
         self.known = {names[i]: n for n, i in enumerate(kept.tolist())}
         self.groups = [groups[i] for i in kept.tolist()]
         self.numbers = [table[kept]]
-        self.links = [links[_ranges(starts[kept], table[kept, 3])]]
+        self.links = [links[ragged(starts[kept], table[kept, 3])]]
         self.used = used[kept] // 2
 
     def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -210,7 +204,7 @@ def _linked(aligner: Aligner, rows: list[tuple[bytes, int, np.ndarray, str]]) ->
     parts = np.concatenate([np.zeros(0, dtype=np.int64), *[r[2] for r in rows]])
     sums = np.stack([np.bincount(owner, table[parts, c], len(rows)) for c in range(4)]).astype(np.int64)
     sizes = table[parts, 3]
-    codes = links[_ranges(starts[parts], sizes)] * len(rows) + np.repeat(owner, sizes)
+    codes = links[ragged(starts[parts], sizes)] * len(rows) + np.repeat(owner, sizes)
     codes.sort()
     new = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]])) if len(codes) else np.zeros(0, dtype=np.int64)
     times = np.diff(np.append(new, len(codes)))

@@ -7,12 +7,13 @@ import types
 from collections.abc import Callable
 from typing import Any
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardflow.sources.lake import stored
 
-__all__ = ["BATCH_BYTES", "IDENTITY", "bounded_batches", "identified", "once", "same_row", "stored"]
+__all__ = ["BATCH_BYTES", "IDENTITY", "bounded_batches", "identified", "once", "ragged", "same_row", "stored"]
 
 _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 BATCH_BYTES = 32 << 20
@@ -51,3 +52,9 @@ def once(key: tuple, make: Callable[[], Any]) -> Any:
             del held[other]
         held[key] = make()
     return held[key]
+
+
+def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The indices start, start + 1, ... of each range, one range after another."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)

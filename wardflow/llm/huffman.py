@@ -23,17 +23,18 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm.common import bounded_batches, once, stored
+from wardflow.llm.common import bounded_batches, once, ragged, stored
 
 BLOCK = 256                # ids of a block
 LIMIT = 18                 # bits of the longest code
 SEGMENT_BYTES = 4 << 20    # payload of a segment, more only if one document has more
 RANGE_IDS = 1 << 23        # ids of one range of documents, sorted in one task
 CACHE = 900_000            # words whose ids a worker remembers
-PART = 1 << 20             # characters of texts that are cut into words at once
+PART = 6 << 20             # characters of texts that are cut into words at once
 
 _PUNCTUATION = string.punctuation.replace("'", "")
 
@@ -62,6 +63,7 @@ class Words:
         self.lengths = np.zeros(max(vocab.values()) + 1, dtype=np.int64)
         self.lengths[list(vocab.values())] = [len(t) for t in vocab]
         self.known: dict[str, bytes | None] = {}  # with a space before
+        self.starts: dict[str, bytes] = {}  # first words of texts
         self.bare: dict[str, bytes] = {"\n": self._ids("\n").astype(dtype).tobytes()}  # without
 
     def _ids(self, text: str) -> np.ndarray:
@@ -130,34 +132,54 @@ class Words:
 
     def _by_words(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
-        first = 0
+        first, size = 0, np.dtype(self.dtype).itemsize
         while first < len(texts):
-            last, size = first, 0
-            while last < len(texts) and (last == first or size + len(texts[last]) <= PART):
-                size += len(texts[last])
+            last, n_chars = first, 0
+            while last < len(texts) and (last == first or n_chars + len(texts[last]) <= PART):
+                n_chars += len(texts[last])
                 last += 1
-            parts = [t.split(" ") for t in texts[first:last]]
-            starts = [p.pop(0) for p in parts]
-            words = set().union(*parts)
-            new = words.difference(self.known)
+            # Words meet in a table of their own, so that each distinct one is looked up once.
+            lists = pc.split_pattern(pa.array(texts[first:last], pa.large_string()), " ")
+            words = lists.flatten().dictionary_encode()
+            names, which, bounds = words.dictionary.to_pylist(), words.indices.to_numpy(), lists.offsets.to_numpy()
+            new = [w for w in names if w not in self.known]
+            if len(self.known) + len(self.bare) + len(new) > CACHE:
+                # Frequent words are met first: the older half stays.
+                self.known = dict(islice(self.known.items(), CACHE // 2))
+                self.bare = dict(islice(self.bare.items(), CACHE // 8))
+                new = [w for w in names if w not in self.known]
             if new:
-                if len(self.known) + len(self.bare) + len(new) > CACHE:
-                    # Frequent words are met first: the older half stays.
-                    self.known = dict(islice(self.known.items(), CACHE // 2))
-                    self.bare = dict(islice(self.bare.items(), CACHE // 8))
-                    new = words.difference(self.known)
-                self._learn(list(new))
-            known = self.known.__getitem__
-            for start, p in zip(starts, parts):
-                found = list(map(known, p))
+                self._learn(new)
+            found = list(map(self.known.__getitem__, names))
+            sizes = np.array([-1 if x is None else len(x) // size for x in found], dtype=np.int64)
+            ids = np.frombuffer(b"".join(filter(None, found)), self.dtype)
+            starts = np.cumsum(np.maximum(sizes, 0)) - np.maximum(sizes, 0)
+            # The first word of a text has no space before it.
+            n = sizes[which]
+            n[bounds[:-1]] = 0
+            unsure = np.logical_or.reduceat(n < 0, bounds[:-1])
+            n = np.maximum(n, 0)
+            joined = ids[ragged(starts[which], n)]
+            ends = np.cumsum(n)[bounds[1:] - 1]
+            begin = 0
+            for i, end in enumerate(ends.tolist()):
+                start = names[which[bounds[i]]]
                 # An unsure part, the first one included, takes its text by longer parts.
-                if None in found or not start or start[-1].isspace():
-                    out.append(self._by_longer_parts([start, *p]))
+                if unsure[i] or not start or start[-1].isspace():
+                    out.append(self._by_longer_parts(texts[first + i].split(" ")))
                 else:
-                    out.append(self._ids(start).astype(self.dtype).tobytes() + b"".join(found))
+                    out.append(self._start(start) + joined[begin:end].tobytes())
+                begin = end
             first = last
         return out
 
+    def _start(self, word: str) -> bytes:
+        if (found := self.starts.get(word)) is None:
+            if len(self.starts) > CACHE // 8:
+                self.starts.clear()
+            found = self.starts[word] = self._ids(word).astype(self.dtype).tobytes()
+        return found
+
     def _by_longer_parts(self, parts: list[str]) -> bytes:
         whole, now = [], parts[0]
         for p in parts[1:]:
