@@ -57,6 +57,9 @@ def read_table(spark: SparkSession, root: str, table: str, schema: StructType |
                first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:
     """A table, or only its days from `first` to `last`; other day folders are not opened."""
     df = _parquet(spark, path_of(root, table), schema)
+    if "run_ts" in TABLES[table][1]:
+        # Read off folder names, where a run of digits alone looks like a number.
+        df = df.withColumn("run_ts", F.col("run_ts").cast("string"))
     if first is not None:
         df = df.where(F.col("dt") >= F.lit(first))
     if last is not None:
