@@ -170,7 +170,7 @@ def _views(spark, d):
     """Gold metrics and predictions behind external tables; returns the database of the views."""
     root, database = run_dir(spark, "tables"), f"wardflow_{uuid.uuid4().hex[:12]}"
     lake.overwrite_days(conform(_sparse(spark, d), GOLD_METRICS), root, "gold_metrics")
-    lake.append(_naive(spark, d), root, "gold_predictions")
+    lake.append_predictions(_naive(spark, d), root, dt.datetime(2024, 2, 1, 6))
     spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/database'")
     catalog.create_tables(spark, root, database)
     catalog.create_views(spark, database, AS_OF)
