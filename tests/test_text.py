@@ -11,7 +11,7 @@ from wardflow.functions.numbers import coerce_number, round_numbers
 from wardflow.functions.vectors import cosine
 from wardflow.operators.classify import classify, classify_with, fit_text_models, validate
 from wardflow.operators.encode import embed, hashing_encoder
-from wardflow.operators.retrieval import centroids, similarity_to_group, top_k_similar, with_context
+from wardflow.operators.retrieval import centroids, similarity_to_group, top_k_similar, top_k_with_report, with_context
 from wardflow.operators.texts import kb_chunks, split_rejects
 from wardflow.schemas import CLASSIFICATION
 
@@ -115,6 +115,37 @@ def test_top_k_of_few_rows_and_of_none(spark):
     assert top_k_similar(c, q.limit(0), 3, corpus_id="id", query_id="id").count() == 0
 
 
+def test_five_thousand_queries_skip_most_pairs(spark):
+    # Both sides lie around the same 40 directions, a third of the corpus around one of them.
+    rnd = np.random.default_rng(3)
+    middles = rnd.normal(size=(40, 8))
+
+    def near(n, seed, hot=0):
+        r = np.random.default_rng(seed)
+        which = np.where(np.arange(n) < hot, 0, r.integers(0, 40, n))
+        return middles[which] + r.normal(scale=0.02, size=(n, 8))
+    corpus, asked = near(6000, 4, 2000), near(5000, 5)
+    c = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(corpus)], "vec long, vector array<double>").repartition(3)
+    q = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(asked)], "qid long, vector array<double>")
+    unit = [m / np.linalg.norm(m, axis=1, keepdims=True) for m in (corpus, asked)]
+    sims = np.round(unit[1] @ unit[0].T, 9)
+    want = [(i, j) for i, row in enumerate(sims) for j in np.lexsort((np.arange(6000), -row))[:3]]
+    for most in (None, 1500):
+        hits, report = top_k_with_report(c, q, 3, corpus_id="vec", query_id="qid", max_broadcast_queries=most)
+        assert [(r.query_id, r.corpus_id) for r in hits.orderBy("query_id", "rank").collect()] == want
+        met = report.first()
+        assert met.pairs == 5000 * 6000 and met.scored < 0.25 * met.pairs
+
+
+def test_vectors_of_zeros_and_none(spark):
+    c = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, None), (4, [-1.0, 0.0])], "vec long, vector array<double>")
+    q = spark.createDataFrame([(1, [0.0, 0.0]), (2, None), (3, [2.0, 0.0])], "qid long, vector array<double>")
+    ids = {"corpus_id": "vec", "query_id": "qid"}
+    assert rows(top_k_similar(c, q, 2, **ids), "query_id", "corpus_id", "similarity", by=["query_id", "rank"]) == [
+        (1, 1, 0.0), (1, 2, 0.0), (3, 1, 1.0), (3, 2, 0.0)]
+    assert rows(top_k_similar(c, q, 2, above=0.0, **ids), "query_id", "corpus_id") == [(3, 1)]
+
+
 def test_context_and_citations(spark):
     corpus = spark.createDataFrame([("a#0", "a", "Pedra"), ("a#1", "a", "Papel"), ("b#0", "b", "Folha")],
                                    "chunk_id string, source string, text string")

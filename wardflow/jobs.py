@@ -45,7 +45,8 @@ def _kb_query(spark: SparkSession, a: argparse.Namespace) -> None:
     asked, rejected = split_rejects(spark.read.schema("query_id string, text string").json(a.input))
     corpus = spark.read.parquet(lake.path_of(a.root, "kb_chunks")).withColumn(
         "chunk_id", F.concat_ws("#", "source", F.col("chunk_no").cast("string")))
-    hits = top_k_similar(corpus, embed(asked), a.k, corpus_id="chunk_id", query_id="query_id")
+    # A question without a known word resembles nothing and has no context.
+    hits = top_k_similar(corpus, embed(asked), a.k, corpus_id="chunk_id", query_id="query_id", above=0.0)
     with_context(lake.stored(hits), corpus, "chunk_id").write.mode("overwrite").parquet(a.output)
     rejected.write.mode("overwrite").parquet(f"{a.output}_rejected")
 

@@ -1,10 +1,11 @@
 """Exact top-k search by cosine similarity.
 
-Queries are a batch and the corpus is large, so the corpus stays where it is: each task
-scores its rows against all queries with one matrix product per Arrow batch and keeps the
-best k per query. Only those k rows per task and query are shuffled. A batch of queries too
-large to hand to every task is cut into blocks instead, and so is the corpus; each pair of
-blocks is one bounded group. Both ways are exact.
+Queries are a batch and the corpus is large, so the corpus stays where it is. Queries go to the
+tasks in slices of a bounded size, one pass over the corpus each. The queries of a slice have
+centroids; a task sorts each Arrow batch by nearest centroid and, by the triangle inequality,
+skips every query that no row of such a group can reach any more, given the k best the task
+holds for it so far. Only k rows per task and query are shuffled. There is one plan for any
+number of queries.
 """
 
 from __future__ import annotations
@@ -21,9 +22,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructType
 
 from wardflow.functions.vectors import cosine
+from wardflow.session import run_dir
+from wardflow.sources.lake import stored
 
 PLACES = 9  # similarities equal to this many places are ties, settled by id
+SLACK = 1e-8  # by which a bound may be off, from rounding and floating point
 SCORES = 4_000_000  # numbers held at once by one matrix product
+SLICE = 4_000_000  # numbers in the vectors of one slice of queries: 32 MB
+ROUNDS = 4  # of moving the centroids
 
 
 def _unit_rows(vectors) -> np.ndarray:
@@ -32,54 +38,113 @@ def _unit_rows(vectors) -> np.ndarray:
     return np.divide(m, size, out=np.zeros_like(m), where=size > 0)
 
 
-def _best(q: np.ndarray, ids: np.ndarray, sims: np.ndarray, k: int):
-    """The k best candidates per query among parallel arrays, by similarity then id."""
-    order = np.lexsort((ids, -sims, q))
-    q, ids, sims = q[order], ids[order], sims[order]
+def _places(q: np.ndarray) -> np.ndarray:
+    """The position of each element within its run of equal values."""
     starts = np.r_[0, np.flatnonzero(np.diff(q)) + 1]
-    place = np.arange(len(q)) - np.repeat(starts, np.diff(np.r_[starts, len(q)]))
-    keep = place < k
-    return q[keep], ids[keep], sims[keep]
-
-
-def _score_batch(units: np.ndarray, ids: np.ndarray, vectors, k: int):
-    sims = np.round(units @ _unit_rows(vectors).T, PLACES) + 0.0
-    n = sims.shape[1]
-    cut = np.partition(sims, n - k, axis=1)[:, n - k] if n > k else np.full(len(units), -np.inf)
+    return np.arange(len(q)) - np.repeat(starts, np.diff(np.r_[starts, len(q)]))
+
+
+def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    squares = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * (a @ b.T)
+    return np.sqrt(np.maximum(squares, 0))
+
+
+def _centres(units: np.ndarray) -> np.ndarray:
+    """About sqrt(n) centroids of the rows, so that finding the nearest one costs little
+    beside scoring; which ones decides the speed alone."""
+    n = math.isqrt(len(units) - 1) + 1
+    centres = units[np.linspace(0, len(units) - 1, n).astype(int)]
+    for _ in range(ROUNDS):
+        near = _distances(units, centres).argmin(1)
+        sums = np.zeros_like(centres)
+        np.add.at(sums, near, units)
+        counts = np.bincount(near, minlength=n)[:, None]
+        centres = np.divide(sums, counts, out=centres.copy(), where=counts > 0)
+    return centres
+
+
+class _Best:
+    """The k best candidates of every query so far, by similarity and then id."""
+
+    def __init__(self, queries: int, k: int, floor: float):
+        self.k, self.floor = k, floor
+        self.sims = np.full((queries, k), -np.inf)
+        self.ids = None
+        self.limit = np.full(queries, floor)  # a candidate below it is none
+
+    def add(self, q: np.ndarray, ids: np.ndarray, sims: np.ndarray) -> None:
+        if not len(q):
+            return
+        if self.ids is None:
+            self.ids = np.empty(self.sims.shape, dtype=ids.dtype)
+        touched = np.unique(q)
+        old = np.repeat(touched, self.k), self.ids[touched].ravel(), self.sims[touched].ravel()
+        known = old[2] > -np.inf
+        q, ids, sims = (np.concatenate([a[known], b]) for a, b in zip(old, (q, ids, sims)))
+        order = np.lexsort((ids, -sims, q))
+        q, ids, sims = q[order], ids[order], sims[order]
+        place = _places(q)
+        kept = place < self.k
+        self.sims[q[kept], place[kept]] = sims[kept]
+        self.ids[q[kept], place[kept]] = ids[kept]
+        self.limit[touched] = np.maximum(self.sims[touched, -1], self.floor)
+
+
+def _score(best: _Best, live: np.ndarray, units: np.ndarray, rows: np.ndarray, ids: np.ndarray) -> None:
+    """Offers the rows to the live queries."""
+    sims = np.round(units[live] @ rows.T, PLACES) + 0.0
+    cut = best.limit[live].copy()
+    new = np.isneginf(cut)
+    if new.any() and len(ids) > best.k:
+        cut[new] = np.partition(sims[new], len(ids) - best.k, axis=1)[:, len(ids) - best.k]
     q, col = np.nonzero(sims >= cut[:, None])
-    return _best(q, ids[col], sims[q, col], k)
-
-
-def _merge(a, b, k: int):
-    return _best(*(np.concatenate(pair) for pair in zip(a, b)), k)
-
+    best.add(live[q], ids[col], sims[q, col])
 
-def _top_k_of(batches: Iterator[pd.DataFrame], query_ids: np.ndarray, units: np.ndarray,
-              corpus_id: str, vector: str, k: int) -> Iterator[pd.DataFrame]:
-    """One frame with the best k rows of all batches per query; none without rows.
 
-    Batches are cut so that one product has at most SCORES numbers, whatever the number of
-    queries.
-    """
-    held, step = None, max(1, SCORES // max(1, len(units)))
+def _top_k_of(batches: Iterator[pd.DataFrame], query_ids: np.ndarray, units: np.ndarray, centres: np.ndarray,
+              corpus_id: str, vector: str, k: int, floor: float, rows_at_once: int) -> Iterator[pd.DataFrame]:
+    """The best k rows of all batches per query, and one row with the pairs met and scored."""
+    best, met, scored = _Best(len(units), k, floor), 0, 0
+    to_centre = _distances(units, centres)
+    home = to_centre.argmin(1)
     for pdf in batches:
-        for at in range(0, len(pdf), step):
-            part = pdf.iloc[at:at + step]
-            found = _score_batch(units, part[corpus_id].to_numpy(), part[vector], k)
-            held = found if held is None else _merge(held, found, k)
-    if held is not None:
-        yield pd.DataFrame(
-            {"query_id": query_ids[held[0]], "corpus_id": held[1], "similarity": held[2]})
-
-
-def top_k_similar(corpus: DataFrame, queries: DataFrame, k: int = 3, *, corpus_id: str,
-                  query_id: str, vector: str = "vector", max_broadcast_queries: int = 2048,
-                  corpus_block_rows: int = 50_000) -> DataFrame:
-    """`query_id, rank, corpus_id, similarity` with the k most similar corpus rows per query.
-
-    Ids must be unique and be strings or longs. Not more than `max_broadcast_queries` query
-    rows are ever brought to the driver.
-    """
+        if not len(pdf):
+            continue
+        met += len(pdf) * len(units)
+        every, ids = _unit_rows(pdf[vector]), pdf[corpus_id].to_numpy()
+        away = _distances(every, centres)
+        near = away.argmin(1)
+        order = np.argsort(near, kind="stable")
+        groups = np.split(order, np.flatnonzero(np.diff(near[order])) + 1)
+        # Each query meets the rows around its own centroid first: most others are then out of reach.
+        for own, group in [(True, g) for g in groups] + [(False, g) for g in groups]:
+            c = near[group[0]]
+            asked = (home == c) == own
+            at = 0
+            while at < len(group):
+                radius = away[group[at:], c]
+                # A row is at least this far from a query, and similarity is 1 - distance² / 2.
+                gap = np.maximum(np.maximum(to_centre[:, c] - radius.max(), radius.min() - to_centre[:, c]), 0)
+                live = np.flatnonzero(asked & (1 - gap * gap / 2 >= best.limit - SLACK))
+                if not len(live):
+                    break
+                step = max(1, min(rows_at_once, SCORES // len(live)))
+                part = group[at:at + step]
+                _score(best, live, units, every[part], ids[part])
+                scored += len(part) * len(live)
+                at += step
+    q, place = np.nonzero(best.sims > -np.inf)
+    if len(q):
+        yield pd.DataFrame({"query_id": query_ids[q], "corpus_id": best.ids[q, place], "similarity": best.sims[q, place],
+                            "pairs": None, "scored": None})
+    yield pd.DataFrame({"query_id": [None], "corpus_id": [None], "similarity": [None], "pairs": [met], "scored": [scored]})
+
+
+def top_k_with_report(corpus: DataFrame, queries: DataFrame, k: int = 3, *, corpus_id: str, query_id: str,
+                      vector: str = "vector", max_broadcast_queries: int | None = None,
+                      corpus_block_rows: int = 50_000, above: float | None = None) -> tuple[DataFrame, DataFrame]:
+    """The hits of `top_k_similar`, and one row `pairs, scored`: the pairs of a query and a
+    corpus row, and how many of them had to be compared."""
     # Rows without a vector are no neighbours; queries without one have none.
     corpus = corpus.select(corpus_id, vector).where(F.col(vector).isNotNull())
     queries = queries.where(F.col(vector).isNotNull())
@@ -87,62 +152,52 @@ def top_k_similar(corpus: DataFrame, queries: DataFrame, k: int = 3, *, corpus_i
     out = (StructType()
            .add("query_id", queries.schema["query_id"].dataType)
            .add("corpus_id", corpus.schema[corpus_id].dataType)
-           .add("similarity", DoubleType()))
+           .add("similarity", DoubleType()).add("pairs", LongType()).add("scored", LongType()))
     for f in (out["query_id"], out["corpus_id"]):
         if not isinstance(f.dataType, (LongType, StringType)):
             raise TypeError(f"{f.name} must be a string or a long")
 
-    held = queries.limit(max_broadcast_queries + 1).toPandas()
-    if len(held) <= max_broadcast_queries:
-        candidates = _against_broadcast(corpus, held, out, corpus_id, vector, k)
-    else:
-        candidates = _against_blocks(
-            corpus, queries, out, corpus_id, vector, k, max_broadcast_queries, corpus_block_rows)
-
+    spark = corpus.sparkSession
+    queries = stored(queries)
+    n, dims = queries.agg(F.count(F.lit(1)), F.max(F.size("_query"))).first()
+    most = max_broadcast_queries or max(1, SLICE // max(1, dims or 1))
+    # Slices by hash are not equal in size: on average they are half of what is allowed.
+    slices = max(1, math.ceil(2 * n / most)) if n > most else 1
+    path, floor = run_dir(spark, "top-k"), -np.inf if above is None else above
+    spark.createDataFrame([], out).write.parquet(path)
+    for i in range(slices):
+        held = queries.where(F.pmod(F.xxhash64("query_id"), F.lit(slices)) == i).toPandas()
+        if held.empty:
+            continue
+        units = _unit_rows(held["_query"])
+        # One broadcast for all tasks, not a copy in every task's closure.
+        shared = spark.sparkContext.broadcast((held["query_id"].to_numpy(), units, _centres(units)))
+
+        def score(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            yield from _top_k_of(batches, *shared.value, corpus_id, vector, k, floor, corpus_block_rows)
+
+        corpus.mapInPandas(score, out).write.mode("append").parquet(path)
+        shared.destroy()
+
+    found = spark.read.schema(out).parquet(path)
+    hits = found.where(F.col("query_id").isNotNull())
+    if above is not None:
+        hits = hits.where(F.col("similarity") > above)
     w = Window.partitionBy("query_id").orderBy(F.desc("similarity"), F.asc("corpus_id"))
-    return (candidates.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "corpus_id", "similarity"))
+    return (hits.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+            .select("query_id", "rank", "corpus_id", "similarity"),
+            found.agg(F.coalesce(F.sum("pairs"), F.lit(0)).alias("pairs"),
+                      F.coalesce(F.sum("scored"), F.lit(0)).alias("scored")))
 
 
-def _against_broadcast(corpus, held: pd.DataFrame, out, corpus_id, vector, k) -> DataFrame:
-    if held.empty:
-        return corpus.sparkSession.createDataFrame([], out)
-    # One broadcast for all tasks, not a copy in every task's closure.
-    shared = corpus.sparkSession.sparkContext.broadcast(
-        (held["query_id"].to_numpy(), _unit_rows(held["_query"])))
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        query_ids, units = shared.value
-        yield from _top_k_of(batches, query_ids, units, corpus_id, vector, k)
-
-    return corpus.mapInPandas(score, out)
-
-
-def _against_blocks(corpus, queries, out, corpus_id, vector, k, query_rows, corpus_rows) -> DataFrame:
-    """Block by block: ids are hashed into blocks, so a block is bounded whatever the skew of
-    other columns, and each (query block, corpus block) is scored in one group."""
-    n_q = math.ceil(queries.count() / (query_rows / 2))
-    n_c = max(1, math.ceil(corpus.count() / (corpus_rows / 2)))
-
-    def all_blocks(n: int):
-        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
-
-    def block_of(name: str, n: int):
-        return F.pmod(F.xxhash64(name), F.lit(n).cast("long"))
-
-    q = queries.select("*", block_of("query_id", n_q).alias("_qb"), all_blocks(n_c).alias("_cb"))
-    c = corpus.select("*", block_of(corpus_id, n_c).alias("_cb"), all_blocks(n_q).alias("_qb"))
-
-    def score(q_pdf: pd.DataFrame, c_pdf: pd.DataFrame) -> pd.DataFrame:
-        if len(q_pdf):
-            for found in _top_k_of(iter([c_pdf]), q_pdf["query_id"].to_numpy(),
-                                   _unit_rows(q_pdf["_query"]), corpus_id, vector, k):
-                return found
-        return pd.DataFrame({"query_id": q_pdf["query_id"].iloc[:0],
-                             "corpus_id": c_pdf[corpus_id].iloc[:0],
-                             "similarity": np.array([], dtype=np.float64)})
+def top_k_similar(corpus: DataFrame, queries: DataFrame, k: int = 3, **options) -> DataFrame:
+    """`query_id, rank, corpus_id, similarity` with the k most similar corpus rows per query.
 
-    return q.groupBy("_qb", "_cb").cogroup(c.groupBy("_qb", "_cb")).applyInPandas(score, out)
+    Ids must be unique and be strings or longs; options are those of `top_k_with_report`. The driver
+    holds about `max_broadcast_queries` queries at a time. A vector of zeros has similarity 0 to all;
+    `above` leaves out hits that are not more similar than it, so with 0 such queries have none.
+    """
+    return top_k_with_report(corpus, queries, k, **options)[0]
 
 
 def centroids(df: DataFrame, group: str, vector: str = "vector") -> DataFrame:
