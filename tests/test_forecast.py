@@ -7,6 +7,7 @@ from helpers import START, metrics, rows
 from pyspark.sql import functions as F
 
 from wardflow.operators import forecast
+from wardflow.operators.evaluation import drift_psi
 from wardflow.operators.features import features_filled
 from wardflow.operators.hourly import hourly_metrics_dense
 from wardflow.plans import daily
@@ -44,8 +45,45 @@ def test_model_beats_yesterday_on_held_out_hours(features):
     errors = forecast.held_out_error(held, forecast.fit_horizons(past, (1, 24), **SMALL)).collect()
     assert [e.horizon for e in errors] == [1, 24]
     assert all(0 < e.mae <= e.rmse for e in errors)
-    # For h24 the bar is the current hour, which is not among the two features.
-    assert errors[0].mae < errors[0].naive_mae
+    # The value 24 h before the target is not among the two features; the one 24 h before now is.
+    lag = F.avg(F.abs(F.col("target_arrivals_h1") - F.col("lag_arrivals_24h")))
+    assert errors[0].mae < held.agg(lag).first()[0]
+
+
+def test_labels_of_held_out_hours_are_not_learned(features):
+    origin = F.lit(CUTOFF).cast("timestamp_ntz")
+    for h in (1, 4, 24):
+        last = forecast.known_before(features, origin, h).agg(F.max("window_start")).first()[0]
+        assert last + dt.timedelta(hours=h) == CUTOFF - dt.timedelta(hours=1)
+
+
+def test_bar_is_the_value_a_day_before_the_target(features):
+    counts = {(r.sector_id, r.window_start): r.arrivals_count for r in features.collect()}
+    origins, hour = forecast.origins_before(CUTOFF + dt.timedelta(days=7), 3, 2) + [START], dt.timedelta(hours=1)
+    out = {(r.origin, r.horizon): r for r in forecast.held_out_naive(features, origins, 4).collect()}
+    assert len(out) == 9
+    for (origin, h), r in out.items():
+        misses = [abs(counts[s, at + h * hour] - counts[s, at + (h - 24) * hour]) for s, at in counts
+                  if origin <= at < origin + 96 * hour and (s, at + h * hour) in counts and (s, at + (h - 24) * hour) in counts]
+        assert r.pairs == len(misses) and r.naive_mae == pytest.approx(sum(misses) / len(misses))
+
+
+def test_errors_over_several_origins(features):
+    origins = forecast.origins_before(CUTOFF + dt.timedelta(days=7), 4, 2)
+    errors, fitted = forecast.rolling_errors(features, origins, 4, (1,), **SMALL)
+    parts = errors.collect()
+    assert list(fitted) == [1] and [r.origin for r in parts] == origins
+    for r, origin in zip(parts, origins):
+        model = forecast.fit_horizons(features, (1,), F.lit(origin).cast("timestamp_ntz"), **SMALL)
+        scored = forecast.predict(forecast.of_origin(forecast.with_naive(features), origin, 4), model).dropna(
+            subset=["target_arrivals_h1", "naive_arrivals_h1"]).collect()
+        assert r.pairs == len(scored)
+        assert r.mae == pytest.approx(sum(abs(s.target_arrivals_h1 - s.predicted_arrivals_h1) for s in scored) / len(scored))
+    both = forecast.over_origins(errors).first()
+    a, b = parts
+    assert (both.origins, both.pairs) == (2, a.pairs + b.pairs)
+    assert both.mae == pytest.approx((a.mae * a.pairs + b.mae * b.pairs) / both.pairs)
+    assert both.mae_sd == pytest.approx(abs(a.mae - b.mae) / math.sqrt(2))
 
 
 def test_same_seed_same_forecast(features):
@@ -87,12 +125,22 @@ def test_train_register_load_score(spark, features, root):
     listed = models.registry(spark, root)
     assert listed.count() == 6
     assert listed.where("beats_naive != (mae <= naive_mae)").count() == 0
-    assert listed.where("horizon = 1 AND beats_naive").count() == 2
+    assert listed.where("origins = 1 AND mae_sd IS NULL").count() == 6
     for minute in (0, 15):
         daily.score(spark, root, end + dt.timedelta(minutes=minute))
     stored = lake.read_table(spark, root, "gold_predictions")
     assert rows(stored, "sector_id", "run_ts") == [
         (s, f"2024012112{m:02d}") for s in "AB" for m in (0, 15)]
+    # Drift reads what was sketched as rows were written; a score that is run again counts once.
+    daily.score(spark, root, end)
+    daily.sketch_days(spark, root, [START.date() + dt.timedelta(days=i) for i in range(DAYS)])
+    sketched = lake.read_table(spark, root, "gold_sketches")
+    assert sketched.where("feature = 'predicted_arrivals_h4'").agg(F.sum("row_count")).first()[0] == 4
+    day = START.date() + dt.timedelta(days=DAYS - 3)
+    out = {r.feature: r for r in daily.drift(spark, root, day, day + dt.timedelta(days=2)).collect()}
+    assert (out["arrivals_count"].baseline_rows, out["arrivals_count"].current_rows) == (2 * 24 * (DAYS - 3), 2 * 24 * 3)
+    assert out["arrivals_count"].psi == pytest.approx(drift_psi(
+        features.where(F.col("dt") < day), features.where(F.col("dt") >= day), ["arrivals_count"]).first().psi)
 
 
 def test_streamed_scores_equal_the_batch(spark, features, root, tmp_path):

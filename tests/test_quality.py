@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from wardflow.operators import quality
 from wardflow.operators.asof import asof_join
+from wardflow.operators.sketches import column_sketches, drift_of_sketches
 from wardflow.operators.evaluation import drift_psi, forecast_error, predicted_vs_actual, predictions_long
 from wardflow.schemas import PREDICTIONS
 from wardflow.sources.lake import stored
@@ -102,6 +103,34 @@ def test_drift_against_a_formula_by_hand(spark):
     assert same.psi == 0
 
 
+def test_drift_from_sketches_of_days(spark):
+    rnd = random.Random(2)
+    few = [(d, float(rnd.randint(0, 9) + (d > 5)), 1.0, None) for d in range(8) for _ in range(150)]
+    df = spark.createDataFrame(few, "d int, x double, flat double, none double")
+    days = stored(column_sketches(df, ["x", "flat", "none"], ["d"]))
+    assert days.count() == 16
+    out = {r.feature: r for r in drift_of_sketches(days.where("d < 6"), days.where("d >= 6")).collect()}
+    want = {r.feature: r for r in drift_psi(df.where("d < 6"), df.where("d >= 6"), ["x", "flat"]).collect()}
+    assert set(out) == {"x", "flat"}
+    for name, r in want.items():
+        assert out[name].psi == pytest.approx(r.psi, abs=1e-9)
+        assert (out[name].baseline_rows, out[name].current_rows) == (r.baseline_rows, r.current_rows) == (900, 300)
+
+
+def test_drift_from_sketches_of_many_values(spark):
+    base = spark.range(120_000).select((F.randn(5)).alias("x"), (F.col("id") % 30).alias("d"))
+    now = spark.range(40_000).select((F.randn(6) * 1.5 + 0.4).alias("x"), (F.col("id") % 7).alias("d"))
+    sketched = [stored(column_sketches(f, ["x"], ["d"])) for f in (base, now)]
+    exact = drift_psi(base, now, ["x"]).first().psi
+    assert exact > 0.1 and drift_of_sketches(*sketched).first().psi == pytest.approx(exact, abs=0.02)
+    # A flat baseline that moved, and a current side without rows.
+    flat = column_sketches(base.select(F.lit(1.0).alias("x")), ["x"])
+    moved = column_sketches(base.select(F.lit(50.0).alias("x")), ["x"])
+    assert drift_of_sketches(flat, moved).first().psi > 1 and drift_of_sketches(flat, flat).first().psi == 0
+    gone = drift_of_sketches(flat, moved.limit(0)).first()
+    assert gone.current_rows == 0 and gone.psi > 1
+
+
 @pytest.mark.parametrize("settle", [lambda df: df, stored])
 def test_latest_at_or_before_equals_a_search_by_hand(spark, settle):
     rnd = random.Random(9)

@@ -14,7 +14,7 @@ from wardflow.functions.numbers import coerce_number
 from wardflow.functions.texts import is_missing
 from wardflow.functions.times import hours
 from wardflow.functions.vectors import norm
-from wardflow.operators import evaluation, features, forecast, load, quality, retrieval, status
+from wardflow.operators import evaluation, features, forecast, load, quality, retrieval, sketches, status
 from wardflow.operators.asof import asof_join
 from wardflow.operators.classify import SEVERITIES, classify, fit_text_models, validate
 from wardflow.operators.dedup import keep_first, latest_per_group
@@ -419,6 +419,19 @@ def drift_psi(spark, d):
                                 ["arrivals_count", *features.FEATURES])
 
 
+@_query
+def drift_sketches(spark, d):
+    """As drift_psi, from one sketch per day; each figure within 0.02 of the exact one."""
+    f = lake.stored(_filled(spark, d))
+    columns = ["arrivals_count", *features.FEATURES]
+    cutoff = F.date_sub(f.agg(F.max("dt")).scalar(), 6)
+    days = lake.stored(sketches.column_sketches(f, columns, ["dt"]))
+    past, now = F.col("dt") < cutoff, F.col("dt") >= cutoff
+    exact = evaluation.drift_psi(f.where(past), f.where(now), columns).select("feature", F.col("psi").alias("_exact"))
+    return sketches.drift_of_sketches(days.where(past), days.where(now)).join(exact, "feature").select(
+        "feature", (F.abs(F.col("psi") - F.col("_exact")) <= 0.02).alias("near"), "baseline_rows", "current_rows")
+
+
 def _stored_features(spark, d):
     """Features computed once and read by every fit."""
     return lake.stored(conform(_filled(spark, d), GOLD_FEATURES))
@@ -446,6 +459,12 @@ def score_latest(spark, d):
     return forecast.score_latest(f, forecast.fit_horizons(past), as_of, "202401300000")
 
 
+@_query
+def held_out_naive(spark, d):
+    """The bar for each horizon in the three windows of four days before a moment."""
+    return forecast.held_out_naive(_filled(spark, d), forecast.origins_before(dt.datetime(2024, 1, 28), 4, 3), 4)
+
+
 @_query
 def model_registry(spark, d):
     """Models of all horizons trained, stored and registered; the newest version as loaded."""

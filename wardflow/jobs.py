@@ -94,8 +94,11 @@ STEPS = {
     "silver-to-gold": lambda s, a: daily.silver_to_gold(s, a.root, a.date),
     "features": lambda s, a: daily.build_features(s, a.root, a.date),
     "run-day": lambda s, a: daily.run_day(s, a.root, a.date, _sectors(s, a) if a.sectors else None),
-    "train": lambda s, a: daily.train(s, a.root, a.as_of),
+    "train": lambda s, a: daily.train(s, a.root, a.as_of, a.days, a.origins),
     "score": lambda s, a: daily.score(s, a.root, a.as_of),
+    "sketch": lambda s, a: daily.sketch_days(s, a.root, [a.date]),
+    "drift": lambda s, a: (daily.drift(s, a.root, a.date - dt.timedelta(days=a.days - 1), a.date)
+                           .coalesce(1).write.mode("overwrite").json(a.output)),
     "stream-score": _stream_score,
     "tables": lambda s, a: (catalog.create_tables(s, a.root, a.database),
                             catalog.create_views(s, a.database)),
@@ -117,6 +120,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--every", help="keep a stream running, e.g. '15 minutes'")
     p.add_argument("--sectors", help="CSV with sector_id, manager, functional_capacity; for the load")
     p.add_argument("--database", default="default")
+    p.add_argument("--days", type=int, default=7, help="held-out days of training, current days of drift")
+    p.add_argument("--origins", type=int, default=1, help="cut-offs at which training is measured")
     p.add_argument("--k", type=int, default=3)
     p.add_argument("--chunk-chars", type=int, default=CHUNK_CHARS)
     p.add_argument("--max-null-rate", type=float, default=0.0)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
@@ -22,6 +24,12 @@ def split_by_time(features: DataFrame, cutoff: Column) -> tuple[DataFrame, DataF
     return features.where(F.col("window_start") < cutoff), features.where(F.col("window_start") >= cutoff)
 
 
+def known_before(features: DataFrame, origin: Column, horizon: int) -> DataFrame:
+    """The hours whose target hour was over at the origin: a gap of the horizon keeps labels of
+    held-out hours out of training."""
+    return features.where(F.col("window_start") + F.make_dt_interval(hours=F.lit(horizon)) < origin)
+
+
 def fit_horizon(train: DataFrame, horizon: int, *, max_iter: int = 20, max_depth: int = 3,
                 seed: int = 42) -> PipelineModel:
     """Boosted trees from the features to the arrivals `horizon` hours ahead.
@@ -40,8 +48,10 @@ def fit_horizon(train: DataFrame, horizon: int, *, max_iter: int = 20, max_depth
     ]).fit(known)
 
 
-def fit_horizons(train: DataFrame, horizons: Sequence[int] = HORIZONS, **options) -> dict[int, PipelineModel]:
-    return {h: fit_horizon(train, h, **options) for h in horizons}
+def fit_horizons(train: DataFrame, horizons: Sequence[int] = HORIZONS, origin: Column | None = None,
+                 **options) -> dict[int, PipelineModel]:
+    """One model per horizon; with an origin each learns only what was known before it."""
+    return {h: fit_horizon(train if origin is None else known_before(train, origin, h), h, **options) for h in horizons}
 
 
 def predict(features: DataFrame, models: dict[int, PipelineModel]) -> DataFrame:
@@ -81,23 +91,88 @@ def naive_predictions(features: DataFrame) -> DataFrame:
         F.col("arrivals_count").cast("double").alias("predicted_arrivals_h24"), "dt")
 
 
+def with_naive(features: DataFrame, horizons: Sequence[int] = HORIZONS) -> DataFrame:
+    """`features` with `naive_arrivals_h<h>`: the arrivals 24 h before the target hour, by clock."""
+    value = """max(arrivals_count) OVER (PARTITION BY sector_id ORDER BY window_start
+        RANGE BETWEEN INTERVAL {0} HOURS PRECEDING AND INTERVAL {0} HOURS PRECEDING)"""
+    return features.withColumns({f"naive_arrivals_h{h}": F.expr(value.format(24 - h)) for h in horizons})
+
+
+def _by_horizon(rows: DataFrame, horizons: Sequence[int], *kinds: str) -> DataFrame:
+    """One row per hour and horizon with the columns `<kind>_arrivals_h<h>` as `kind`."""
+    each = F.explode(F.array(*[
+        F.struct(F.lit(h).alias("horizon"), *[F.col(f"{k}_arrivals_h{h}").cast("double").alias(k) for k in kinds])
+        for h in horizons]))
+    kept = [c for c in ("origin", "sector_id", "window_start") if c in rows.columns]
+    return rows.select(*kept, each.alias("_h")).select(*kept, "_h.*")
+
+
+def origins_before(end: dt.datetime, days: int, count: int) -> list[dt.datetime]:
+    """`count` cut-offs, oldest first, whose held-out windows of `days` days end one after another at `end`."""
+    return [end - dt.timedelta(days=days * i) for i in range(count, 0, -1)]
+
+
+def of_origin(features: DataFrame, origin: dt.datetime, days: int) -> DataFrame:
+    """The hours held out for one origin."""
+    at = F.lit(origin).cast("timestamp_ntz")
+    return features.where((F.col("window_start") >= at)
+                          & (F.col("window_start") < at + F.make_dt_interval(days=F.lit(days)))).withColumn("origin", at)
+
+
+def held_out_naive(features: DataFrame, origins: Sequence[dt.datetime], days: int,
+                   horizons: Sequence[int] = HORIZONS) -> DataFrame:
+    """`origin, horizon, pairs, naive_mae`: the bar that a model has to beat in each window.
+
+    Windows of `days` days begin at the origins; hours without a target or without a value 24 h
+    before it are left out. Windows may overlap: an hour counts in each of its own.
+    """
+    start = F.explode(F.filter(
+        F.array(*[F.lit(o).cast("timestamp_ntz") for o in origins]),
+        lambda o: (F.col("window_start") >= o) & (F.col("window_start") < o + F.make_dt_interval(days=F.lit(days)))))
+    rows = with_naive(features, horizons).withColumn("origin", start)
+    pairs = _by_horizon(rows, horizons, "target", "naive").dropna(subset=["target", "naive"])
+    return pairs.groupBy("origin", "horizon").agg(
+        F.count(F.lit(1)).alias("pairs"), F.avg(F.abs(F.col("target") - F.col("naive"))).alias("naive_mae"))
+
+
 def held_out_error(held: DataFrame, models: dict[int, PipelineModel]) -> DataFrame:
-    """Per horizon on held-out hours: errors of the model, and MAE of 'same as 24 h before
-    the target hour' as the bar."""
-    scored = predict(held, models)
-    # 24 h before the target hour t + h is t + h - 24: now for h = 24, else the nearest
-    # known stand-in, the value 24 h before t.
-    parts = []
-    for h in models:
-        actual = F.col(f"target_arrivals_h{h}")
-        naive = F.col("arrivals_count") if h == 24 else F.col("lag_arrivals_24h")
-        miss = F.abs(actual - F.col(f"predicted_arrivals_h{h}"))
-        parts.append(scored.where(actual.isNotNull()).agg(
-            F.lit(h).alias("horizon"), F.count("*").alias("pairs"),
-            F.avg(miss).alias("mae"), F.sqrt(F.avg(miss * miss)).alias("rmse"),
-            F.avg(F.when(actual != 0, miss / actual)).alias("mape"),
-            F.avg(F.abs(actual - naive)).alias("naive_mae")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Per horizon (and `origin`, if there is such a column) on held-out hours: errors of the model,
+    and MAE of 'same as 24 h before the target hour' as the bar.
+
+    Both are of the same pairs, those with a target and a value 24 h before it. Pass hours with
+    the columns of `with_naive` made before the split; else the first hours have no bar.
+    """
+    horizons = list(models)
+    if f"naive_arrivals_h{horizons[0]}" not in held.columns:
+        held = with_naive(held, horizons)
+    pairs = _by_horizon(predict(held, models), horizons, "target", "naive", "predicted")
+    miss = F.abs(F.col("target") - F.col("predicted"))
+    by = [c for c in ("origin", "horizon") if c in pairs.columns]
+    return pairs.dropna(subset=["target", "naive"]).groupBy(*by).agg(
+        F.count(F.lit(1)).alias("pairs"), F.avg(miss).alias("mae"), F.sqrt(F.avg(miss * miss)).alias("rmse"),
+        F.avg(F.when(F.col("target") != 0, miss / F.col("target"))).alias("mape"),
+        F.avg(F.abs(F.col("target") - F.col("naive"))).alias("naive_mae")).orderBy(*by)
+
+
+def rolling_errors(features: DataFrame, origins: Sequence[dt.datetime], days: int,
+                   horizons: Sequence[int] = HORIZONS, **options) -> tuple[DataFrame, dict[int, PipelineModel]]:
+    """Errors by origin and horizon of models fitted anew at each origin, and the newest models.
+
+    Pass stored features: each fit reads them.
+    """
+    rows, parts, fitted = with_naive(features, horizons), [], {}
+    for origin in sorted(origins):
+        fitted = fit_horizons(features, horizons, F.lit(origin).cast("timestamp_ntz"), **options)
+        parts.append(held_out_error(of_origin(rows, origin, days), fitted))
+    return reduce(DataFrame.unionByName, parts), fitted
+
+
+def over_origins(errors: DataFrame) -> DataFrame:
+    """One row per horizon: means over the origins, weighted by their pairs, and the deviation of
+    the MAE between them (null for one origin)."""
+    def mean(c: str) -> Column:
+        return (F.sum(F.col(c) * F.col("pairs")) / F.sum(F.when(F.col(c).isNotNull(), F.col("pairs")))).alias(c)
+    return errors.groupBy("horizon").agg(
+        F.count(F.lit(1)).cast("int").alias("origins"), F.sum("pairs").alias("pairs"), mean("mae"),
+        F.sqrt(F.sum(F.col("rmse") * F.col("rmse") * F.col("pairs")) / F.sum("pairs")).alias("rmse"),
+        mean("mape"), mean("naive_mae"), F.stddev_samp("mae").alias("mae_sd"))

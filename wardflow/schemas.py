@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
-    BooleanType,
+    BinaryType, BooleanType,
     DataType,
     DateType,
     DoubleType,
@@ -72,6 +72,10 @@ PREDICTIONS = _schema(
     sector_id=_S, prediction_ts=_T, model_version=_S,
     predicted_arrivals_h1=_D, predicted_arrivals_h4=_D, predicted_arrivals_h24=_D, dt=_DAY)
 
+#: `model_version` is null for columns of the features.
+SKETCHES = _schema(
+    feature=_S, model_version=_S, row_count=_L, lowest=_D, highest=_D, sketch=BinaryType(), dt=_DAY)
+
 SECTORS = _schema(sector_id=_S, manager=_S, functional_capacity=_I)
 KB_CHUNKS = _schema(source=_S, chunk_no=_I, text=_S)
 KB_VECTORS = _schema(source=_S, chunk_no=_I, text=_S, vector=ArrayType(FloatType()))
@@ -84,7 +88,7 @@ DQ_REPORT = _schema(
     dt=_DAY, status=_S, reason=_S, checks=ArrayType(_S), row_count=_L, null_count=_L, out_of_range=_L)
 MODEL_REGISTRY = _schema(
     version=_S, horizon=_I, path=_S, mae=_D, rmse=_D, mape=_D, naive_mae=_D, trained_on=_L,
-    beats_naive=BooleanType())
+    beats_naive=BooleanType(), origins=_I, mae_sd=_D)
 
 
 class SchemaMismatch(ValueError):

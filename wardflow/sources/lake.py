@@ -28,6 +28,7 @@ TABLES = {
     "load_balances": ("gold/load_balances", ("dt",)),
     "gold_features": ("gold/features", ("dt",)),
     "gold_predictions": ("gold/predictions", ("dt", "run_ts")),
+    "gold_sketches": ("gold/column_sketches", ("dt",)),
     "gold_quality": ("gold/data_quality_runs", ("dt",)),
     "gold_classifications": ("gold/classifications", ("dt", "run_ts")),
     "kb_chunks": ("kb/chunks", ("bucket",)),

@@ -19,7 +19,7 @@ def save_models(spark: SparkSession, root: str, version: str, models: dict[int,
                 errors: DataFrame, trained_on: int) -> None:
     """Writes each model to its own folder, then registers the version.
 
-    `errors` has one row per horizon (see forecast.held_out_error). The registry row comes
+    `errors` has one row per horizon (see forecast.over_origins). The registry row comes
     last, so a version that can be found is complete.
     """
     for h, model in models.items():
@@ -28,7 +28,7 @@ def save_models(spark: SparkSession, root: str, version: str, models: dict[int,
         F.lit(version).alias("version"), F.col("horizon").cast("int").alias("horizon"),
         F.format_string(f"{_base(root)}/models/{version}/h%d", "horizon").alias("path"),
         "mae", "rmse", "mape", "naive_mae", F.lit(trained_on).cast("long").alias("trained_on"),
-        (F.col("mae") <= F.col("naive_mae")).alias("beats_naive"))
+        (F.col("mae") <= F.col("naive_mae")).alias("beats_naive"), "origins", "mae_sd")
     rows.coalesce(1).write.mode("append").parquet(f"{_base(root)}/registry")
 
 
