@@ -30,7 +30,7 @@ from wardflow.session import run_dir
 from wardflow.sources import catalog, given, lake, models
 from wardflow.streaming import files
 from wardflow.streaming.hourly import hourly_metrics_stream
-from wardflow.streaming.ingest import dedup_stream
+from wardflow.streaming.ingest import dedup_stream, ingest_stream
 from wardflow.streaming.knowledge import chunk_stream, upsert_stream
 from wardflow.streaming.score import score_latest_stream, score_stream
 
@@ -640,6 +640,21 @@ def stream_dedup(spark, d):
     return _streamed(spark, once, "stream-dedup")
 
 
+@_query
+def ingest_ledger(spark, d):
+    """Events delivered as files by week, one of them again under another name; streamed to bronze,
+    and once more from the start without the checkpoint."""
+    path, root = run_dir(spark, "deliveries"), run_dir(spark, "ingest")
+    given_events = given.care_events(_events(spark, d)).withColumn("event_timestamp", F.col("event_timestamp").cast("string"))
+    parts = lake.stored(given_events.drop("dt").withColumn("week", F.floor(F.dayofmonth(F.to_date("event_timestamp")) / 7)))
+    for name, week in enumerate((0, 2, 1, 3, 4, 2)):
+        parts.where(F.col("week") == week).drop("week").coalesce(1).write.parquet(f"{path}/delivery={name}")
+    for attempt in range(2):
+        ingest_stream(spark, f"{path}/delivery=*", root, "events", f"{root}/_checkpoint{attempt}", files_per_batch=2)
+    return lake.read_table(spark, root, "bronze_events").groupBy("dt").agg(
+        F.count("*").alias("row_count"), F.countDistinct("event_id").alias("event_ids"))
+
+
 @_query
 def stream_hourly(spark, d):
     """Hours closed by the watermark, as the stream emits them."""

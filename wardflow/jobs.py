@@ -22,7 +22,8 @@ from wardflow.operators.texts import split_rejects
 from wardflow.plans import daily
 from wardflow.schemas import GOLD_FEATURES, SECTORS
 from wardflow.session import build_session
-from wardflow.sources import catalog, lake, models
+from wardflow.sources import catalog, lake, ledger, models
+from wardflow.streaming.ingest import ingest_stream
 from wardflow.streaming.files import read_files
 from wardflow.streaming.knowledge import changed_files, upsert_documents
 from wardflow.streaming.score import score_latest_stream
@@ -30,9 +31,24 @@ from wardflow.streaming.score import score_latest_stream
 
 def _ingest(spark: SparkSession, a: argparse.Namespace) -> None:
     """Files delivered under --input/encounters and --input/events become bronze of the day."""
-    for kind, table in (("encounters", "bronze_encounters"), ("events", "bronze_events")):
+    for kind in ledger.SCHEMAS:
         df = lake.require_rows(spark.read.parquet(f"{a.input}/{kind}"), f"{a.input}/{kind}")
-        lake.append(df.withColumn("dt", F.lit(a.date)), a.root, table)
+        ledger.take(ledger.delivered(df, kind, a.date), a.root, kind)
+
+
+def _stream_ingest(spark: SparkSession, a: argparse.Namespace) -> None:
+    """As ingest-bronze for files not met before, filed under the days of their rows; with --every it goes on.
+    Writes the days with news, one per line, to --output if it is named."""
+    queries, news = [], set()
+    for kind in ledger.SCHEMAS:
+        query, days = ingest_stream(spark, f"{a.input}/{kind}", a.root, kind, f"{a.root}/_checkpoints/ingest-{kind}", a.every)
+        queries.append(query)
+        news |= set(days)
+    if a.every:
+        for query in queries:
+            query.awaitTermination()
+    elif a.output and news:
+        spark.createDataFrame([(d,) for d in sorted(news)], "dt date").coalesce(1).write.mode("overwrite").json(a.output)
 
 
 def _kb_ingest(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -87,6 +103,7 @@ def _stream_score(spark: SparkSession, a: argparse.Namespace) -> None:
 
 STEPS = {
     "ingest-bronze": _ingest,
+    "stream-ingest": _stream_ingest,
     "bronze-to-silver": lambda s, a: daily.bronze_to_silver(s, a.root, a.date),
     "dq-check": lambda s, a: daily.check_silver(s, a.root, a.date, a.max_null_rate),
     "waits": lambda s, a: daily.build_waits(s, a.root, a.date),

@@ -207,6 +207,8 @@ def oracle_sql() -> dict[str, str]:
         FROM enc GROUP BY dt, sector_id""")
     out["append_bronze"] = _with(_STEPS, """
         SELECT dt, event_type, 2 * count(*) AS deliveries, count(*) AS event_ids FROM steps GROUP BY dt, event_type""")
+    out["ingest_ledger"] = _with(_STEPS, """
+        SELECT dt, count(*) AS row_count, count(DISTINCT event_id) AS event_ids FROM steps GROUP BY dt""")
     out["append_predictions"] = _with(_NAIVE, """
         SELECT CAST(day AS VARCHAR) AS dt, run_ts, count(*) AS predictions,
                round(sum(predicted_arrivals_h24), 6) AS sum_h24

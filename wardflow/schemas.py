@@ -41,6 +41,10 @@ BRONZE_ENCOUNTERS = _schema(
 BRONZE_EVENTS = _schema(
     event_id=_S, encounter_id=_S, event_type=_S, event_timestamp=_S, dt=_DAY)
 
+# One row per delivered file and run: what it held, and whether it was new.
+INGEST_LEDGER = _schema(
+    source_table=_S, file=_S, content=_S, row_count=_L, late_rows=_L, last_day=_DAY, status=_S)
+
 SILVER_ENCOUNTERS = _schema(
     encounter_id=_S, arrival_time=_T, patient_id=_S, triage_level=_I, dt=_DAY, sector_id=_S)
 SILVER_EVENTS = _schema(

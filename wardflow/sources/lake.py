@@ -18,6 +18,9 @@ from wardflow.session import run_dir
 TABLES = {
     "bronze_encounters": ("bronze/encounters_raw", ("dt",)),
     "bronze_events": ("bronze/events_raw", ("dt",)),
+    "landed_encounters": ("landing/encounters", ("dt", "run_ts")),
+    "landed_events": ("landing/events", ("dt", "run_ts")),
+    "ingest_ledger": ("landing/ledger", ("run_ts",)),
     "silver_encounters": ("silver/encounters", ("dt",)),
     "silver_events": ("silver/events", ("dt",)),
     "silver_rejects": ("silver/rejects", ("dt",)),
