@@ -8,7 +8,7 @@ from helpers import bronze, events, rows, t
 
 from wardflow import jobs
 from wardflow.operators.classify import fit_text_models
-from wardflow.sources import lake
+from wardflow.sources import lake, ledger
 
 DAY = dt.date(2024, 1, 1)
 
@@ -34,6 +34,43 @@ def test_a_day_from_the_command_line(spark, root, tmp_path):
         run(root, "silver-to-gold", "--date", "2024-01-02")
 
 
+def test_tables_need_a_catalog_that_lasts(root):
+    with pytest.raises(RuntimeError, match="persistent"):
+        run(root, "tables")
+
+
+def test_streamed_files_are_taken_once_and_filed_by_their_own_day(spark, root, tmp_path):
+    src, out = str(tmp_path / "delivered"), str(tmp_path / "news")
+    made = [(f"e{h}", f"2024-01-0{1 + h % 2} {h:02d}:10:00", "ER", "3", DAY) for h in range(24)]
+    bronze(spark, made).drop("dt").write.parquet(f"{src}/encounters")
+    told = events(spark, [(f"e{h}", "care_start", t(f"{h:02d}:40")) for h in range(24)]).drop("dt")
+    told.withColumn("event_timestamp", told["event_timestamp"].cast("string")).write.parquet(f"{src}/events")
+    for _ in range(2):
+        run(root, "stream-ingest", "--input", src, "--output", out)
+    assert rows(lake.read_table(spark, root, "bronze_encounters").groupBy("dt").count(), "dt", "count") == [
+        (DAY, 12), (DAY + dt.timedelta(days=1), 12)]
+    assert lake.read_table(spark, root, "bronze_events").count() == 24
+    assert rows(spark.read.schema("dt date").json(out)) == [(DAY,), (DAY + dt.timedelta(days=1),)]
+    run(root, "bronze-to-silver", "--date", str(DAY))
+    assert lake.read_table(spark, root, "silver_encounters").count() == 12
+
+
+def test_drift_from_the_command_line(spark, root, tmp_path):
+    src, out = str(tmp_path / "delivered"), str(tmp_path / "drift")
+    for day in (1, 2):
+        # One arrival an hour on the first day, three on the second.
+        made = [(f"{day}-{h}-{i}", f"2024-01-0{day} {h:02d}:1{i}:00", "ER", "3", DAY) for h in range(24) for i in range(2 * day - 1)]
+        bronze(spark, made).drop("dt").write.parquet(f"{src}/day{day}")
+    for day in (1, 2):
+        ledger.take(ledger.delivered(spark.read.parquet(f"{src}/day{day}"), "encounters"), root, "encounters")
+        for step in ("bronze-to-silver", "silver-to-gold", "features"):
+            run(root, step, "--date", f"2024-01-0{day}")
+    run(root, "drift", "--date", "2024-01-02", "--days", "1", "--output", out)
+    found = {r.feature: r for r in spark.read.json(out).collect()}
+    assert (found["arrivals_count"].baseline_rows, found["arrivals_count"].current_rows) == (24, 24)
+    assert found["arrivals_count"].psi > 10 and set(found) == {"arrivals_count", "rolling_avg_arrivals_4h", "lag_arrivals_24h"}
+
+
 def test_questions_to_the_knowledge_base(spark, root, tmp_path):
     docs = tmp_path / "docs"
     docs.mkdir()

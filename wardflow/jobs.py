@@ -101,6 +101,14 @@ def _stream_score(spark: SparkSession, a: argparse.Namespace) -> None:
         query.awaitTermination()
 
 
+def _tables(spark: SparkSession, a: argparse.Namespace) -> None:
+    """External tables and views, in a catalog that outlives this process."""
+    if spark.conf.get("spark.sql.catalogImplementation") == "in-memory":
+        raise RuntimeError("the catalog of this session ends with it; set a persistent one")
+    catalog.create_tables(spark, a.root, a.database)
+    catalog.create_views(spark, a.database)
+
+
 STEPS = {
     "ingest-bronze": _ingest,
     "stream-ingest": _stream_ingest,
@@ -117,8 +125,7 @@ STEPS = {
     "drift": lambda s, a: (daily.drift(s, a.root, a.date - dt.timedelta(days=a.days - 1), a.date)
                            .coalesce(1).write.mode("overwrite").json(a.output)),
     "stream-score": _stream_score,
-    "tables": lambda s, a: (catalog.create_tables(s, a.root, a.database),
-                            catalog.create_views(s, a.database)),
+    "tables": _tables,
     "kb-ingest": _kb_ingest,
     "kb-query": _kb_query,
     "classify": _classify,

@@ -34,13 +34,15 @@ def fit_text_models(texts: DataFrame, labels: Sequence[str], path: str, *, dims:
         IDF(inputCol="counts", outputCol="weights", minDocFreq=2),
     ]).fit(known)
     weighed = weigh.transform(known).select("weights", *labels).persist()
-    PipelineModel([weigh, *[
-        LogisticRegression(
-            featuresCol="weights", labelCol=label, predictionCol=f"is_{label}",
-            probabilityCol=f"p_{label}", rawPredictionCol=f"raw_{label}",
-            maxIter=max_iter, regParam=0.01).fit(weighed) for label in labels],
-    ]).write().overwrite().save(path)
-    weighed.unpersist()
+    try:
+        PipelineModel([weigh, *[
+            LogisticRegression(
+                featuresCol="weights", labelCol=label, predictionCol=f"is_{label}",
+                probabilityCol=f"p_{label}", rawPredictionCol=f"raw_{label}",
+                maxIter=max_iter, regParam=0.01).fit(weighed) for label in labels],
+        ]).write().overwrite().save(path)
+    finally:
+        weighed.unpersist()
     return PipelineModel.load(path)
 
 
