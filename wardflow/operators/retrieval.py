@@ -27,7 +27,7 @@ from wardflow.sources.lake import stored
 
 PLACES = 9  # similarities equal to this many places are ties, settled by id
 SLACK = 1e-8  # by which a bound may be off, from rounding and floating point
-SCORES = 4_000_000  # numbers held at once by one matrix product
+SCORES = 1_000_000  # numbers held at once by one matrix product
 SLICE = 4_000_000  # numbers in the vectors of one slice of queries: 32 MB
 ROUNDS = 4  # of moving the centroids
 
@@ -107,9 +107,7 @@ def _top_k_of(batches: Iterator[pd.DataFrame], query_ids: np.ndarray, units: np.
     best, met, scored = _Best(len(units), k, floor), 0, 0
     to_centre = _distances(units, centres)
     home = to_centre.argmin(1)
-    for pdf in batches:
-        if not len(pdf):
-            continue
+    for pdf in (b.iloc[at:at + rows_at_once] for b in batches for at in range(0, len(b), rows_at_once)):
         met += len(pdf) * len(units)
         every, ids = _unit_rows(pdf[vector]), pdf[corpus_id].to_numpy()
         away = _distances(every, centres)
@@ -142,7 +140,7 @@ def _top_k_of(batches: Iterator[pd.DataFrame], query_ids: np.ndarray, units: np.
 
 def top_k_with_report(corpus: DataFrame, queries: DataFrame, k: int = 3, *, corpus_id: str, query_id: str,
                       vector: str = "vector", max_broadcast_queries: int | None = None,
-                      corpus_block_rows: int = 50_000, above: float | None = None) -> tuple[DataFrame, DataFrame]:
+                      corpus_block_rows: int = 2_500, above: float | None = None) -> tuple[DataFrame, DataFrame]:
     """The hits of `top_k_similar`, and one row `pairs, scored`: the pairs of a query and a
     corpus row, and how many of them had to be compared."""
     # Rows without a vector are no neighbours; queries without one have none.
