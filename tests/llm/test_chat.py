@@ -31,7 +31,29 @@ def test_equals_all_prefixes(spark):
     rows += [(90, t, "user", f"turn {t}") for t in range(-20, 300)]
     rows += [(91, t, "user", f"turn {t - 20}") for t in range(250)]
     df = spark.createDataFrame([(*r, "z") for r in rows], "conv_id long, turn long, role string, text string, h1 string")
-    for block in (256, 7):
+    for block in (100_000, 7):
         got = {tuple(r) for r in chat.render(df, block).collect()}
         assert got == brute(rows)
     assert chat.render(df.where("false")).collect() == []
+
+
+def test_one_turn_number_is_split(spark):
+    """Rows without conversation and turn are numbered in many blocks, none much over the bound."""
+    df = spark.range(20_000).selectExpr(
+        "CAST(NULL AS long) AS conv_id", "IF(id % 2 = 0, NULL, 7) AS turn", "'user' AS role", "CAST(id AS string) AS text")
+    rows = chat.with_prefixes(df, 1_000)
+    got = rows.orderBy("position").select("position", "text", "n_turns").collect()
+    texts = sorted(str(i) for i in range(0, 20_000, 2)) + sorted(str(i) for i in range(1, 20_000, 2))
+    assert [tuple(r) for r in got] == [(i + 1, t, 20_000) for i, t in enumerate(texts)]
+    assert chat.render(df, 1_000).count() == 20_000
+
+
+def test_blocks_are_bounded(spark, monkeypatch):
+    seen = []
+    kept = chat.stored
+    monkeypatch.setattr(chat, "stored", lambda df: seen.append(kept(df)) or seen[-1])
+    df = spark.range(20_000).selectExpr(
+        "CAST(NULL AS long) AS conv_id", "CAST(NULL AS long) AS turn", "'user' AS role", "CAST(id AS string) AS text")
+    chat.with_prefixes(df, 1_000).count()
+    blocks = seen[0].groupBy("conv_id", "_b").count().toPandas()["count"]
+    assert len(blocks) >= 15 and blocks.max() <= 2_000

@@ -3,7 +3,9 @@
 Each turn gets a hash of the conversation up to it. A conversation whose last hash is an inner
 hash of a longer one is a snapshot of that one and goes; of equal conversations one stays.
 The hash of a prefix combines the hashes of (position, role, text) by exclusive or, so it can be
-summed in blocks of turns: one conversation may hold any share of all rows.
+summed in blocks of turns. Blocks are the pieces of a conversation in ranges of the whole table in
+its order, which are of about equal size: one conversation may hold any share of all rows, also all
+of them under one turn number or none.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 
 from wardflow.llm.common import stored
 
-BLOCK = 256  # turn numbers that one window partition holds
+BLOCK = 100_000  # rows of a range; no window partition has more but for the sampling of the ranges
 
 KEYS = ["conv_id", "_b"]
 
@@ -30,16 +32,19 @@ def with_prefixes(conversations: DataFrame, block: int = BLOCK) -> DataFrame:
     turns = (
         conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
                              F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-        .distinct()
-        .withColumn("_b", F.floor(F.col("turn") / block)))
-    sizes = turns.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_n"))
+        .distinct())
+    ranges = max(int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-conversations.count() // block))
+    order = [F.asc_nulls_first("conv_id"), F.asc_nulls_first("turn"), "role", "text"]
+    placed = stored(
+        turns.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+        .select("conv_id", "role", "text", F.spark_partition_id().alias("_b"), F.monotonically_increasing_id().alias("_i")))
+    sizes = placed.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_n"), F.min("_i").alias("_first"))
     by_conv = W.partitionBy("conv_id")
-    so_far = by_conv.orderBy(F.asc_nulls_first("_b")).rowsBetween(W.unboundedPreceding, -1)
-    offsets = sizes.select(*KEYS, F.coalesce(F.sum("_n").over(so_far), F.lit(0)).alias("_off"),
+    so_far = by_conv.orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
+    offsets = sizes.select(*KEYS, (F.coalesce(F.sum("_n").over(so_far), F.lit(0)) - F.col("_first") + 1).alias("_off"),
                            F.sum("_n").over(by_conv).alias("n_turns"))
-    within = W.partitionBy(*KEYS).orderBy(F.asc_nulls_first("turn"), "role", "text")
     numbered = stored(
-        _with_block(turns.withColumn("_i", F.row_number().over(within)), offsets)
+        _with_block(placed, offsets)
         .withColumn("position", (F.col("_off") + F.col("_i")).cast("long"))
         .select(*KEYS, "position", "role", "text", "n_turns",
                 F.xxhash64(F.lit(1), "position", "role", "text").alias("_e1"),
