@@ -1,11 +1,12 @@
 """Secret scans with corpus-wide ownership.
 
-Fixed patterns find spans in whole texts. Long mixed strings that no pattern explains are
-candidates too. Hashes of all found values are counted by distinct texts, repositories and owners
-over the whole corpus: a value of a fixed pattern is an example only if many owners have it in many
-different texts, and looks live otherwise; copies of one text are no spread. A candidate looks live
-while at most MAX_OWNERS owners have it. Candidates that look live become spans of kind `owned`;
-spans of the fixed patterns stay whatever their count, with their verdict beside them.
+Fixed patterns find spans in whole texts. Long mixed strings that no pattern explains and that
+change between small letters, capitals, digits and signs as often as random ones do are candidates
+too. Hashes of all found values are counted by distinct texts, repositories and owners over the
+whole corpus. One rule holds for all: a value is an example only if many owners have it in many
+different texts, and looks live otherwise; copies of one text are no spread. Candidates that look
+live become spans of kind `owned`; spans of the fixed patterns stay whatever their count, with
+their verdict beside them.
 
 Values leave the scan as hashes only.
 """
@@ -31,10 +32,11 @@ MIXED = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 LEAST_ASSIGNED, LEAST_ACCESS, LEAST_MIXED = 6, 20, 20
 KINDS = ("assign", "access", "hex", "owned")
 
-#: A value of a fixed pattern is an example from so many owners, repositories and texts.
+#: A value is an example from so many owners, repositories and texts.
 EXAMPLE_OWNERS, EXAMPLE_REPOSITORIES, EXAMPLE_TEXTS = 10, 20, 10
-#: At most so many owners hold a candidate that looks live, in any number of texts.
-MAX_OWNERS = 2
+#: Least share of neighbouring characters that differ in kind. Random letters and digits have 0.62,
+#: names written as joined words about 0.35; of 20 random characters 2 % fall below.
+LEAST_CHANGES = 0.4
 
 FOUND = ("doc_id long, _th long, owner string, repository string, _n long, n_assign long, n_access long, n_hex long, "
          "base_sha256 string, base array<struct<kind:int,start:int,end:int,hash:long>>, "
@@ -59,14 +61,25 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
     return sorted(found, key=lambda x: (x[1], x[0]))
 
 
+def _kind(c: str) -> int:
+    return 0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3
+
+
+def changes(value: str) -> float:
+    """The share of neighbouring characters of which one is a small letter, capital, digit or
+    sign and the other is not."""
+    kinds = [_kind(c) for c in value]
+    return sum(a != b for a, b in zip(kinds, kinds[1:])) / max(1, len(kinds) - 1)
+
+
 def mixed_spans(text: str, taken: list[tuple[int, int, int, str]]) -> list[tuple[int, int, int, str]]:
-    """Long strings with digits and letters of both cases that overlap no fixed span."""
+    """Long random-looking strings with digits and letters of both cases that overlap no fixed span."""
     if max(map(len, text.split()), default=0) < LEAST_MIXED:
         return []
     found = []
     for m in MIXED.finditer(text):
         v, (s, e) = m[0], m.span()
-        if (any(c.isdigit() for c in v) and v.lower() != v and v.upper() != v
+        if (any(c.isdigit() for c in v) and v.lower() != v and v.upper() != v and changes(v) >= LEAST_CHANGES
                 and not any(a < e and s < b for _, a, b, _ in taken)):
             found.append((3, s, e, v))
     return found
@@ -125,7 +138,8 @@ def find_secrets(docs: DataFrame, owner: Column | None = None, repository: Colum
 
     `owner` defaults to the column source; `repository`, a unit within an owner, to each
     text by itself, so that documents of one text count once. A null text counts as empty; a null
-    doc_id stays null; equal rows give equal rows. An empty table gives no rows. Other columns are not read. `found` is an array of
+    doc_id stays null; equal rows give equal rows. An empty table gives no rows; long texts are read whole. Other
+    columns are not read. `found` is an array of
     (start, kind, end, live), positions in code points, end exclusive; `_th` is a hash of the text.
     """
     owner = F.col("source") if owner is None else owner
@@ -135,8 +149,7 @@ def find_secrets(docs: DataFrame, owner: Column | None = None, repository: Colum
     spans = found.select("_n", F.explode(F.concat("base", "more")).alias("s")).select("_n", "s.*")
     example = ((F.col("n_owners") >= EXAMPLE_OWNERS) & (F.col("n_repositories") >= EXAMPLE_REPOSITORIES)
                & (F.col("n_texts") >= EXAMPLE_TEXTS))
-    judged = spans.join(counts, "hash").withColumn(
-        "live", F.when(F.col("kind") < 3, ~example).otherwise(F.col("n_owners") <= MAX_OWNERS))
+    judged = spans.join(counts, "hash").withColumn("live", ~example)
     # Spans of one document are at most one for each 7 characters of its text.
     per_doc = (judged.where((F.col("kind") < 3) | F.col("live")).groupBy("_n").agg(
         F.sort_array(F.collect_list(F.struct("start", "kind", "end", "live"))).alias("found")))
