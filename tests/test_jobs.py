@@ -94,14 +94,18 @@ def test_texts_are_classified_and_stored(spark, root, tmp_path):
     fit_text_models(known, ["kind", "severe"], str(tmp_path / "model"))
     told = tmp_path / "told.json"
     told.write_text("\n".join(json.dumps(x) for x in (
-        {"id": "a", "text": "alarm monitor broken"}, {"id": "b", "text": "results late"}, {"id": "c", "text": ""})),
+        {"id": "a", "text": "alarm monitor broken in ER"}, {"id": "b", "text": "results late"}, {"id": "c", "text": ""})),
         encoding="utf-8")
+    sectors = tmp_path / "sectors.csv"
+    sectors.write_text("sector_id,manager,functional_capacity\nER,Ana,10\nICU,Rui,5\n")
     out = str(tmp_path / "rejected")
     run(root, "classify", "--date", str(DAY), "--input", str(told), "--output", out, "--model",
-        str(tmp_path / "model"), "--labels", "kind", "severe", "--kinds", "Delay", "Equipment Failure")
+        str(tmp_path / "model"), "--labels", "kind", "severe", "--kinds", "Delay", "Equipment Failure", "--sectors", str(sectors))
     stored = lake.read_table(spark, root, "gold_classifications")
     assert rows(stored, "id", "category", "severity", "dt") == [
         ("a", "Equipment Failure", "Critical", DAY), ("b", "Delay", "Low", DAY)]
+    why = {r.id: (set((r.root_cause or "").split(", ")), r.impacted_sector) for r in stored.collect()}
+    assert why == {"a": ({"alarm", "broken", "monitor"}, "ER"), "b": ({""}, None)}
     assert rows(spark.read.parquet(out)) == [("c", "No text provided")]
 
 

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from wardflow.functions.numbers import coerce_number, round_numbers
 from wardflow.functions.vectors import cosine
-from wardflow.operators.classify import classify, classify_with, fit_text_models, validate
+from wardflow.operators.classify import (
+    causes_of, classify, classify_with, contributions, fit_text_models, sector_named, validate)
 from wardflow.operators.encode import embed, hashing_encoder
 from wardflow.operators.retrieval import centroids, similarity_to_group, top_k_similar, top_k_with_report, with_context
 from wardflow.operators.texts import kb_chunks, split_rejects
@@ -175,6 +176,41 @@ def test_classification_learns_and_validates(spark, tmp_path):
     assert validate(flat).where("problem IS NOT NULL").count() == 0
 
 
+def test_causes_equal_the_coefficients(spark, tmp_path):
+    """Contributions against the stored coefficients, hashed and weighted by hand."""
+    texts = [("monitor broken alarm alarm failed", 1, 1), ("delay in lab results", 0, 0), ("Alarm in lab", 1, 0)] * 10
+    df = spark.createDataFrame([(i, *x) for i, x in enumerate(texts)], "id int, text string, kind int, severe int")
+    model = fit_text_models(df, ["kind", "severe"], str(tmp_path / "model"))
+    asked = spark.createDataFrame([(1, "Alarm alarm unseen lab"), (2, ""), (3, None), (4, "delay delay"), (5, "monitor")],
+                                  "id int, text string")
+    got = {(r.id, r.word): r.contribution for r in contributions(asked, model, "severe", "id").collect()}
+    (_, hashing, idf), linear = model.stages[0].stages, model.stages[2]
+    assert linear.getPredictionCol() == "is_severe"
+    want = {}
+    for i, text in ((1, "alarm alarm unseen lab"), (4, "delay delay"), (5, "monitor")):
+        for w in set(text.split()):
+            slot = hashing.indexOf(w)
+            want[i, w] = text.split().count(w) * idf.idf[slot] * linear.coefficients[slot]
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    raw = {r.id: r.raw_severe[1] for r in model.transform(asked.where("id IN (1, 2)")).collect()}
+    assert abs(raw[1] - linear.intercept - sum(v for (i, _), v in got.items() if i == 1)) < 1e-9
+    causes = {r.id: r.root_cause for r in causes_of(contributions(asked, model, "severe", "id"), "id", 2).collect()}
+    positive = {i: sorted((-v, w) for (j, w), v in want.items() if j == i and v > 0) for i in (1, 4, 5)}
+    assert causes == {i: ", ".join(w for _, w in p[:2]) for i, p in positive.items() if p}
+    assert "alarm" in causes[1] and causes[5] == "monitor" and 4 not in causes
+    out = classify(asked.where("text IS NOT NULL").withColumn("sector", F.lit(None).cast("string")), model, "kind", "severe",
+                   ("Delay", "Equipment Failure"), F.col("sector"), sectors=("Lab", "ER"), causes=2)
+    flat = {r.id: (r.root_cause, r.impacted_sector) for r in out.select("id", "classification.*").collect()}
+    assert flat == {1: (causes[1], "Lab"), 2: (None, None), 4: (None, None), 5: ("monitor", None)}
+
+
+def test_first_sector_named(spark):
+    df = spark.createDataFrame([("Late in the er, then ICU-2 free",), ("icu 2 and ER",), ("other paper",), ("",), (None,), ("x.ER",)],
+                               "text string")
+    assert [r[0] for r in df.coalesce(1).select(sector_named(F.col("text"), ["ER", "ICU 2"])).collect()] == [
+        "ER", "ICU 2", None, None, None, "ER"]
+
+
 def test_validation_rules(spark):
     df = spark.createDataFrame([
         ("Delay", "Low", None, None, "x", 0.5), (None, "Low", None, None, "x", 0.5), ("Delay", "Mild", None, None, "x", 0.5),

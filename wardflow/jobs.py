@@ -72,7 +72,8 @@ def _classify(spark: SparkSession, a: argparse.Namespace) -> None:
     records join their table, the rest goes to `--output`."""
     texts, rejected = split_rejects(spark.read.schema("id string, text string").json(a.input))
     kind, severity = a.labels
-    out = classify(texts, PipelineModel.load(a.model), kind, severity, tuple(a.kinds))
+    named = [r.sector_id for r in _sectors(spark, a).select("sector_id").na.drop().distinct().collect()] if a.sectors else []
+    out = classify(texts, PipelineModel.load(a.model), kind, severity, tuple(a.kinds), sectors=sorted(named))
     checked = validate(out.select("id", "classification.*"))
     good = checked.where(F.col("problem").isNull()).drop("problem").withColumn("dt", F.lit(a.date))
     # A run is its day and its input: classified again, they replace what they left.
@@ -142,7 +143,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--input")
     p.add_argument("--output")
     p.add_argument("--every", help="keep a stream running, e.g. '15 minutes'")
-    p.add_argument("--sectors", help="CSV with sector_id, manager, functional_capacity; for the load")
+    p.add_argument("--sectors", help="CSV with sector_id, manager, functional_capacity; for the load, and names that classify looks for")
     p.add_argument("--database", default="default")
     p.add_argument("--days", type=int, default=7, help="held-out days of training, current days of drift")
     p.add_argument("--origins", type=int, default=1, help="cut-offs at which training is measured")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from wardflow.schemas import CLASSIFICATION
+from wardflow.sources.lake import stored
 
 SEVERITIES = ("Low", "Medium", "High", "Critical")
 
@@ -56,24 +57,62 @@ def severity_of(p: Column) -> Column:
             .when(p < 0.75, SEVERITIES[2]).otherwise(SEVERITIES[3]))
 
 
+def contributions(texts: DataFrame, model: PipelineModel, label: str, by: str) -> DataFrame:
+    """`by, word, contribution`: what each word of a text adds to the log-odds of `label`.
+
+    The linear model is asked about each word as a text of its own: less the intercept, that is
+    the word's weight, and its occurrences in the text multiply it. The contributions of a text
+    and the intercept add up to the text's log-odds.
+    """
+    words = (texts.select(by, F.explode(F.split(F.lower("text"), "\\s+")).alias("word")).where(F.col("word") != "")
+             .groupBy(by, "word").agg(F.count(F.lit(1)).alias("_times")))
+    intercept = next(s.intercept for s in model.stages if s.hasParam("predictionCol") and s.getPredictionCol() == f"is_{label}")
+    asked = model.transform(words.select(by, "_times", F.col("word").alias("text")))
+    alone = vector_to_array(F.col(f"raw_{label}"))[1] - F.lit(float(intercept))
+    return asked.select(by, F.col("text").alias("word"), (alone * F.col("_times")).alias("contribution"))
+
+
+def causes_of(found: DataFrame, by: str, top: int) -> DataFrame:
+    """`by, root_cause`: the words that add most, ties by word; texts that no word speaks for have no row."""
+    most = F.sort_array(F.collect_list(F.struct((-F.col("contribution")).alias("c"), "word")))
+    return found.where(F.col("contribution") > 0).groupBy(by).agg(
+        F.array_join(F.slice(F.transform(most, lambda x: x["word"]), 1, top), ", ").alias("root_cause"))
+
+
+def sector_named(text: Column, sectors: Sequence[str]) -> Column:
+    """The sector whose name stands first in a text as whole words, in either case; null if none."""
+    padded = F.concat(F.lit(" "), F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "), F.lit(" "))
+    plain = [F.regexp_replace(F.lower(F.lit(s)), r"[^\p{L}\p{N}]+", " ") for s in sectors]
+    places = F.array(*[F.struct(F.position(F.concat(F.lit(" "), p, F.lit(" ")), padded).alias("at"), F.lit(s).alias("name")) for s, p in zip(sectors, plain)])
+    return F.array_min(F.filter(places, lambda x: x["at"] > 0))["name"]
+
+
 def classify(texts: DataFrame, model: PipelineModel, kind_label: str, severity_label: str,
-             kinds: tuple[str, str], sector: Column | None = None) -> DataFrame:
+             kinds: tuple[str, str], sector: Column | None = None, *, sectors: Sequence[str] = (),
+             causes: int = 3) -> DataFrame:
     """`texts` with a `classification` struct from the models of two labels.
 
-    The models give category, severity and confidence. A linear model knows no cause, so
-    `root_cause` stays null; the action follows from the severity.
+    The models give category, severity and confidence; the action follows from the severity.
+    `root_cause` names up to `causes` words that speak most for the severity label, null where none
+    does. `impacted_sector` is `sector` if given and not null, else the first of `sectors` that the
+    text names. Texts are stored once, so that both parts see the same rows.
     """
-    scored = model.transform(texts)
+    rows = stored(texts.withColumn("_row", F.monotonically_increasing_id()))
+    scored = model.transform(rows)
+    why = causes_of(contributions(rows, model, severity_label, "_row"), "_row", causes).withColumnRenamed("_row", "_why")
     p_kind, severity = _chance(kind_label), severity_of(_chance(severity_label))
+    given = (sector if sector is not None else F.lit(None)).cast("string")
     record = F.struct(
         F.when(p_kind >= 0.5, kinds[1]).otherwise(kinds[0]).alias("category"),
         severity.alias("severity"),
-        F.lit(None).cast("string").alias("root_cause"),
-        (sector if sector is not None else F.lit(None)).cast("string").alias("impacted_sector"),
+        F.col("_cause").alias("root_cause"),
+        (F.coalesce(given, sector_named(F.col("text"), sectors)) if sectors else given).alias("impacted_sector"),
         F.when(severity.isin("High", "Critical"), "escalate to the duty manager")
         .otherwise("record and review").alias("suggested_action"),
         F.greatest(p_kind, 1 - p_kind).alias("confidence"))
-    return scored.select(*texts.columns, record.alias("classification"))
+    why = why.withColumnRenamed("root_cause", "_cause")
+    return (scored.join(why, scored["_row"] == why["_why"], "left")
+            .select(*[F.col(f"`{c}`") for c in texts.columns], record.alias("classification")))
 
 
 def classify_with(texts: DataFrame, make_client: Callable[[], Callable[[pd.Series], pd.DataFrame]],
