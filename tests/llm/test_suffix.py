@@ -45,6 +45,60 @@ def test_equals_all_windows(spark, wide):
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
 
 
+@pytest.mark.parametrize("batches", [1, 7])
+def test_any_number_of_batches(spark, batches):
+    texts = corpus()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    got = sorted(tuple(r) for r in suffix.digests(*suffix.remove_repeats(docs, batches=batches)).collect())
+    assert got == [(i, *w) for i, w in enumerate(brute(texts))]
+
+
+def test_matches_come_from_the_scan(spark, monkeypatch):
+    """A family whose new batches are scanned without the levels finds repeats within batches only."""
+    scanned = suffix.Family._scanned
+
+    def alone(self, new):
+        held, self.tables = self.tables, {}
+        try:
+            return scanned(self, new)
+        finally:
+            self.tables = held
+
+    rng = random.Random(8)
+    passage = "".join(rng.choice("abcdef gh") for _ in range(300))
+    texts = [f"{i} " + "".join(rng.choice("xyzuvw ") for _ in range(150)) + passage for i in range(6)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    removed = lambda: [r.n_removed for r in suffix.digests(*suffix.remove_repeats(docs, batches=8)).orderBy("doc_id").collect()]
+    whole = removed()
+    assert whole == [w[1] for w in brute(texts)] and all(whole)
+    monkeypatch.setattr(suffix.Family, "_scanned", alone)
+    assert sum(removed()) < sum(whole) and 0 in removed()
+
+
+def test_matches_are_those_of_all_entries(spark):
+    """Recorded matches against counts over all batches; levels keep to different ranks."""
+    rng = random.Random(4)
+    parts = [[(rng.randrange(40), rng.randrange(3), rng.randint(1, 2) if rng.random() < 0.2 else 1) for _ in range(12)]
+             for _ in range(7)]
+    family = suffix.Family(spark, 3)
+    for i, part in enumerate(parts, 1):
+        family.add(spark.createDataFrame(part, "key long, region long, n long"))
+        assert len(family.tables) == bin(i).count("1")
+        for t in family.tables.values():  # merged, not strung together
+            assert spark.table(t).count() == spark.table(t).select("key", "region").distinct().count()
+    for plan in (family._scanned(family.tables[0]), family.repeated()):
+        assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
+    family.drop_levels()
+    got = {tuple(r) for r in family.repeated().collect()}
+    family.drop_matches()
+    total = {}
+    for key, region, n in (x for part in parts for x in part):
+        total.setdefault(key, {}).setdefault(region, 0)
+        total[key][region] += n
+    assert got == {(key, r, n, len(of), len(of) > 1 and min(of.values()) == 1)
+                   for key, of in total.items() if sum(of.values()) > 1 for r, n in of.items()}
+
+
 def test_pieces(spark, monkeypatch):
     """Long texts are looked at piece by piece."""
     raw = corpus()[7].encode() * 2

@@ -5,11 +5,13 @@ GRAM bytes have the least hash; equal windows pick the same place. A place and t
 pick it make one entry: `key`, the hash of the suffix's first bytes, and `region`, the hash of all
 bytes of its windows. So a repeat of MATCH bytes meets its equal at an entry of the same key.
 
-Batches of documents get an index of their entries, sorted by key and region in hash buckets.
-Indexes of equal rank are merged by a merge scan, bucket by bucket without a shuffle, into one of
-the next rank, so a family has few indexes and an entry is rewritten a logarithmic number of
-times. Where a key occurs twice or more, entries of equal region repeat as a whole; of the others
-the bytes are fetched and their windows compared one by one.
+Batches of documents get an index of their entries, sorted by key and region in hash buckets. A
+new index is scanned together with the levels that are there, bucket by bucket without a shuffle,
+and the keys that it has in common with them, or twice itself, are recorded as matches; levels are
+read for nothing else. Then indexes of equal rank are merged into one of the next rank, so a family
+has few indexes and an entry is rewritten a logarithmic number of times. Of a key that matched,
+entries of equal region repeat as a whole; of the others the bytes are fetched and their windows
+compared one by one.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wardflow.llm.common import bounded_batches, once, stored
@@ -163,11 +166,14 @@ def _combined(rows: DataFrame) -> DataFrame:
 
 
 class Family:
-    """Sorted indexes by rank, at most one of each: tables `key, region, n` in hash buckets."""
+    """Sorted indexes by rank, at most one of each, and the matches found when each batch was
+    added: tables `key, region, n, batch` in hash buckets, `batch` the last one with the entry."""
 
     def __init__(self, spark: SparkSession, buckets: int):
         self.spark, self.buckets = spark, buckets
+        self.added = 0
         self.tables: dict[int, str] = {}
+        self.matches: list[str] = []
 
     def _written(self, entries: DataFrame) -> str:
         name = f"suffixes_{uuid.uuid4().hex}"
@@ -175,8 +181,11 @@ class Family:
         return name
 
     def add(self, entries: DataFrame) -> None:
-        """Adds a batch of `key, region, n`; equal ranks merge until each is there once."""
-        now = self._written(entries.repartition(self.buckets, "key").groupBy("key", "region").agg(F.sum("n").alias("n")))
+        """Adds a batch of `key, region, n`: records its matches, then equal ranks merge until each is there once."""
+        self.added += 1
+        now = self._written(entries.repartition(self.buckets, "key").groupBy("key", "region").agg(
+            F.sum("n").alias("n"), F.lit(self.added).alias("batch")))
+        self.matches.append(self._written(self._scanned(now)))
         rank = 0
         while rank in self.tables:
             other = self.tables.pop(rank)
@@ -186,22 +195,41 @@ class Family:
             now, rank = merged, rank + 1
         self.tables[rank] = now
 
+    def _united(self, names: list[str]) -> DataFrame:
+        """Tables of the same buckets, united bucket by bucket without a shuffle. The filter holds
+        for all rows: a union of bare Parquet scans works on column batches and would string the
+        buckets together instead, although the plan counts on them."""
+        return reduce(DataFrame.union, [self.spark.table(t).where(F.col("n") > 0) for t in names])
+
     def _together(self, names: list[str]) -> DataFrame:
-        """The entries of some indexes, scanned together bucket by bucket: tables of the same
-        buckets are united and summed where they are, without a shuffle."""
-        return reduce(DataFrame.union, map(self.spark.table, names)).groupBy("key", "region").agg(F.sum("n").alias("n"))
+        """The entries of some indexes, scanned together and summed."""
+        return self._united(names).groupBy("key", "region").agg(
+            F.sum("n").alias("n"), F.max("batch").alias("batch"))
+
+    def _scanned(self, new: str) -> DataFrame:
+        """A new index scanned together with all levels: the keys that it has and that occur more
+        than once so far, each with all its regions and their numbers so far."""
+        of_key = W.partitionBy("key")
+        return (self._together([new, *self.tables.values()])
+                .select("*", F.sum("n").over(of_key).alias("_total"), F.max("batch").over(of_key).alias("_last"))
+                .where((F.col("_total") > 1) & (F.col("_last") == self.added)).drop("_total", "_last"))
 
     def repeated(self) -> DataFrame:
-        """Entries whose key occurs more than once in the whole family: `key, region, n` with
-        `open`: whether some region of the key occurs once only, and `k`, the key's regions."""
-        entries = self._together(list(self.tables.values()))
-        keys = entries.groupBy("key").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("k"), F.min("n").alias("least"))
-        return (entries.join(keys.where(F.col("total") > 1), "key")
-                .select("key", "region", "n", "k", ((F.col("k") > 1) & (F.col("least") == 1)).alias("open")))
+        """The matches of all batches: `key, region, n`, with `open`: whether some region of the key
+        occurs once only, and `k`, the key's regions. The batch that had a key last recorded all its
+        regions with their final numbers, the largest."""
+        of_key = W.partitionBy("key")
+        return (self._united(self.matches).groupBy("key", "region").agg(F.max("n").alias("n"))
+                .select("key", "region", "n", F.count(F.lit(1)).over(of_key).alias("k"), F.min("n").over(of_key).alias("_least"))
+                .select("key", "region", "n", "k", ((F.col("k") > 1) & (F.col("_least") == 1)).alias("open")))
+
+    def drop_levels(self) -> None:
+        while self.tables:
+            self.spark.sql(f"DROP TABLE {self.tables.popitem()[1]}")
 
-    def drop(self) -> None:
-        for name in self.tables.values():
-            self.spark.sql(f"DROP TABLE {name}")
+    def drop_matches(self) -> None:
+        while self.matches:
+            self.spark.sql(f"DROP TABLE {self.matches.pop()}")
 
 
 def _exploded(rows: DataFrame) -> DataFrame:
@@ -362,8 +390,9 @@ def remove_repeats(docs: DataFrame, batches: int = BATCHES, wide: int = WIDE) ->
     family = Family(spark, buckets)
     for b in range(batches):
         family.add(_combined(rows.where(F.pmod(F.xxhash64("_th"), F.lit(batches)) == b)))
+    family.drop_levels()
     repeated = stored(family.repeated())
-    family.drop()
+    family.drop_matches()
     texts = rows.groupBy("_th").agg(F.count(F.lit(1)).alias("copies"), F.min("_d").alias("_first"))
     known = stored(rows.select("_n", "_d", "_th").join(texts, "_th"))
     marked = stored(_exploded(rows).join(repeated, ["key", "region"]).select(
