@@ -90,7 +90,7 @@ def test_matches_are_those_of_all_entries(spark):
         assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
     family.drop_levels()
     got = {tuple(r) for r in family.repeated().collect()}
-    family.drop_matches()
+    family.drop()
     total = {}
     for key, region, n in (x for part in parts for x in part):
         total.setdefault(key, {}).setdefault(region, 0)
@@ -109,6 +109,24 @@ def test_pieces(spark, monkeypatch):
     assert sum(suffix.entries_of([raw])[0][3]) == sum(whole[3]) == len(raw) - suffix.MATCH + 1
 
 
+def test_any_doc_id_and_no_table_left(spark, monkeypatch):
+    """The smallest number is a doc_id like others, also beside null; a failed batch leaves no table."""
+    text = corpus()[7]
+    docs = spark.createDataFrame([(None, text), (suffix.NULL_ID, text), (suffix.NULL_ID, "b"), (None, None)], "doc_id long, text string")
+    before = {t.name for t in spark.catalog.listTables()}
+    got = {(r.doc_id, r.n_bytes, r.n_removed) for r in suffix.digests(*suffix.remove_repeats(docs)).collect()}
+    n = len(text.encode())
+    assert got == {(None, n, n), (suffix.NULL_ID, n, n), (suffix.NULL_ID, 1, 0), (None, 0, 0)}
+
+    def failed(self, new):
+        raise ValueError("lost")
+
+    monkeypatch.setattr(suffix.Family, "_scanned", failed)
+    with pytest.raises(ValueError):
+        suffix.remove_repeats(docs)
+    assert {t.name for t in spark.catalog.listTables()} == before
+
+
 def test_empty(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert suffix.digests(*suffix.remove_repeats(none)).collect() == []

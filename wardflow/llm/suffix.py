@@ -24,7 +24,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -34,7 +34,7 @@ MATCH = 200          # bytes of a repeat
 GRAM = 48            # bytes that place and key look at
 PIECE = 1 << 20      # window starts that are looked at together
 BATCHES = 4          # indexes that a whole table is added by
-NULL_ID = -(1 << 63)  # stands for a null doc_id
+NULL_ID = -(1 << 63)  # stands for a null doc_id where rows are joined
 WIDE = 5_000         # regions of one key that one task compares
 _R = 0x9E3779B97F4A7C15 | 1
 _R_INVERSE = pow(_R, -1, 1 << 64)
@@ -123,14 +123,14 @@ def entries_of(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray, np.ndar
 
 
 def suffixes(docs: DataFrame) -> DataFrame:
-    """One row per document: `_n` (its number), `_d, _th, n_bytes, sha` and the lists `keys, regions,
-    starts, counts`."""
+    """One row per document: `_n` (its number), `_d, _null` (whether it has no doc_id), `_th, n_bytes,
+    sha` and the lists `keys, regions, starts, counts`."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t.encode() for t in batch.column("text").to_pylist()]
             found = entries_of(texts)
             yield pa.RecordBatch.from_pydict({
-                "_n": batch.column("_n"), "_d": batch.column("_d"), "_th": batch.column("_th"),
+                "_n": batch.column("_n"), "_d": batch.column("_d"), "_null": batch.column("_null"), "_th": batch.column("_th"),
                 "n_bytes": pa.array([len(t) for t in texts], pa.int64()),
                 "sha": pa.array([hashlib.sha256(t).hexdigest() for t in texts]),
                 "keys": pa.array([x[0].view(np.int64) for x in found], pa.list_(pa.int64())),
@@ -138,17 +138,17 @@ def suffixes(docs: DataFrame) -> DataFrame:
                 "starts": pa.array([x[2].astype(np.int32) for x in found], pa.list_(pa.int32())),
                 "counts": pa.array([x[3].astype(np.int32) for x in found], pa.list_(pa.int32()))})
 
-    numbered = _texts(docs).withColumn("_n", F.monotonically_increasing_id())
-    return numbered.mapInArrow(work, "_n long, _d long, _th string, n_bytes long, sha string, keys array<long>, "
+    numbered = _texts(docs, F.col("doc_id").isNull().alias("_null")).withColumn("_n", F.monotonically_increasing_id())
+    return numbered.mapInArrow(work, "_n long, _d long, _null boolean, _th string, n_bytes long, sha string, keys array<long>, "
                                      "regions array<long>, starts array<int>, counts array<int>")
 
 
-def _texts(docs: DataFrame) -> DataFrame:
-    """`_d, _th, text`: a doc_id that is never null, a hash that stands for the text, the text."""
+def _texts(docs: DataFrame, *more: Column) -> DataFrame:
+    """`_d, _th, text`: a doc_id that is never null, a hash that stands for the text, the text; and `more`."""
     bounded_batches(docs.sparkSession)
     text = F.coalesce(F.col("text"), F.lit(""))
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("_d"), F.md5(text).alias("_th"),
-                       text.alias("text"))
+                       text.alias("text"), *more)
 
 
 def _combined(rows: DataFrame) -> DataFrame:
@@ -174,9 +174,11 @@ class Family:
         self.added = 0
         self.tables: dict[int, str] = {}
         self.matches: list[str] = []
+        self.written: list[str] = []
 
     def _written(self, entries: DataFrame) -> str:
         name = f"suffixes_{uuid.uuid4().hex}"
+        self.written.append(name)
         entries.write.bucketBy(self.buckets, "key").sortBy("key", "region").saveAsTable(name)
         return name
 
@@ -192,6 +194,7 @@ class Family:
             merged = self._written(self._together([now, other]))
             for name in (now, other):
                 self.spark.sql(f"DROP TABLE {name}")
+                self.written.remove(name)
             now, rank = merged, rank + 1
         self.tables[rank] = now
 
@@ -225,11 +228,13 @@ class Family:
 
     def drop_levels(self) -> None:
         while self.tables:
-            self.spark.sql(f"DROP TABLE {self.tables.popitem()[1]}")
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.tables.popitem()[1]}")
 
-    def drop_matches(self) -> None:
-        while self.matches:
-            self.spark.sql(f"DROP TABLE {self.matches.pop()}")
+    def drop(self) -> None:
+        """Drops all that was written, also what a failed batch left behind."""
+        self.drop_levels()
+        while self.written:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.written.pop()}")
 
 
 def _exploded(rows: DataFrame) -> DataFrame:
@@ -388,11 +393,13 @@ def remove_repeats(docs: DataFrame, batches: int = BATCHES, wide: int = WIDE) ->
     size = rows.agg(F.sum("n_bytes")).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // (512 << 20)))
     family = Family(spark, buckets)
-    for b in range(batches):
-        family.add(_combined(rows.where(F.pmod(F.xxhash64("_th"), F.lit(batches)) == b)))
-    family.drop_levels()
-    repeated = stored(family.repeated())
-    family.drop_matches()
+    try:
+        for b in range(batches):
+            family.add(_combined(rows.where(F.pmod(F.xxhash64("_th"), F.lit(batches)) == b)))
+        family.drop_levels()
+        repeated = stored(family.repeated())
+    finally:
+        family.drop()
     texts = rows.groupBy("_th").agg(F.count(F.lit(1)).alias("copies"), F.min("_d").alias("_first"))
     known = stored(rows.select("_n", "_d", "_th").join(texts, "_th"))
     marked = stored(_exploded(rows).join(repeated, ["key", "region"]).select(
@@ -409,19 +416,21 @@ def remove_repeats(docs: DataFrame, batches: int = BATCHES, wide: int = WIDE) ->
     # Kept in buckets of the join's own keys: the texts are shuffled once.
     found = _texts(docs).join(wanted, ["_th", "_d"]).dropDuplicates(["_th", "_d"])
     name = f"candidates_{uuid.uuid4().hex}"
-    found.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "_th", "_d").saveAsTable(name)
-    candidates = spark.table(name)
-    regions = stored(_regions(candidates))
-    narrow = regions.where(F.col("k") <= wide).drop("k").repartition("key").sortWithinPartitions("key")
-    runs = _windows(narrow)
-    if not regions.where(F.col("k") > wide).isEmpty():
-        runs = runs.union(_wide_windows(regions.where(F.col("k") > wide).drop("k")))
-    lists = _listed(runs, ["_th", "_d"], "runs")
-    both = candidates.select("_th", "_d", "text", "whole").join(lists, ["_th", "_d"], "left")
-    lost = stored(_cut(both.where(F.col("whole").isNotNull() | F.col("runs").isNotNull())).drop("_d"))
-    spark.sql(f"DROP TABLE {name}")
-    doc_id = F.when(F.col("_d") != NULL_ID, F.col("_d")).alias("doc_id")
-    return rows.select("_d", "_th", "n_bytes", "sha").join(texts, "_th").select(doc_id, "_th", "n_bytes", "sha", "copies"), lost
+    try:
+        found.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "_th", "_d").saveAsTable(name)
+        candidates = spark.table(name)
+        regions = stored(_regions(candidates))
+        narrow = regions.where(F.col("k") <= wide).drop("k").repartition("key").sortWithinPartitions("key")
+        runs = _windows(narrow)
+        if not regions.where(F.col("k") > wide).isEmpty():
+            runs = runs.union(_wide_windows(regions.where(F.col("k") > wide).drop("k")))
+        lists = _listed(runs, ["_th", "_d"], "runs")
+        both = candidates.select("_th", "_d", "text", "whole").join(lists, ["_th", "_d"], "left")
+        lost = stored(_cut(both.where(F.col("whole").isNotNull() | F.col("runs").isNotNull())).drop("_d"))
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    doc_id = F.when(~F.col("_null"), F.col("_d")).alias("doc_id")
+    return rows.select("_d", "_null", "_th", "n_bytes", "sha").join(texts, "_th").select(doc_id, "_th", "n_bytes", "sha", "copies"), lost
 
 
 def digests(rows: DataFrame, lost: DataFrame) -> DataFrame:
