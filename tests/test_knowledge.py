@@ -74,6 +74,27 @@ def test_only_buckets_of_changed_sources_are_written(spark, root):
     assert len(changed) == 1 and len({b for b, _ in before}) > 4
 
 
+def _files(root):
+    folder = lake.path_of(root, "kb_chunks")
+    return {f"{b}/{f}" for b in os.listdir(folder) if b.startswith("bucket=")
+            for f in os.listdir(f"{folder}/{b}") if f.endswith(".parquet")}
+
+
+def test_versions_without_news_write_nothing(spark, root):
+    put(spark, root, *[(f"s{i}", at(2), "text", False) for i in range(20)], buckets=4)
+    before = _files(root)
+    put(spark, root, *[(f"s{i}", at(1), "older", False) for i in range(20)], buckets=4)
+    assert before and _files(root) == before
+
+
+def test_small_files_are_put_together(spark, root):
+    n = 2 * lake.FILES
+    for i in range(n):
+        put(spark, root, (f"s{i}", at(1), f"text {i}", False), buckets=1)
+    assert len(_files(root)) <= lake.FILES + 2
+    assert kb(spark, root) == sorted((f"s{i}", 0, f"text {i}") for i in range(n))
+
+
 def test_stream_of_versions(spark, root, tmp_path):
     src = str(tmp_path / "versions")
     for i, version in enumerate([("a", at(1), "one", False), ("a", at(2), "two", False), ("b", at(1), "b", False)]):

@@ -38,6 +38,9 @@ TABLES = {
     "kb_sources": ("kb/sources", ("bucket",)),
 }
 
+FILES = 8              # of a bucket, beyond which they are put together
+SMALL_FILE = 16 << 20  # if they have fewer bytes on average
+
 
 class EmptyInput(RuntimeError):
     """There is nothing to work on; a job must not end as if it had succeeded."""
@@ -92,7 +95,7 @@ def require_rows(df: DataFrame, what: str) -> DataFrame:
     return df
 
 
-def _rebalanced(df: DataFrame, by: tuple[str, ...]) -> DataFrame:
+def rebalanced(df: DataFrame, by: tuple[str, ...]) -> DataFrame:
     """Rows of one folder together, as few files as fit; a folder that is too large for one
     task is split by adaptive execution, so a hot sector does not end in a single writer."""
     return df.hint("rebalance", *by) if by else df
@@ -100,7 +103,7 @@ def _rebalanced(df: DataFrame, by: tuple[str, ...]) -> DataFrame:
 
 def _write(df: DataFrame, root: str, table: str, mode: str) -> None:
     _, by = TABLES[table]
-    (_rebalanced(df, by).write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    (rebalanced(df, by).write.mode(mode).option("partitionOverwriteMode", "dynamic")
      .partitionBy(*by).parquet(path_of(root, table)))
 
 
@@ -138,13 +141,24 @@ def append_predictions(df: DataFrame, root: str, run_ts: dt.datetime) -> None:
     replace_run(df, root, "gold_predictions", run_ts.strftime("%Y%m%d%H%M"))
 
 
-def replace_buckets(df: DataFrame, root: str, table: str, buckets: Iterable[int]) -> None:
-    """Replaces the given buckets of a table by the rows of `df`; those without rows become empty."""
-    rows = stored(df)
-    _write(rows, root, table, "overwrite")
-    # One row per bucket that was written.
-    for b in set(buckets) - {r.bucket for r in rows.select("bucket").distinct().collect()}:
-        rows.where(F.lit(False)).drop("bucket").write.mode("overwrite").parquet(f"{path_of(root, table)}/bucket={b}")
+def replace_buckets(df: DataFrame, root: str, table: str, emptied: Iterable[int] = ()) -> None:
+    """Replaces the buckets that `df` has rows for, and empties those of `emptied`; all others are left
+    alone. `df` may read the table itself: old files go when all new ones are written. Each task
+    adds a file to each bucket it has rows of, so `df` should come from files of the table or be rebalanced."""
+    _, by = TABLES[table]
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path_of(root, table))
+    none = df.sparkSession.createDataFrame([], df.drop(*by).schema)
+    for b in emptied:
+        none.write.mode("overwrite").parquet(f"{path_of(root, table)}/bucket={b}")
+
+
+def fragmented(df: DataFrame, folders: int) -> bool:
+    """Whether a table that is read from `folders` folders has many files that are small."""
+    if not df.inputFiles():
+        return False
+    files = df.select("_metadata.file_path", "_metadata.file_size").distinct()
+    n, size = files.agg(F.count(F.lit(1)), F.sum("file_size")).first()
+    return n > FILES * folders and size < n * SMALL_FILE
 
 
 def write_report(report: DataFrame, root: str) -> None:

@@ -36,6 +36,11 @@ def _bucket(n: int) -> F.Column:
     return F.pmod(F.xxhash64("source"), F.lit(n)).cast("int").alias("bucket")
 
 
+def _buckets_of(df: DataFrame) -> list[int]:
+    """The buckets that `df` has rows of: as many as there are buckets at most."""
+    return sorted(r.bucket for r in df.select("bucket").distinct().collect())
+
+
 def upsert_documents(versions: DataFrame, root: str, width: int = CHUNK_CHARS,
                      make_encoder: Callable[[], Encoder] = hashing_encoder, buckets: int = BUCKETS) -> None:
     """Puts versions of documents, `source, modified, text, deleted`, into the knowledge base.
@@ -43,29 +48,39 @@ def upsert_documents(versions: DataFrame, root: str, width: int = CHUNK_CHARS,
     The newest version of a source wins, whatever order versions come in; of equal ones the last
     delivered. Its chunks take the place of all older ones. A deleted source loses its chunks
     and stays marked, so that an older version that comes late does not bring it back. Rows without
-    a source are left out. Only the buckets of the sources that change are read and written. Applying
-    the same versions again changes nothing, so a batch can be repeated after a failure. `buckets`
+    a source are left out. Only the buckets of the sources that change are read and written; without
+    news nothing is. Chunks that stay are copied from file to file, shuffled only when a bucket has
+    many small files. Applying the same versions again changes nothing, so a batch can be repeated after a failure. `buckets`
     stays the same for the life of a knowledge base and grows with its planned size.
     """
     spark = versions.sparkSession
-    newest = lake.stored(latest_per_group(
-        versions.where(F.col("source").isNotNull()).select(
-            "source", F.col("modified").cast("timestamp_ntz").alias("modified"), "text",
-            F.coalesce("deleted", F.lit(False)).alias("deleted"), _bucket(buckets)), ["source"], "modified"))
-    touched = sorted(r.bucket for r in newest.select("bucket").distinct().collect())  # as many as buckets at most
+    fresh = versions.where(F.col("source").isNotNull()).select(
+        "source", F.col("modified").cast("timestamp_ntz").alias("modified"), "text",
+        F.coalesce("deleted", F.lit(False)).alias("deleted"), _bucket(buckets))
+    known = lake.table_or_empty(spark, root, "kb_sources", KB_SOURCES)
+    known = known.where(F.col("bucket").isin(_buckets_of(fresh)))
+    before = known.select("source", F.col("modified").alias("_modified"))
+    winners = lake.stored(latest_per_group(fresh, ["source"], "modified").join(before, "source", "left").where(
+        F.col("_modified").isNull() | (F.col("modified") >= F.col("_modified"))).drop("_modified"))
+    # A table without texts is small, and joins know that it is.
+    names = lake.stored(winners.select(*KB_SOURCES.fieldNames(), (~F.col("deleted") & (F.length("text") > 0)).alias("_filled")))
+    touched = _buckets_of(names)
     if not touched:
         return
-    known = lake.table_or_empty(spark, root, "kb_sources", KB_SOURCES).where(F.col("bucket").isin(touched))
     stored = lake.table_or_empty(spark, root, "kb_chunks", KB_STORED).where(F.col("bucket").isin(touched))
-    before = known.select("source", F.col("modified").alias("_modified"))
-    winners = lake.stored(newest.join(before, "source", "left").where(
-        F.col("_modified").isNull() | (F.col("modified") >= F.col("_modified"))).drop("_modified"))
-    made = embed(kb_chunks(winners.where(~F.col("deleted")), width), make_encoder).withColumn("bucket", _bucket(buckets))
-    others = stored.join(winners.select("source"), "source", "left_anti")
+    others = stored.join(names.select("source"), "source", "left_anti")
+    if lake.fragmented(stored, len(touched)):
+        others = lake.rebalanced(others, ("bucket",))
+    # Texts are dealt to buckets before they are cut and embedded: vectors are never shuffled.
+    made = embed(kb_chunks(lake.rebalanced(winners.where(~F.col("deleted")), ("bucket",)), width), make_encoder).withColumn(
+        "bucket", _bucket(buckets))
+    left = others.select("bucket").unionByName(names.where("_filled").select("bucket"))
     # Sources last: until they are written, a repeated run finds the same winners.
-    lake.replace_buckets(conform(others, KB_STORED).unionByName(conform(made, KB_STORED)), root, "kb_chunks", touched)
-    kept = known.join(winners.select("source"), "source", "left_anti")
-    lake.replace_buckets(conform(kept, KB_SOURCES).unionByName(conform(winners, KB_SOURCES)), root, "kb_sources", touched)
+    lake.replace_buckets(conform(others, KB_STORED).unionByName(conform(made, KB_STORED)), root, "kb_chunks",
+                         set(touched).difference(_buckets_of(left)))
+    kept = known.where(F.col("bucket").isin(touched)).join(names.select("source"), "source", "left_anti")
+    sources = conform(kept, KB_SOURCES).unionByName(conform(names, KB_SOURCES))
+    lake.replace_buckets(lake.rebalanced(sources, ("bucket",)), root, "kb_sources")
 
 
 def upsert_stream(versions: DataFrame, root: str, checkpoint: str, every: str | None = None, **options) -> StreamingQuery:
