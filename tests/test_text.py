@@ -2,15 +2,17 @@ import random
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from helpers import rows
+from pyspark.ml.feature import HashingTF
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from wardflow.functions.numbers import coerce_number, round_numbers
 from wardflow.functions.vectors import cosine
 from wardflow.operators.classify import (
-    causes_of, classify, classify_with, contributions, fit_text_models, sector_named, validate)
+    causes_of, classify, classify_with, contributions, fit_text_models, sector_named, validate, word_slots)
 from wardflow.operators.encode import embed, hashing_encoder
 from wardflow.operators.retrieval import centroids, similarity_to_group, top_k_similar, top_k_with_report, with_context
 from wardflow.operators.texts import kb_chunks, split_rejects
@@ -204,6 +206,23 @@ def test_causes_equal_the_coefficients(spark, tmp_path):
     assert flat == {1: (causes[1], "Lab"), 2: (None, None), 4: (None, None), 5: ("monitor", None)}
 
 
+def test_slots_are_those_of_the_hashing_stage(spark):
+    hashing = HashingTF(numFeatures=1 << 13)
+    words = ["", "a", "né", "abc", "alarm", "céu-luz", "monitor", "\U0001f600x", "x" * 1001, *[f"w{i}" * (i % 7) for i in range(200)]]
+    assert word_slots(pa.array(words), 1 << 13).tolist() == [hashing.indexOf(w) for w in words]
+
+
+def test_classification_is_one_pass(spark, tmp_path):
+    """No shuffle of the words of all texts, and the same causes as by their contributions."""
+    texts = [("monitor broken alarm alarm failed", 1, 1), ("delay in lab results", 0, 0), ("Alarm in lab", 1, 0)] * 10
+    df = spark.createDataFrame([(i, *x) for i, x in enumerate(texts)], "id int, text string, kind int, severe int")
+    model = fit_text_models(df, ["kind", "severe"], str(tmp_path / "model"))
+    out = classify(df, model, "kind", "severe", ("Delay", "Equipment Failure"), causes=2)
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    want = {r.id: r.root_cause for r in causes_of(contributions(df, model, "severe", "id"), "id", 2).collect()}
+    assert {r.id: r.root_cause for r in out.select("id", "classification.root_cause").collect() if r.root_cause} == want
+
+
 def test_first_sector_named(spark):
     df = spark.createDataFrame([("Late in the er, then ICU-2 free",), ("icu 2 and ER",), ("other paper",), ("",), (None,), ("x.ER",)],
                                "text string")

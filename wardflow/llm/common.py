@@ -8,16 +8,14 @@ from collections.abc import Callable
 from typing import Any
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardflow.session import BATCH_BYTES, bounded_batches
 from wardflow.sources.lake import stored
 
 __all__ = ["BATCH_BYTES", "IDENTITY", "bounded_batches", "identified", "once", "ragged", "same_row", "stored"]
 
-_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
-BATCH_BYTES = 32 << 20
-
 #: What tells rows of a table apart: rows equal in both are alike for every operator here.
 IDENTITY = ("_id", "_th")
 
@@ -37,12 +35,6 @@ def same_row(a: DataFrame, b: DataFrame) -> Column:
     return a["_id"].eqNullSafe(b["_id"]) & a["_th"].eqNullSafe(b["_th"])
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Batches that go to Python are bounded by bytes as well as rows: texts may be very long."""
-    if int(spark.conf.get(_BATCH_BYTES, str(2**31 - 1))) > BATCH_BYTES:
-        spark.conf.set(_BATCH_BYTES, str(BATCH_BYTES))
-
-
 def once(key: tuple, make: Callable[[], Any]) -> Any:
     """`make()` once in each worker process: functions arrive anew with every task, and what they
     hold would be lost. Holds the newest object only."""

@@ -4,19 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, HashingTF, SQLTransformer
+from pyspark.ml.feature import IDF, HashingTF, IDFModel, SQLTransformer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from wardflow.schemas import CLASSIFICATION
-from wardflow.sources.lake import stored
+from wardflow.session import bounded_batches
 
 SEVERITIES = ("Low", "Medium", "High", "Critical")
+PART_ROWS = 1000  # texts whose words a task looks up at once
 
 
 def fit_text_models(texts: DataFrame, labels: Sequence[str], path: str, *, dims: int = 1 << 13,
@@ -57,19 +61,91 @@ def severity_of(p: Column) -> Column:
             .when(p < 0.75, SEVERITIES[2]).otherwise(SEVERITIES[3]))
 
 
+def word_slots(words: pa.Array, dims: int) -> np.ndarray:
+    """The slot of `dims` that HashingTF gives each word: MurmurHash3 (32 bits, seed 42) of its UTF-8 bytes."""
+    raw = words.cast(pa.large_binary())
+    data = np.frombuffer(b"".join(raw.to_pylist()) + bytes(4), np.uint8).astype(np.uint32)
+    size = pc.binary_length(raw).to_numpy(zero_copy_only=False)
+    order = np.argsort(-size, kind="stable")
+    at, size = (np.cumsum(size) - size)[order], size[order]
+    h = np.full(len(size), 42, np.uint32)
+
+    def mixed(k: np.ndarray) -> np.ndarray:
+        k = k * np.uint32(0xCC9E2D51)
+        return (k << 15 | k >> 17) * np.uint32(0x1B873593)
+
+    for i in range(int(size[0]) // 4 if len(size) else 0):
+        live = int(np.searchsorted(-size, -4 * (i + 1), side="right"))  # longer words come first
+        p = at[:live] + 4 * i
+        g = h[:live] ^ mixed(data[p] | data[p + 1] << 8 | data[p + 2] << 16 | data[p + 3] << 24)
+        h[:live] = (g << 13 | g >> 19) * np.uint32(5) + np.uint32(0xE6546B64)
+    rest = at + size // 4 * 4
+    tail = sum(np.where(size % 4 > j, data[np.minimum(rest + j, len(data) - 1)], 0).astype(np.uint32) << 8 * j for j in range(3))
+    h ^= mixed(tail) ^ size.astype(np.uint32)
+    h = (h ^ h >> 16) * np.uint32(0x85EBCA6B)
+    h = (h ^ h >> 13) * np.uint32(0xC2B2AE35)
+    out = np.empty(len(h), np.int64)
+    out[order] = (h ^ h >> 16).astype(np.int32).astype(np.int64) % dims
+    return out
+
+
+def _weights(model: PipelineModel, label: str) -> np.ndarray:
+    """What a word in each slot adds to the log-odds of `label`, asked of the linear model as a
+    text of its own: less the intercept, that is the slot's weight."""
+    idf = next(s.idf.toArray() for s in model.stages[0].stages if isinstance(s, IDFModel))
+    linear = next(s for s in model.stages if s.hasParam("predictionCol") and s.getPredictionCol() == f"is_{label}")
+    return linear.coefficients.toArray() * idf + linear.intercept - linear.intercept
+
+
+def _said(words: pa.Array, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+    """Each distinct word of each list: list, place in the words, the words, contribution."""
+    flat = words.flatten().dictionary_encode()
+    names, n = flat.dictionary, max(1, len(flat.dictionary))
+    pairs = pc.list_parent_indices(words).to_numpy().astype(np.int64) * n + flat.indices.to_numpy()
+    pairs, times = np.unique(pairs, return_counts=True)
+    row, word = np.divmod(pairs, n)
+    return row, word, names, weights[word_slots(names, len(weights))][word] * times
+
+
+def _causes(words: pa.Array, weights: np.ndarray, top: int) -> list[str | None]:
+    """Of each list the words that add most, ties by word; None where no word adds."""
+    row, word, names, adds = _said(words, weights)
+    row, word, adds = (x[adds > 0] for x in (row, word, adds))
+    rank = np.empty(len(names), np.int64)
+    rank[pc.sort_indices(names).to_numpy()] = np.arange(len(names))
+    order = np.lexsort((rank[word], -adds, row))
+    row, word = row[order], word[order]
+    first = np.searchsorted(row, np.arange(len(words) + 1))
+    best = [names.take(pa.array(word[a:min(b, a + top)])).to_pylist() for a, b in zip(first[:-1], first[1:])]
+    return [", ".join(x) or None for x in best]
+
+
+def _words(text: str) -> Column:
+    return F.filter(F.split(F.lower(text), "\\s+"), lambda w: w != "")
+
+
 def contributions(texts: DataFrame, model: PipelineModel, label: str, by: str) -> DataFrame:
     """`by, word, contribution`: what each word of a text adds to the log-odds of `label`.
 
-    The linear model is asked about each word as a text of its own: less the intercept, that is
-    the word's weight, and its occurrences in the text multiply it. The contributions of a text
-    and the intercept add up to the text's log-odds.
+    A word's weight is multiplied by its occurrences in the text. The contributions of a text
+    and the intercept add up to the text's log-odds. `by` tells the texts apart.
     """
-    words = (texts.select(by, F.explode(F.split(F.lower("text"), "\\s+")).alias("word")).where(F.col("word") != "")
-             .groupBy(by, "word").agg(F.count(F.lit(1)).alias("_times")))
-    intercept = next(s.intercept for s in model.stages if s.hasParam("predictionCol") and s.getPredictionCol() == f"is_{label}")
-    asked = model.transform(words.select(by, "_times", F.col("word").alias("text")))
-    alone = vector_to_array(F.col(f"raw_{label}"))[1] - F.lit(float(intercept))
-    return asked.select(by, F.col("text").alias("word"), (alone * F.col("_times")).alias("contribution"))
+    weights = _weights(model, label)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _parts(batches):
+            row, word, names, adds = _said(batch.column("_words"), weights)
+            yield pa.RecordBatch.from_arrays([batch.column(by).take(pa.array(row)), names.take(pa.array(word)), pa.array(adds)],
+                                             names=[by, "word", "contribution"])
+
+    bounded_batches(texts.sparkSession)
+    out = StructType([texts.schema[by]]).add("word", "string").add("contribution", "double")
+    return texts.select(by, _words("text").alias("_words")).mapInArrow(run, out)
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of few rows: words take several times the memory of their text."""
+    return (b.slice(at, PART_ROWS) for b in batches for at in range(0, b.num_rows, PART_ROWS))
 
 
 def causes_of(found: DataFrame, by: str, top: int) -> DataFrame:
@@ -95,12 +171,21 @@ def classify(texts: DataFrame, model: PipelineModel, kind_label: str, severity_l
     The models give category, severity and confidence; the action follows from the severity.
     `root_cause` names up to `causes` words that speak most for the severity label, null where none
     does. `impacted_sector` is `sector` if given and not null, else the first of `sectors` that the
-    text names. Texts are stored once, so that both parts see the same rows.
+    text names. One pass over the texts, without a shuffle.
     """
-    rows = stored(texts.withColumn("_row", F.monotonically_increasing_id()))
-    scored = model.transform(rows)
-    why = causes_of(contributions(rows, model, severity_label, "_row"), "_row", causes).withColumnRenamed("_row", "_why")
-    p_kind, severity = _chance(kind_label), severity_of(_chance(severity_label))
+    weights, kept = _weights(model, severity_label), list(texts.columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _parts(batches):
+            found = pa.array(_causes(batch.column("_words"), weights, causes), pa.string())
+            yield batch.select([*kept, "_kind", "_severe"]).append_column("_cause", found)
+
+    bounded_batches(texts.sparkSession)
+    out = StructType(list(texts.schema)).add("_kind", "double").add("_severe", "double").add("_cause", "string")
+    scored = model.transform(texts).select(
+        *[F.col(f"`{c}`") for c in kept], _chance(kind_label).alias("_kind"), _chance(severity_label).alias("_severe"),
+        F.col("words").alias("_words")).mapInArrow(run, out)
+    p_kind, severity = F.col("_kind"), severity_of(F.col("_severe"))
     given = (sector if sector is not None else F.lit(None)).cast("string")
     record = F.struct(
         F.when(p_kind >= 0.5, kinds[1]).otherwise(kinds[0]).alias("category"),
@@ -110,9 +195,7 @@ def classify(texts: DataFrame, model: PipelineModel, kind_label: str, severity_l
         F.when(severity.isin("High", "Critical"), "escalate to the duty manager")
         .otherwise("record and review").alias("suggested_action"),
         F.greatest(p_kind, 1 - p_kind).alias("confidence"))
-    why = why.withColumnRenamed("root_cause", "_cause")
-    return (scored.join(why, scored["_row"] == why["_why"], "left")
-            .select(*[F.col(f"`{c}`") for c in texts.columns], record.alias("classification")))
+    return scored.select(*[F.col(f"`{c}`") for c in kept], record.alias("classification"))
 
 
 def classify_with(texts: DataFrame, make_client: Callable[[], Callable[[pd.Series], pd.DataFrame]],
