@@ -94,6 +94,20 @@ def vectors(n, dims, seed):
     return [(i, [float(x) for x in rnd.integers(-3, 4, dims)]) for i in range(n)]
 
 
+def test_tasks_hold_few_texts_at_a_time(spark):
+    """What an encoder gets is bounded, however many texts a batch has."""
+    texts = spark.range(0, 6000, 1, 1).select("id", F.concat(F.lit("w"), "id").alias("text"))
+    out = embed(texts, lambda: lambda s: np.stack([[len(s), len(x)] for x in s]))
+    assert out.agg(F.max(F.col("vector")[0])).first()[0] <= 2500 and out.count() == 6000
+    assert rows(out.select("id", F.col("vector")[1].cast("int")).where("id IN (7, 4999)")) == [(7, 2), (4999, 5)]
+
+
+def test_vectors_of_different_lengths_are_refused(spark):
+    c = spark.createDataFrame([(1, [1.0, 0.0, 1.0]), (2, [1.0])], "id long, vector array<double>").coalesce(1)
+    with pytest.raises(Exception, match="one length"):
+        top_k_similar(c, c.where("id = 2"), 1, corpus_id="id", query_id="id").count()
+
+
 @pytest.mark.parametrize("limits", [{}, {"max_broadcast_queries": 7, "corpus_block_rows": 40}])
 def test_top_k_equals_brute_force(spark, limits):
     corpus, queries = vectors(400, 6, 1), vectors(23, 6, 2)

@@ -14,16 +14,18 @@ import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DoubleType, LongType, StringType, StructType
 
 from wardflow.functions.vectors import cosine
-from wardflow.session import run_dir
-from wardflow.sources.lake import stored
+from wardflow.session import bounded_batches, run_dir
+from wardflow.sources.lake import no_rows, stored
 
 PLACES = 9  # similarities equal to this many places are ties, settled by id
 SLACK = 1e-8  # by which a bound may be off, from rounding and floating point
@@ -32,8 +34,11 @@ SLICE = 4_000_000  # numbers in the vectors of one slice of queries: 32 MB
 ROUNDS = 4  # of moving the centroids
 
 
-def _unit_rows(vectors) -> np.ndarray:
-    m = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
+def _unit_rows(vectors: pa.Array) -> np.ndarray:
+    sizes = pc.list_value_length(vectors).to_numpy()
+    if len(sizes) and sizes.min() != sizes.max():
+        raise ValueError("vectors must be of one length")
+    m = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(sizes), sizes[0] if len(sizes) else 0)
     size = np.linalg.norm(m, axis=1, keepdims=True)
     return np.divide(m, size, out=np.zeros_like(m), where=size > 0)
 
@@ -101,15 +106,19 @@ def _score(best: _Best, live: np.ndarray, units: np.ndarray, rows: np.ndarray, i
     best.add(live[q], ids[col], sims[q, col])
 
 
-def _top_k_of(batches: Iterator[pd.DataFrame], query_ids: np.ndarray, units: np.ndarray, centres: np.ndarray,
-              corpus_id: str, vector: str, k: int, floor: float, rows_at_once: int) -> Iterator[pd.DataFrame]:
+def _ids(column: pa.Array) -> np.ndarray:
+    return np.array(column.to_pylist(), dtype=np.int64 if pa.types.is_integer(column.type) else object)
+
+
+def _top_k_of(batches: Iterator[pa.RecordBatch], query_ids: np.ndarray, units: np.ndarray, centres: np.ndarray,
+              corpus_id: str, vector: str, k: int, floor: float, rows_at_once: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     """The best k rows of all batches per query, and one row with the pairs met and scored."""
     best, met, scored = _Best(len(units), k, floor), 0, 0
     to_centre = _distances(units, centres)
     home = to_centre.argmin(1)
-    for pdf in (b.iloc[at:at + rows_at_once] for b in batches for at in range(0, len(b), rows_at_once)):
-        met += len(pdf) * len(units)
-        every, ids = _unit_rows(pdf[vector]), pdf[corpus_id].to_numpy()
+    for some in (b.slice(at, rows_at_once) for b in batches for at in range(0, b.num_rows, rows_at_once)):
+        met += some.num_rows * len(units)
+        every, ids = _unit_rows(some.column(vector)), _ids(some.column(corpus_id))
         away = _distances(every, centres)
         near = away.argmin(1)
         order = np.argsort(near, kind="stable")
@@ -132,10 +141,11 @@ def _top_k_of(batches: Iterator[pd.DataFrame], query_ids: np.ndarray, units: np.
                 scored += len(part) * len(live)
                 at += step
     q, place = np.nonzero(best.sims > -np.inf)
-    if len(q):
-        yield pd.DataFrame({"query_id": query_ids[q], "corpus_id": best.ids[q, place], "similarity": best.sims[q, place],
-                            "pairs": None, "scored": None})
-    yield pd.DataFrame({"query_id": [None], "corpus_id": [None], "similarity": [None], "pairs": [met], "scored": [scored]})
+    n = len(q)
+    yield pa.RecordBatch.from_pydict({
+        "query_id": [*query_ids[q].tolist(), None], "corpus_id": [*(best.ids[q, place].tolist() if n else []), None],
+        "similarity": pa.array([*best.sims[q, place].tolist(), None], pa.float64()),
+        "pairs": pa.array([None] * n + [met], pa.int64()), "scored": pa.array([None] * n + [scored], pa.int64())}, schema=schema)
 
 
 def top_k_with_report(corpus: DataFrame, queries: DataFrame, k: int = 3, *, corpus_id: str, query_id: str,
@@ -162,19 +172,21 @@ def top_k_with_report(corpus: DataFrame, queries: DataFrame, k: int = 3, *, corp
     # Slices by hash are not equal in size: on average they are half of what is allowed.
     slices = max(1, math.ceil(2 * n / most)) if n > most else 1
     path, floor = run_dir(spark, "top-k"), -np.inf if above is None else above
-    spark.createDataFrame([], out).write.parquet(path)
+    no_rows(spark, out).write.parquet(path)
+    bounded_batches(spark)
+    arrow = to_arrow_schema(out)
     for i in range(slices):
-        held = queries.where(F.pmod(F.xxhash64("query_id"), F.lit(slices)) == i).toPandas()
-        if held.empty:
+        held = queries.where(F.pmod(F.xxhash64("query_id"), F.lit(slices)) == i).toArrow().combine_chunks()
+        if not held.num_rows:
             continue
-        units = _unit_rows(held["_query"])
+        units = _unit_rows(held["_query"].combine_chunks())
         # One broadcast for all tasks, not a copy in every task's closure.
-        shared = spark.sparkContext.broadcast((held["query_id"].to_numpy(), units, _centres(units)))
+        shared = spark.sparkContext.broadcast((_ids(held["query_id"]), units, _centres(units)))
 
-        def score(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            yield from _top_k_of(batches, *shared.value, corpus_id, vector, k, floor, corpus_block_rows)
+        def score(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            yield from _top_k_of(batches, *shared.value, corpus_id, vector, k, floor, corpus_block_rows, arrow)
 
-        corpus.mapInPandas(score, out).write.mode("append").parquet(path)
+        corpus.mapInArrow(score, out).write.mode("append").parquet(path)
         shared.destroy()
 
     found = spark.read.schema(out).parquet(path)

@@ -80,7 +80,12 @@ def table_or_empty(spark: SparkSession, root: str, table: str, schema: StructTyp
     try:
         return read_table(spark, root, table, schema, first, last)
     except EmptyInput:
-        return spark.createDataFrame([], schema)
+        return no_rows(spark, schema)
+
+
+def no_rows(spark: SparkSession, schema: StructType) -> DataFrame:
+    """An empty table that starts no Python worker and is known to be empty when a join is planned."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
 
 
 def read_day(spark: SparkSession, root: str, table: str, day: dt.date,
@@ -147,7 +152,7 @@ def replace_buckets(df: DataFrame, root: str, table: str, emptied: Iterable[int]
     adds a file to each bucket it has rows of, so `df` should come from files of the table or be rebalanced."""
     _, by = TABLES[table]
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path_of(root, table))
-    none = df.sparkSession.createDataFrame([], df.drop(*by).schema)
+    none = no_rows(df.sparkSession, df.drop(*by).schema)
     for b in emptied:
         none.write.mode("overwrite").parquet(f"{path_of(root, table)}/bucket={b}")
 
