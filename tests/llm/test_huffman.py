@@ -1,5 +1,6 @@
 """Code lengths against a plain Huffman code, files against the library."""
 
+import gc
 import heapq
 import random
 import zlib
@@ -75,6 +76,20 @@ def test_words_share_their_parts(monkeypatch):
     assert [np.frombuffer(x, "<u2").tolist() for x in words.encode(texts)] == want
 
 
+def test_learning_leaves_nothing_to_collect():
+    """Words that are put together of parts make no object each that the garbage collector has to walk."""
+    words = huffman.Words(P.path("byte_bpe_50k.json"), "<u2")
+    seen = []
+    gc.collect()
+    gc.callbacks.append(lambda phase, info: seen.append(phase))
+    try:
+        words._learn([f"w{i}," for i in range(30_000)])
+    finally:
+        gc.callbacks.pop()
+    assert seen.count("start") < 10
+    assert words.known["w7,"] == words._ids(" w7,").astype("<u2").tobytes()
+
+
 def test_hot_ids_are_dealt_to_several_ranges(spark, tmp_path, monkeypatch):
     """A third of the rows without doc_id, a third with one doc_id, all with one text."""
     monkeypatch.setattr(huffman, "RANGE_IDS", 200)

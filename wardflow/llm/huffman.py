@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm.common import bounded_batches, once, ragged, stored
+from wardflow.llm.common import bounded_batches, once, stored
 
 BLOCK = 256                # ids of a block
 LIMIT = 18                 # bits of the longest code
@@ -64,7 +64,7 @@ class Words:
         self.lengths[list(vocab.values())] = [len(t) for t in vocab]
         self.known: dict[str, bytes | None] = {}  # with a space before
         self.starts: dict[str, bytes] = {}  # first words of texts
-        self.bare: dict[str, bytes] = {"\n": self._ids("\n").astype(dtype).tobytes()}  # without
+        self.bare: dict[str, bytes] = {"\n": self._ids("\n").astype(dtype).tobytes(), "": b""}  # without
 
     def _ids(self, text: str) -> np.ndarray:
         # The fast form makes no character offsets.
@@ -77,26 +77,46 @@ class Words:
         border too, and on both sides of a single new line between other characters. So words that
         differ in such ends alone share what is encoded.
         """
-        sure, bare, put_together = set(), set(), []
+        sure, bare = set(), set()
+        # Lists side by side: a tuple for each word would keep the garbage collector busy.
+        ended, ended_cores, ends = [], [], []
+        lined, lined_cores, before, after, behind = [], [], [], [], []
         sure.update(filter(str.isalnum, new))
         for w in filterfalse(str.isalnum, new):
             if not w or w[-1].isspace():
                 self.known[w] = None
                 continue
             head, line, rest = w.partition("\n")
-            core, after = head.rstrip(_PUNCTUATION), rest.rstrip(_PUNCTUATION)
-            if ((line or len(core) < len(head)) and core and core[-1].isascii() and core[-1].isalnum()
-                    and (not line or (after.isascii() and after.isalnum()))):
-                parts = [p for p in (head[len(core):], line, after, rest[len(after):]) if p]
-                put_together.append((w, core, parts))
-                sure.add(core)
-                bare.update(parts)
+            core = head.rstrip(_PUNCTUATION)
+            if not core or not core[-1].isascii() or not core[-1].isalnum():
+                sure.add(w)
+            elif line:
+                begin = rest.rstrip(_PUNCTUATION)
+                if begin.isascii() and begin.isalnum():
+                    lined.append(w)
+                    lined_cores.append(core)
+                    before.append(head[len(core):])
+                    after.append(begin)
+                    behind.append(rest[len(begin):])
+                else:
+                    sure.add(w)
+            elif len(core) < len(head):
+                ended.append(w)
+                ended_cores.append(core)
+                ends.append(head[len(core):])
             else:
                 sure.add(w)
+        for cores in (ended_cores, lined_cores):
+            sure.update(cores)
+        for parts in (ends, before, after, behind):
+            bare.update(parts)
         self._learn_bare(list(bare.difference(self.bare)))
         self._learn_words(list(sure.difference(self.known)))
-        for w, core, parts in put_together:
-            self.known[w] = self.known[core] + b"".join(map(self.bare.__getitem__, parts))
+        known, part, line = self.known, self.bare, self.bare["\n"]
+        for w, core, end in zip(ended, ended_cores, ends):
+            known[w] = known[core] + part[end]
+        for w, core, x, y, z in zip(lined, lined_cores, before, after, behind):
+            known[w] = known[core] + part[x] + line + part[y] + part[z]
 
     def _learn_bare(self, new: list[str]) -> None:
         """Letters and digits, or punctuation, without a space before: one to a line."""
@@ -132,7 +152,7 @@ class Words:
 
     def _by_words(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
-        first, size = 0, np.dtype(self.dtype).itemsize
+        first = 0
         while first < len(texts):
             last, n_chars = first, 0
             while last < len(texts) and (last == first or n_chars + len(texts[last]) <= PART):
@@ -141,35 +161,35 @@ class Words:
             # Words meet in a table of their own, so that each distinct one is looked up once.
             lists = pc.split_pattern(pa.array(texts[first:last], pa.large_string()), " ")
             words = lists.flatten().dictionary_encode()
-            names, which, bounds = words.dictionary.to_pylist(), words.indices.to_numpy(), lists.offsets.to_numpy()
-            new = [w for w in names if w not in self.known]
+            names = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+            which, bounds = words.indices.to_numpy(), lists.offsets.to_numpy()
+            found = list(map(self.known.get, names))
+            new = [w for w, x in zip(names, found) if x is None and w not in self.known]
             if len(self.known) + len(self.bare) + len(new) > CACHE:
                 # Frequent words are met first: the older half stays.
                 self.known = dict(islice(self.known.items(), CACHE // 2))
                 self.bare = dict(islice(self.bare.items(), CACHE // 8))
                 new = [w for w in names if w not in self.known]
+                found = [None] * len(names)
             if new:
                 self._learn(new)
-            found = list(map(self.known.__getitem__, names))
-            sizes = np.array([-1 if x is None else len(x) // size for x in found], dtype=np.int64)
-            ids = np.frombuffer(b"".join(filter(None, found)), self.dtype)
-            starts = np.cumsum(np.maximum(sizes, 0)) - np.maximum(sizes, 0)
+                found = [self.known[w] if x is None else x for w, x in zip(names, found)]
             # The first word of a text has no space before it.
-            n = sizes[which]
-            n[bounds[:-1]] = 0
-            unsure = np.logical_or.reduceat(n < 0, bounds[:-1])
-            n = np.maximum(n, 0)
-            joined = ids[ragged(starts[which], n)]
-            ends = np.cumsum(n)[bounds[1:] - 1]
-            begin = 0
-            for i, end in enumerate(ends.tolist()):
-                start = names[which[bounds[i]]]
+            which = which.astype(np.int64)
+            which[bounds[:-1]] = len(found)
+            joined = pa.array([*found, b""], pa.large_binary()).take(pa.array(which))
+            unsure = np.logical_or.reduceat(joined.is_null().to_numpy(zero_copy_only=False), bounds[:-1])
+            _, places, data = joined.buffers()
+            ends = np.frombuffer(places, np.int64)[bounds].tolist()
+            data = memoryview(b"" if data is None else data)
+            starts = words.indices.to_numpy()[bounds[:-1]].tolist()
+            for i, at in enumerate(starts):
+                start = names[at]
                 # An unsure part, the first one included, takes its text by longer parts.
                 if unsure[i] or not start or start[-1].isspace():
                     out.append(self._by_longer_parts(texts[first + i].split(" ")))
                 else:
-                    out.append(self._start(start) + joined[begin:end].tobytes())
-                begin = end
+                    out.append(self._start(start) + data[ends[i]:ends[i + 1]])
             first = last
         return out
 
